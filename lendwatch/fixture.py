@@ -224,9 +224,9 @@ def write_raw_files(lines: DataFrame, root: str) -> None:
 def write_archives(lines: DataFrame, folder: str) -> list[str]:
     """ZIP archives of monthly members, one archive per task, streamed to ``folder``.
 
-    Ordering by month and line cuts a large month over several archives. Returns
-    the paths: as many as there were tasks. A repeated task writes a new archive
-    and only the paths of tasks that ended are returned.
+    Each task packs its own rows, so no month is gathered anywhere. Returns the
+    paths: as many as there were tasks. A repeated task writes a new archive and
+    only the paths of tasks that ended are returned.
     """
 
     def archive(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -249,9 +249,5 @@ def write_archives(lines: DataFrame, folder: str) -> list[str]:
                 member.close()
         yield pd.DataFrame({"path": [path], "n": [n]})
 
-    written = (
-        lines.repartitionByRange("source_file", "value")
-        .sortWithinPartitions("source_file")
-        .mapInPandas(archive, "path string, n long")
-    )
+    written = lines.sortWithinPartitions("source_file").mapInPandas(archive, "path string, n long")
     return [row["path"] for row in written.collect()]

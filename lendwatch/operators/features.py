@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lendwatch.config import FEATURES, SEGMENT_KEYS, TARGET, EwConfig
@@ -111,6 +111,35 @@ def segment_features(panel: DataFrame, rates: DataFrame, cfg: EwConfig) -> DataF
     )
 
 
+FEATURE_SCHEMA = (
+    "segment_id string, reference_month date, "
+    + ", ".join(f"{c} string" for c in SEGMENT_KEYS)
+    + ", active_portfolio double, "
+    + ", ".join(f"{c} double" for c in FEATURES)
+    + f", default_rate_forward double, {TARGET} int"
+)
+
+
+def read_features_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Features from a CSV with a header, columns in any order.
+
+    The target may be written ``1`` or ``1.0``; the month as a date or a timestamp.
+    """
+    text = spark.read.option("header", True).csv(path)
+    wanted = [f.strip().split(" ") for f in FEATURE_SCHEMA.split(",")]
+    month = F.substring("reference_month", 1, 10).cast("date").alias("reference_month")
+    return text.select(
+        *[
+            month
+            if name == "reference_month"
+            else F.col(name).cast("double").cast(kind).alias(name)
+            if kind != "string"
+            else F.col(name)
+            for name, kind in wanted
+        ]
+    )
+
+
 def labelled(features: DataFrame) -> DataFrame:
     return features.filter(F.col(TARGET).isNotNull()).withColumn(TARGET, F.col(TARGET).cast("int"))
 

@@ -21,6 +21,10 @@ def at_least(column: str, minimum: float) -> tuple[str, str, Column]:
     return "accepted_range", column, F.col(column) < F.lit(minimum)
 
 
+def between(column: str, low: float, high: float) -> tuple[str, str, Column]:
+    return "accepted_range", column, ~F.col(column).between(low, high)
+
+
 def accepted_values(column: str, values: Sequence) -> tuple[str, str, Column]:
     return "accepted_values", column, ~F.col(column).isin(list(values))
 

@@ -117,12 +117,16 @@ def _boosting(medians: dict[str, float], n: int, cfg: EwConfig) -> Pipeline:
     return Pipeline(stages=[_fill(medians, flags=True), _assemble(flags=True), trees])
 
 
-def fit(name: str, rows: DataFrame, cfg: EwConfig) -> PipelineModel:
+def medians_of(rows: DataFrame) -> dict[str, float]:
+    """Ten numbers: the median of each feature."""
+    return {r["feature"]: r["median"] for r in metrics.feature_medians(rows, FEATURES).collect()}
+
+
+def fit(name: str, rows: DataFrame, cfg: EwConfig, medians: dict[str, float]) -> PipelineModel:
     """Fit one of ``MODELS`` with balanced class weights."""
     shared_folder(rows.sparkSession)
     counts = {r[TARGET]: r["count"] for r in rows.groupBy(TARGET).count().collect()}
     n = sum(counts.values())
-    medians = {r["feature"]: r["median"] for r in metrics.feature_medians(rows, FEATURES).collect()}
     weight = F.when(F.col(TARGET) == 1, n / (2 * counts.get(1, n))).otherwise(
         n / (2 * counts.get(0, n))
     )
@@ -159,7 +163,8 @@ class Validation:
 def fit_models(features: DataFrame, cfg: EwConfig, strict: bool = False) -> Validation:
     rows = materialize(labelled(features), "labelled")
     train, test, limit, test_start = oot_split(rows, cfg, strict)
-    models = {name: fit(name, train, cfg) for name in MODELS}
+    medians = medians_of(train)
+    models = {name: fit(name, train, cfg, medians) for name in MODELS}
     scored = {name: materialize(with_score(m, test), "scored") for name, m in models.items()}
     results = {
         name: metrics.binary_metrics(s, TARGET, "score").first().asDict()
@@ -239,7 +244,8 @@ def score_latest(features: DataFrame, v: Validation, cfg: EwConfig) -> DataFrame
 
     Band limits come from the out-of-time scores of the first fit.
     """
-    final = fit(v.best, labelled(features), cfg)
+    rows = labelled(features)
+    final = fit(v.best, rows, cfg, medians_of(rows))
     cuts = metrics.risk_cuts(v.scored[v.best], "score", cfg.band_quantiles)
     scored = metrics.assign_bands(with_score(final, latest_month(features)), cuts)
     return scored.select(

@@ -1,13 +1,8 @@
-"""The monthly job: raw files to served tables, with a gate between steps.
-
-    python -m lendwatch.plans.pipeline --raw RAW --rates RATES.json --out TABLES
-"""
+"""The monthly job: raw files to served tables, with a gate between steps."""
 
 from __future__ import annotations
 
-import argparse
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendwatch.config import TARGET, EwConfig
@@ -18,7 +13,6 @@ from lendwatch.operators.reports import report_by, top_k_sectors
 from lendwatch.plans import model
 from lendwatch.sources import rates as rate_source
 from lendwatch.sources import sinks
-from lendwatch.streaming.incremental import load_incremental
 
 
 def _table(df: DataFrame, out: str, name: str) -> DataFrame:
@@ -75,8 +69,16 @@ def feature_checks(features: DataFrame) -> DataFrame:
     )
 
 
+def load_rates(daily: DataFrame, out: str, low: float = 2.0, high: float = 15.0) -> DataFrame:
+    """Replace the month-end rate table, unless a value is implausible."""
+    table = rate_source.month_end_table(daily)
+    rules = [quality.not_null("selic_meta_aa"), quality.between("selic_meta_aa", low, high)]
+    quality.gate(quality.check_columns(table, "dim_taxa_selic", rules))
+    return _table(table, out, "dim_taxa_selic")
+
+
 def build_marts(
-    bronze: DataFrame, daily_rates: DataFrame, out: str, cfg: EwConfig, now: Column | None = None
+    bronze: DataFrame, rate_table: DataFrame, out: str, cfg: EwConfig, now: Column | None = None
 ) -> dict[str, DataFrame]:
     """Star schema, reports and features; stops at the first failed gate."""
     now = F.current_date() if now is None else now
@@ -96,7 +98,7 @@ def build_marts(
         dims[name] = _table(dims[name], out, table)
     tables = {f"dim_{name}": d for name, d in dims.items()}
     tables["dim_state"] = _table(star.dim_state(stg), out, "dim_state")
-    rates = _table(rate_source.month_end_rates(daily_rates), out, "dim_selic_rate")
+    rates = _table(rate_source.dim_rate(rate_table), out, "dim_selic_rate")
 
     sinks.write_fact(star.build_fact(stg, dims), f"{out}/fact_credit_operation")
     fact = bronze.sparkSession.read.parquet(f"{out}/fact_credit_operation")
@@ -132,7 +134,10 @@ def build_marts(
 
 
 def train_and_score(features: DataFrame, out: str, cfg: EwConfig) -> dict[str, DataFrame]:
-    """Validate both models out of time, score the last month, keep the history."""
+    """Validate both models out of time, score the last month, keep the history.
+
+    The month's scores replace an earlier run's scores of the same month.
+    """
     v = model.fit_models(features, cfg)
     scores = _table(model.score_latest(features, v, cfg), out, "ew_segment_scores")
     sinks.replace_month(scores, f"{out}/ew_segment_scores_history", "reference_month")
@@ -147,27 +152,3 @@ def train_and_score(features: DataFrame, out: str, cfg: EwConfig) -> dict[str, D
         "ew_segment_scores_en": scores_en,
         "ew_flagged_trend": serving.band_trend(features, scores_en),
     }
-
-
-def main(argv: list[str] | None = None) -> None:
-    args = argparse.ArgumentParser(description=__doc__)
-    args.add_argument("--raw", required=True, help="folder of raw monthly files")
-    args.add_argument("--rates", required=True, help="JSON file of daily policy-rate records")
-    args.add_argument("--out", required=True, help="folder of tables")
-    args.add_argument("--strict-iso", action="store_true", help="accept ISO dates only")
-    given = args.parse_args(argv)
-
-    spark = SparkSession.builder.appName("lendwatch").getOrCreate()
-    cfg = EwConfig()
-    bronze_path = f"{given.out}/bronze"
-    load_incremental(
-        spark, given.raw, bronze_path, f"{given.out}/bronze_checkpoint", given.strict_iso
-    )
-    bronze = sinks.read_bronze(spark, bronze_path)
-    daily = rate_source.read_rate_files(spark, given.rates)
-    tables = build_marts(bronze, daily, given.out, cfg)
-    train_and_score(tables["ew_features"], given.out, cfg)
-
-
-if __name__ == "__main__":
-    main()

@@ -357,9 +357,8 @@ def append_idempotent(spark, sf_dir):
 
     def build() -> str:
         path = new_path(spark, "bronze")
-        lines = raw_text.read_raw_lines(spark, raw_root(spark, sf_dir))
         for _ in range(2):
-            sinks.append_new_files(lines, path)
+            sinks.append_new_files(spark, raw_root(spark, sf_dir), path)
         return path
 
     return _loads(sinks.read_bronze(spark, _once(spark, sf_dir, "appended", build)))

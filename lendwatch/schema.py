@@ -42,6 +42,15 @@ BRONZE_SCHEMA = T.StructType(
     + [T.StructField(c, T.DoubleType()) for c in AMOUNT_COLUMNS]
     + [T.StructField("source_file", T.StringType())]
 )
+# Good and rejected rows share one table; ``value`` is kept for rejected ones.
+PARSED_SCHEMA = T.StructType(
+    BRONZE_SCHEMA.fields
+    + [
+        T.StructField("value", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("rejected", T.BooleanType()),
+    ]
+)
 
 # Staging name -> raw name.
 STAGING_COLUMNS = {

@@ -63,10 +63,11 @@ def explode_archives(
     members = list_members(spark, archives.repartition(max(1, len(uris))))
     if existing is not None:
         members = members.join(existing.select("member").distinct(), "member", "left_anti")
-    tasks = spark.sparkContext.defaultParallelism
+    # Rows are tiny and tasks long, so the number of tasks is set, not left to AQE.
+    tasks = min(12 * len(uris), 8 * spark.sparkContext.defaultParallelism)
     lines = (
         members.select("archive", "member")
-        .repartition(max(tasks, 12 * len(uris)))
+        .repartition(tasks)
         .mapInPandas(_readers()[1], "archive string, member string, value string")
     )
     return lines.withColumn("value", F.explode(F.split("value", OTHER_LINE_BREAKS, -1)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,15 +16,20 @@ def monthly_file_name(month: Column) -> Column:
     return F.concat(F.lit("scrdata_"), F.date_format(month, "yyyyMM"), F.lit(".csv"))
 
 
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, source_file)`` of every file below ``root``; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return files.select("path", F.col("_metadata.file_path").alias("source_file"))
+
+
 def new_files(available: DataFrame, loaded: DataFrame, month: Column | None = None) -> DataFrame:
     """``source_file`` values available and not loaded.
 
-    With ``month`` only that month's file counts; when it is not published, or
-    is loaded already, the result is empty.
+    With ``month`` only files named after that month count; when it is not
+    published, or is loaded already, the result is empty.
     """
     if month is not None:
-        name = F.element_at(F.split("source_file", "/"), -1)
-        available = available.filter(name == monthly_file_name(month))
+        available = available.filter(F.contains("source_file", monthly_file_name(month)))
     return (
         available.select("source_file")
         .distinct()

@@ -21,18 +21,30 @@ def read_rate_files(spark: SparkSession, path: str) -> DataFrame:
     return read_rates(spark.read.text(path, wholetext=True))
 
 
-def month_end_rates(daily: DataFrame) -> DataFrame:
-    """Last record of each month, dated to its last calendar day.
+def month_end_table(daily: DataFrame) -> DataFrame:
+    """``(data_base, selic_meta_aa)``: the last record of each month.
 
-    Of two records on one day the larger value counts.
+    It is dated to the month's last calendar day. Of two records on one day the
+    larger value counts.
     """
     return (
-        daily.groupBy(F.last_day("day").alias("reference_date"))
+        daily.groupBy(F.last_day("day").alias("data_base"))
         .agg(F.max(F.struct("day", "value")).alias("last"))
-        .select("reference_date", F.col("last.value").alias("selic_target_rate_annual"))
+        .select("data_base", F.col("last.value").alias("selic_meta_aa"))
+    )
+
+
+def dim_rate(table: DataFrame) -> DataFrame:
+    return table.select(
+        F.col("data_base").alias("reference_date"),
+        F.col("selic_meta_aa").alias("selic_target_rate_annual"),
     )
 
 
+def month_end_rates(daily: DataFrame) -> DataFrame:
+    return dim_rate(month_end_table(daily))
+
+
 def rate_by_month(rates: DataFrame) -> DataFrame:
     return rates.groupBy(F.trunc("reference_date", "MM").alias("month_start")).agg(
         F.avg("selic_target_rate_annual").alias("selic_rate")

@@ -49,6 +49,11 @@ def read_raw_lines(
     return with_provenance(text)
 
 
+def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Every line of the files named."""
+    return with_provenance(spark.read.text(paths))
+
+
 def data_lines(lines: DataFrame) -> DataFrame:
     """Drop header lines, wherever they stand, and blank lines."""
     return lines.filter(

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendwatch.schema import BRONZE_SCHEMA, DATE_COLUMN
-from lendwatch.sources import raw_text
+from lendwatch.schema import DATE_COLUMN, PARSED_SCHEMA
+from lendwatch.sources import discovery, raw_text
 
 PARTITIONS = ["rejected", DATE_COLUMN]
 
@@ -24,29 +24,47 @@ def append_rows(parsed: DataFrame, path: str, by_month: bool = True) -> None:
     rows.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(PARSED_SCHEMA).parquet(path)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """Typed rows of a table written by ``append_rows`` or the stream."""
-    return raw_text.good_rows(spark.read.parquet(path))
+    return raw_text.good_rows(_stored(spark, path))
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    return raw_text.quarantined(spark.read.parquet(path))
+    return raw_text.quarantined(_stored(spark, path))
+
+
+def loaded_files(spark: SparkSession, path: str) -> DataFrame:
+    """``source_file`` of everything stored; reads that one column."""
+    try:
+        return _stored(spark, path).select("source_file").distinct()
+    except AnalysisException:
+        return spark.createDataFrame([], "source_file string")
+
 
+def append_new_files(
+    spark: SparkSession,
+    root: str,
+    path: str,
+    month: Column | None = None,
+    strict_iso: bool = False,
+) -> int:
+    """Append the files below ``root`` that are not in the table yet.
 
-def append_new_files(lines: DataFrame, path: str, by_month: bool = True, strict_iso: bool = False):
-    """Append the lines of files not in the table yet; a re-run adds nothing."""
-    stored = _stored(lines.sparkSession, path)
-    if stored is not None:
-        loaded = stored.select("source_file").distinct()
-        lines = lines.join(loaded, "source_file", "left_anti")
-    append_rows(raw_text.parse_rows(lines, strict_iso), path, by_month)
+    A re-run adds nothing, and a ``month`` not published yet is no error. Files
+    are chosen by listing alone, so old files are neither read nor shuffled.
+    Returns the number of files appended.
+    """
+    available = discovery.list_files(spark, root)
+    wanted = discovery.new_files(available, loaded_files(spark, path), month)
+    chosen = available.join(wanted, "source_file", "left_semi").select("path")
+    paths = [row["path"] for row in chosen.toLocalIterator()]
+    if paths:
+        append_rows(raw_text.parse_rows(raw_text.read_files(spark, paths), strict_iso), path)
+    return len(paths)
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -76,7 +94,3 @@ def write_fact(fact: DataFrame, path: str) -> None:
         .partitionBy("reference_date")
         .parquet(path)
     )
-
-
-def empty_bronze(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], BRONZE_SCHEMA)
