@@ -29,6 +29,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The large table. A test file that is one split is dealt out to all cores.
+
+    With as many splits as cores, as any real input has, it is scanned as it is.
+    """
+    rows = table(spark, sf_dir, "lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:
+        rows = rows.repartition(cores, "l_orderkey", "l_linenumber")
+    return rows
+
+
 def _amounts() -> dict[str, Column]:
     price, discount, tax = (F.col(f"l_{c}") for c in ("extendedprice", "discount", "tax"))
     active = F.when(F.col("l_quantity") == 1, F.lit(0.0)).otherwise(price)
@@ -59,7 +71,7 @@ def staging(
     names line-item columns to keep.
     """
     wanted = set(columns)
-    rows = table(spark, sf_dir, "lineitem")
+    rows = line_items(spark, sf_dir)
     if wanted & (FROM_ORDERS | FROM_CUSTOMER):
         rows = rows.join(
             table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")

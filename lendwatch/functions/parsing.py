@@ -33,18 +33,21 @@ def _ungrouped(text: Column) -> Column:
     return F.replace(text, F.lit("_"), F.lit(""))
 
 
+def stripped_amount(text: Column) -> Column:
+    plain = F.translate(text, ",.", ".")
+    value = _ungrouped(plain).try_cast("double")
+    return F.when(plain.rlike(_DECIMAL), F.when(F.abs(value) <= MAX_DOUBLE, value)).when(
+        F.upper(text).isin(BLANK_AMOUNTS), F.lit(0.0)
+    )
+
+
 def br_number(text: Column) -> Column:
     """``1.234,56`` -> 1234.56, blank markers -> 0.0, anything else -> NULL.
 
     The pattern keeps out what a Spark cast would accept beyond a plain decimal
     (``1d``, ``NaN``, ``Infinity``); a number too large for a double is refused.
     """
-    stripped = strip(text)
-    plain = F.translate(stripped, ",.", ".")
-    value = F.when(plain.rlike(_DECIMAL), _ungrouped(plain).try_cast("double")).when(
-        F.upper(stripped).isin(BLANK_AMOUNTS), F.lit(0.0)
-    )
-    return F.when(F.abs(value) <= MAX_DOUBLE, value)
+    return stripped_amount(strip(text))
 
 
 def operation_count(text: Column) -> Column:

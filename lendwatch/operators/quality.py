@@ -38,11 +38,21 @@ def _judged(rows: DataFrame) -> DataFrame:
 
 
 def check_columns(
-    df: DataFrame, table: str, rules: Sequence[tuple[str, str, Column]]
+    df: DataFrame,
+    table: str,
+    rules: Sequence[tuple[str, str, Column]],
+    weight: str | None = None,
 ) -> DataFrame:
-    """All row-level rules of a table in one scan. NULL passes all but ``not_null``."""
+    """All row-level rules of a table in one scan. NULL passes all but ``not_null``.
+
+    On pre-counted rows ``weight`` names the column that holds the count.
+    """
+    times = F.col(weight) if weight else F.lit(1)
     counted = df.agg(
-        *[F.count_if(broken).cast("bigint").alias(f"c{i}") for i, (_, _, broken) in enumerate(rules)]
+        *[
+            F.coalesce(F.sum(F.when(broken, times)), F.lit(0)).cast("bigint").alias(f"c{i}")
+            for i, (_, _, broken) in enumerate(rules)
+        ]
     )
     lines = [
         F.struct(
@@ -72,15 +82,25 @@ def check_unique(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame
 
 
 def check_relationship(
-    child: DataFrame, table: str, key: str, parent: DataFrame, parent_key: str
+    child: DataFrame,
+    table: str,
+    key: str,
+    parent: DataFrame,
+    parent_key: str,
+    weight: str | None = None,
 ) -> DataFrame:
     """Child rows whose key has no parent. NULL keys pass.
 
     Keys are counted before the anti-join, so it compares distinct values only.
     """
-    keys = child.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).count()
+    times = F.col(weight) if weight else F.lit(1)
+    keys = (
+        child.filter(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("k"))
+        .agg(F.sum(times).alias("n"))
+    )
     orphans = keys.join(parent.select(F.col(parent_key).alias("k")), "k", "left_anti")
-    return _one_line(orphans, F.sum("count"), "relationships", f"{table}.{key}")
+    return _one_line(orphans, F.sum("n"), "relationships", f"{table}.{key}")
 
 
 def freshness(df: DataFrame, table: str, column: str, now: Column, warn: int, error: int):

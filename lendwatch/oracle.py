@@ -500,7 +500,11 @@ def statements() -> dict[str, str]:
             (SELECT reference_date AS month_end, selic_target_rate_annual FROM rates)
             ON last_day(t.reference_date) = month_end""",
     )
-    q["rate_month_end"] = q["dim_rate"]
+    q["rate_month_end"] = _with(
+        ["rates"],
+        """SELECT reference_date AS data_base, selic_target_rate_annual AS selic_meta_aa
+            FROM rates""",
+    )
     q["rate_by_month"] = _with(
         ["rates"],
         """SELECT CAST(date_trunc('month', reference_date) AS DATE) AS month_start,

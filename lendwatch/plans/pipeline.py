@@ -13,6 +13,7 @@ from lendwatch.operators.reports import report_by, top_k_sectors
 from lendwatch.plans import model
 from lendwatch.sources import rates as rate_source
 from lendwatch.sources import sinks
+from lendwatch.storage import materialize
 
 
 def _table(df: DataFrame, out: str, name: str) -> DataFrame:
@@ -32,14 +33,28 @@ def mart_checks(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         key = star.KEYED[name][0]
         reports.append(quality.check_columns(dims[name], table, [quality.not_null(key)]))
         reports.append(quality.check_unique(dims[name], table, [key]))
-    rules = [quality.not_null(c) for c in ("modality_id", "client_id", "active_portfolio")]
-    rules.append(quality.at_least("active_portfolio", 0))
-    reports.append(quality.check_columns(fact, "fact_credit_operation", rules))
+    # The fact is scanned once: seven checks read its counts by key.
+    active = F.col("active_portfolio")
+    counts = materialize(
+        fact.groupBy(
+            "modality_id",
+            "client_id",
+            active.isNull().alias("missing"),
+            (active < 0).alias("negative"),
+        ).agg(F.count("*").alias("n")),
+        "fact_counts",
+    )
+    rules = [
+        quality.not_null("modality_id"),
+        quality.not_null("client_id"),
+        ("not_null", "active_portfolio", F.col("missing")),
+        ("accepted_range", "active_portfolio", F.col("negative")),
+    ]
+    table = "fact_credit_operation"
+    reports.append(quality.check_columns(counts, table, rules, weight="n"))
     for name in ("modality", "client"):
         key = star.KEYED[name][0]
-        reports.append(
-            quality.check_relationship(fact, "fact_credit_operation", key, dims[name], key)
-        )
+        reports.append(quality.check_relationship(counts, table, key, dims[name], key, "n"))
     return quality.combine(reports)
 
 

@@ -63,7 +63,13 @@ def daily_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def month_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rates.month_end_rates(daily_rates(spark, sf_dir))
+    """A written table, so that joins to it know how small it is."""
+    return _once(
+        spark,
+        sf_dir,
+        "rates",
+        lambda: materialize(rates.month_end_rates(daily_rates(spark, sf_dir)), "rates"),
+    )
 
 
 def fact_of(spark: SparkSession, sf_dir: str, dims: dict, *columns: str) -> DataFrame:
@@ -217,7 +223,7 @@ def parse_br_number(spark, sf_dir):
         },
         printed,
     )
-    return _parsed_amounts(fixture.table(spark, sf_dir, "lineitem"), text)
+    return _parsed_amounts(fixture.line_items(spark, sf_dir), text)
 
 
 def _parsed_amounts(rows, text):
@@ -249,7 +255,7 @@ def parse_reference_date(spark, sf_dir):
         },
         day.cast("string"),
     )
-    parsed = fixture.table(spark, sf_dir, "lineitem").select(
+    parsed = fixture.line_items(spark, sf_dir).select(
         F.col("l_quantity").cast("int").alias("variant"),
         parsing.reference_date(text).alias("lenient"),
         parsing.reference_date(text, strict_iso=True).alias("strict"),
@@ -281,7 +287,7 @@ def parse_operation_count(spark, sf_dir):
         number,
     )
     return (
-        fixture.table(spark, sf_dir, "lineitem")
+        fixture.line_items(spark, sf_dir)
         .select(
             F.col("l_quantity").cast("int").alias("variant"),
             parsing.operation_count(text).alias("v"),
@@ -328,8 +334,12 @@ def zip_members_to_lines(spark, sf_dir):
 
 
 def incremental_new_files(spark, sf_dir):
-    stg = fixture.staging(spark, sf_dir, ["reference_date"])
-    available = stg.select(fixture.file_name().alias("source_file")).distinct()
+    def build() -> DataFrame:
+        stg = fixture.staging(spark, sf_dir, ["reference_date"])
+        files = stg.select(fixture.file_name().alias("source_file")).distinct()
+        return materialize(files, "files")
+
+    available = _once(spark, sf_dir, "files", build)
     loaded = available.filter(F.col("source_file") < "scrdata_200001.csv")
     month = discovery.target_month(F.lit(dt.date(2001, 1, 15)))
     target = discovery.new_files(available, loaded, month).withColumn("is_target", F.lit(True))
@@ -437,7 +447,7 @@ def _keyed(name: str):
 
 
 def dim_rate(spark, sf_dir):
-    return month_rates(spark, sf_dir)
+    return rates.dim_rate(rates.month_end_table(daily_rates(spark, sf_dir)))
 
 
 def fact_credit_operation(spark, sf_dir):
@@ -483,7 +493,7 @@ def rpt_top_sector_default_by_month(spark, sf_dir):
 
 
 def rate_month_end(spark, sf_dir):
-    return month_rates(spark, sf_dir)
+    return rates.month_end_table(daily_rates(spark, sf_dir))
 
 
 def rate_by_month(spark, sf_dir):
@@ -598,7 +608,7 @@ def _nth(values: list[str], n: Column) -> Column:
 
 
 def scalar_label_case(spark, sf_dir):
-    items = fixture.table(spark, sf_dir, "lineitem")
+    items = fixture.line_items(spark, sf_dir)
     raw = items.select(
         _nth(_SAMPLE_MODALITIES, F.col("l_partkey") % 7).alias("credit_modality"),
         _nth(["PF", "PJ", "XX"], F.col("l_partkey") % 3).alias("client_type"),
@@ -618,7 +628,7 @@ def scalar_label_case(spark, sf_dir):
 
 def scalar_target_rule(spark, sf_dir):
     """Target and band from each line's discount (rate) and tax (forward rate)."""
-    items = fixture.table(spark, sf_dir, "lineitem")
+    items = fixture.line_items(spark, sf_dir)
     rate = F.col("l_discount")
     forward = F.when(F.col("l_quantity") > 5, F.col("l_tax"))
     target = scalars.deterioration_target(rate, forward, CFG)

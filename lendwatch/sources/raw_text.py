@@ -96,7 +96,7 @@ def parse_rows(lines: DataFrame, strict_iso: bool = False) -> DataFrame:
         .alias("texts"),
         parsing.operation_count(F.col("fields")[n_texts + 1]).alias(COUNT_COLUMN),
         F.when(F.col("clean"), parsing.clean_amounts(value, n_amounts))
-        .otherwise(F.transform(amounts, parsing.br_number))
+        .otherwise(F.transform(F.transform(amounts, parsing.strip), parsing.stripped_amount))
         .alias("amounts"),
     )
     # The generator keeps later filters above the parsing, which would otherwise

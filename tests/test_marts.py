@@ -145,6 +145,9 @@ def test_gate(spark, stg):
     assert report.count() == 12
     with pytest.raises(quality.GateError, match="client_id"):
         quality.gate(report)
+    month = segment_month(fact, dims)  # rows without a client key are left out
+    assert month.filter("client_type IS NULL").count() == 0
+    assert month.agg({"number_of_operations": "sum"}).first()[0] == 8
     whole = stg.filter("client_type IS NOT NULL")
     dims = star.build_dims(whole)
     quality.gate(pipeline.mart_checks(star.build_fact(whole, dims), dims))
