@@ -157,6 +157,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw file lines ``(value, source_file)``, as a monthly export would hold them."""
     stg = staging(spark, sf_dir)
     line = quoted_line(list(raw_fields(stg).values()))
+    # The generator keeps filters on the lines from copying their construction.
     return split_lines(stg.select(line.alias("value"), file_name().alias("source_file")))
 
 
@@ -212,6 +213,7 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(quantity == 22, bare)
         .otherwise(quoted_line(texts))
     )
+    # The generator keeps filters on the lines from copying their construction.
     return split_lines(stg.select(line.alias("value"), file_name().alias("source_file")))
 
 

@@ -19,14 +19,18 @@ from lendwatch.schema import (
 OTHER_LINE_BREAKS = r"[\x0b\x0c\x1c\x1d\x1e\x85\x{2028}\x{2029}]"
 
 
+def _breaks(value: Column) -> Column:
+    return F.split(value, OTHER_LINE_BREAKS, -1)
+
+
 def split_lines(text: DataFrame) -> DataFrame:
     """One row per line of ``value``; a text scan has split at \\n, \\r and \\r\\n already."""
-    return text.withColumn("value", F.explode(F.split("value", OTHER_LINE_BREAKS, -1)))
+    return text.withColumn("value", F.explode(_breaks(F.col("value"))))
 
 
 def with_provenance(text: DataFrame) -> DataFrame:
-    """``(value, source_file)``, one row per line, from a text scan."""
-    return split_lines(text.select("value", F.col("_metadata.file_path").alias("source_file")))
+    """``(value, source_file)`` from a text scan."""
+    return text.select("value", F.col("_metadata.file_path").alias("source_file"))
 
 
 def read_raw_lines(
@@ -46,56 +50,65 @@ def read_raw_lines(
     text = reader.text(root)
     if years is not None:
         text = text.filter(F.col("year").isin(list(years)))
-    return with_provenance(text)
+    return split_lines(with_provenance(text))
 
 
 def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Every line of the files named."""
+    """Text of the files named, for ``parse_rows``."""
     return with_provenance(spark.read.text(paths))
 
 
+def _is_data(line: Column) -> Column:
+    return ~parsing.is_header(line) & (parsing.without_lead(line) != "")
+
+
 def data_lines(lines: DataFrame) -> DataFrame:
     """Drop header lines, wherever they stand, and blank lines."""
-    return lines.filter(
-        ~parsing.is_header(F.col("value")) & (parsing.without_lead(F.col("value")) != "")
-    )
+    return lines.filter(_is_data(F.col("value")))
 
 
 def _first_fault(faults: list[tuple[Column, str]]) -> Column:
     return F.coalesce(*[F.when(condition, F.lit(reason)) for condition, reason in faults])
 
 
-def parse_rows(lines: DataFrame, strict_iso: bool = False) -> DataFrame:
+def parse_rows(text: DataFrame, strict_iso: bool = False) -> DataFrame:
     """Typed columns plus ``source_file``, ``value``, ``reason`` and ``rejected``.
 
     A narrow projection: no shuffle, no Python. ``value`` keeps the raw line of
-    rejected rows only.
+    rejected rows only. A clean line is known to be one line and no header, and
+    is cut and cast as a whole; the others are split, filtered and read field by
+    field.
     """
     width, n_texts, n_amounts = len(RAW_COLUMNS), len(TEXT_COLUMNS), len(AMOUNT_COLUMNS)
-    value = F.col("value")
+    value, clean = F.col("value"), F.col("clean")
     pattern = parsing.clean_line_pattern(n_texts, n_amounts)
-    checked = data_lines(lines).select("value", "source_file", value.rlike(pattern).alias("clean"))
+    lines = text.select("source_file", "value", value.rlike(pattern).alias("clean")).withColumn(
+        "value", F.explode(F.when(clean, F.array(value)).otherwise(_breaks(value)))
+    )
     head = parsing.clean_head(value, width - n_amounts)
-    cut = checked.select(
-        "*",
-        F.when(F.col("clean"), head).otherwise(parsing.split_fields(parsing.strip(value))).alias("f"),
+    long_way = parsing.split_fields(parsing.strip(value))
+    cut = lines.filter(clean | _is_data(value)).select(
+        "*", F.when(clean, head).otherwise(long_way).alias("f")
     )
     # A line with another number of fields yields NULLs.
     parts = cut.select(
         "value",
         "source_file",
         "clean",
-        F.when(F.col("clean") | (F.size("f") == width), F.col("f")).alias("fields"),
+        F.when(clean | (F.size("f") == width), F.col("f")).alias("fields"),
     )
     texts = F.slice("fields", 2, n_texts)
     amounts = F.slice("fields", width - n_amounts + 1, n_amounts)
+    date, count = F.col("fields")[0], F.col("fields")[n_texts + 1]
     row = F.struct(
-        parsing.reference_date(F.col("fields")[0], strict_iso).alias(DATE_COLUMN),
-        F.when(F.col("clean"), texts)
-        .otherwise(F.transform(texts, parsing.strip))
-        .alias("texts"),
-        parsing.operation_count(F.col("fields")[n_texts + 1]).alias(COUNT_COLUMN),
-        F.when(F.col("clean"), parsing.clean_amounts(value, n_amounts))
+        F.when(clean, date.try_cast("date"))
+        .otherwise(parsing.reference_date(date, strict_iso))
+        .alias(DATE_COLUMN),
+        F.when(clean, texts).otherwise(F.transform(texts, parsing.strip)).alias("texts"),
+        F.when(clean, count.try_cast("bigint"))
+        .otherwise(parsing.operation_count(count))
+        .alias(COUNT_COLUMN),
+        F.when(clean, parsing.clean_amounts(value, n_amounts))
         .otherwise(F.transform(F.transform(amounts, parsing.strip), parsing.stripped_amount))
         .alias("amounts"),
     )
