@@ -2,16 +2,18 @@
 
     python -m lendwatch ingest --raw RAW --out TABLES [--strict-iso] [--limit N]
     python -m lendwatch rates  --json RATES --out TABLES
-    python -m lendwatch marts  --out TABLES
+    python -m lendwatch marts  --out TABLES [--as-of DATE]
     python -m lendwatch train  --out TABLES [--csv FEATURES] [--no-write]
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 from dataclasses import replace
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from lendwatch.config import EwConfig
 from lendwatch.operators.features import read_features_csv
@@ -37,6 +39,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     train = steps.add_parser("train", help="validate models and score the last month")
     train.add_argument("--csv", help="read features from a CSV instead of the table")
     train.add_argument("--no-write", action="store_true", help="print the validation only")
+    marts.add_argument("--as-of", type=dt.date.fromisoformat, help="judge freshness on this day")
     for step in (marts, train):
         step.add_argument("--horizon", type=int, default=EwConfig.horizon_months)
         step.add_argument("--min-portfolio", type=float, default=EwConfig.min_portfolio)
@@ -64,7 +67,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         pipeline.load_rates(rates.read_rate_files(spark, args.json), args.out)
     elif args.step == "marts":
         table = spark.read.parquet(f"{args.out}/dim_taxa_selic")
-        pipeline.build_marts(sinks.read_bronze(spark, bronze), table, args.out, _config(args))
+        now = F.lit(args.as_of) if args.as_of else F.current_date()
+        pipeline.build_marts(sinks.read_bronze(spark, bronze), table, args.out, _config(args), now)
     else:
         features = (
             read_features_csv(spark, args.csv)

@@ -93,10 +93,9 @@ def load_rates(daily: DataFrame, out: str, low: float = 2.0, high: float = 15.0)
 
 
 def build_marts(
-    bronze: DataFrame, rate_table: DataFrame, out: str, cfg: EwConfig, now: Column | None = None
+    bronze: DataFrame, rate_table: DataFrame, out: str, cfg: EwConfig, now: Column
 ) -> dict[str, DataFrame]:
     """Star schema, reports and features; stops at the first failed gate."""
-    now = F.current_date() if now is None else now
     quality.gate(
         quality.freshness(
             bronze, "bronze", "data_base", now, cfg.freshness_warn_days, cfg.freshness_error_days

@@ -1,9 +1,12 @@
 """Every registered query: against DuckDB where it can be said in SQL, else by shape."""
 
+from dataclasses import replace
+
 import pytest
 
 import __spark_entry__ as entry
 from compare import assert_same, connect
+from lendwatch import queries
 from lendwatch.config import FEATURES
 
 QUERIES, STATEMENTS = entry.queries(), entry.oracle_sql()
@@ -31,7 +34,8 @@ def test_preview(spark, small):
     assert QUERIES["sample_preview"](spark, small).count() == 5
 
 
-def test_models(spark, small):
+def test_models(spark, small, monkeypatch):
+    monkeypatch.setattr(queries, "CFG", replace(queries.CFG, gbt_iterations=10))
     table = QUERIES["model_metrics_table"](spark, small).collect()
     assert len(table) == 2 and sum(r.is_selected for r in table) == 1
     for r in table:
