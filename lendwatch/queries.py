@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lendwatch import fixture
 from lendwatch.config import FEATURES, SEGMENT_KEYS, TARGET
-from lendwatch.functions import labels, parsing, scalars
+from lendwatch.functions import parsing, scalars
 from lendwatch.operators import features as feature_ops
 from lendwatch.operators import metrics, quality, reports, serving, star
 from lendwatch.plans import model, pipeline

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from lendwatch.config import FEATURES, SEGMENT_KEYS, TARGET, EwConfig
+from lendwatch.config import EwConfig
 from lendwatch.functions import scalars
 from lendwatch.operators import quality, serving, star
 from lendwatch.operators.features import (
@@ -26,8 +26,9 @@ STG = (
 JAN = dt.date(2024, 1, 31)
 
 
-def stg_row(date=JAN, state="SP", kind="PF", activity="A", size="S", modality="M", sub="m", active=100.0, bad=5.0):
-    return (date, state, "S1", kind, activity, size, modality, sub, 2, 0.0, 0.0, 1.0, 0.0, active, bad, 0.0)
+def stg_row(state="SP", kind="PF", activity="A", modality="M", sub="m", active=100.0, bad=5.0):
+    names = (JAN, state, "S1", kind, activity, "S", modality, sub)
+    return (*names, 2, 0.0, 0.0, 1.0, 0.0, active, bad, 0.0)
 
 
 @pytest.fixture
@@ -46,8 +47,8 @@ def test_keys_null_and_empty(stg):
     dims = star.build_dims(stg)
     fact = star.build_fact(stg, dims)
     assert fact.count() == stg.count()
-    by = {(r.state, r.active_portfolio, r.modality_id, r.client_id, r.economic_activity_id) for r in fact.collect()}
-    assert by == {
+    keys = ["state", "active_portfolio", "modality_id", "client_id", "economic_activity_id"]
+    assert {tuple(r) for r in fact.select(*keys).collect()} == {
         ("SP", 100.0, 2, 2, 1),
         ("RJ", 100.0, 2, 2, None),
         ("SP", 100.0, 2, None, None),
