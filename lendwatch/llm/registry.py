@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendwatch.llm import secret_scan
+from lendwatch.llm import mixing, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -27,3 +27,8 @@ def _query(name: str):
 @_query("op4_secret_scan")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_report(_table(spark, sf_dir, "documents"))
+
+
+@_query("op9_source_mix")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(_table(spark, sf_dir, "documents"))
