@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendwatch.llm import mixing, secret_scan
+from lendwatch.llm import mixing, secret_scan, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -32,3 +32,24 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_source_mix")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
+
+
+@_query("op8_warc_round_trip")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, _table(spark, sf_dir, "pages"))
+
+
+ORACLE_SQL["op8_warc_round_trip"] = """
+WITH hashed AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+lettered AS (
+  SELECT *, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(((CAST('0x' || substr(h, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT)
+      >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) + 1 AS BIGINT), 1)), '') AS payload_digest,
+    max(page_id) OVER (PARTITION BY html) AS response
+  FROM hashed)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN response = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN response <> page_id THEN response END AS refers_to
+FROM lettered
+"""
