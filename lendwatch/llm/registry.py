@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lendwatch.llm import license_scan, mixing, secret_scan, warc
+from lendwatch.llm import license_scan, mixing, packing, secret_scan, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -58,3 +59,14 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, payload_digest,
   CASE WHEN response <> page_id THEN response END AS refers_to
 FROM lettered
 """
+
+
+PACKING = packing.PackConfig(
+    tokenizer=public_tokenizers.path("byte_bpe_50k.json"),
+    ranks=(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN),
+)
+
+
+@_query("op10_pack_sequences")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), PACKING)
