@@ -157,24 +157,33 @@ def _best_column(value: np.ndarray) -> tuple[float, dict[int, int]]:
     return float(best[full]), dict(pattern)
 
 
-def _first_basis(demand: dict[int, int], full: int) -> list[dict[int, int]]:
+def _first_basis(demand: dict[int, int], full: int) -> tuple[list[int], list[dict[int, int]]]:
     """A pattern per class: each is used until it exhausts a class, which later ones leave out.
 
-    In the order of exhaustion the patterns form a triangular matrix, hence a basis.
+    Classes in the order of exhaustion, and their patterns: a triangular matrix, hence a basis.
     """
     left = {c: float(n) for c, n in demand.items()}
-    columns = []
+    classes, columns = [], []
     while left:
         value = np.zeros(full + 1)
         for c in left:  # long classes first: the short ones fill gaps later
             value[c] = c / full * (1 + c / full)
         _, pattern = _best_column(value)
         times, gone = min((left[c] / n, c) for c, n in pattern.items())
+        classes.append(gone)
         columns.append(pattern)
         for c, n in pattern.items():
             left[c] = max(left[c] - times * n, 0.0)
         del left[gone]
-    return columns
+    return classes, columns
+
+
+def _lower_inverse(lower: np.ndarray) -> np.ndarray:
+    inverse = np.zeros_like(lower)
+    for i in range(len(lower)):
+        inverse[i, i] = 1
+        inverse[i] = (inverse[i] - (lower[i, :i, None] * inverse[:i]).sum(axis=0)) / lower[i, i]
+    return inverse
 
 
 def solve_patterns(
@@ -186,12 +195,11 @@ def solve_patterns(
     the optimum is within ``gap``. The knapsack sees prices smoothed towards those of the best
     bound, which start in proportion to length; where that finds no column, the prices count.
     """
-    classes = sorted(demand)
+    classes, columns = _first_basis(demand, full)
     row = {c: i for i, c in enumerate(classes)}
     need = np.array([demand[c] for c in classes], float)
-    columns = _first_basis(demand, full)
-    inverse = np.linalg.inv(np.array([[p.get(c, 0) for p in columns] for c in classes], float))
-    used = np.maximum(inverse @ need, 0)
+    inverse = _lower_inverse(np.array([[p.get(c, 0) for p in columns] for c in classes], float))
+    used = np.maximum((inverse * need).sum(axis=1), 0)
     centre = np.array(classes) / full
     bound = centre @ need
 
@@ -218,7 +226,7 @@ def solve_patterns(
         column = np.zeros(len(classes))
         for c, n in pattern.items():
             column[row[c]] = n
-        change = inverse @ column
+        change = (inverse * column).sum(axis=1)
         with np.errstate(divide="ignore", invalid="ignore"):
             steps = np.where(change > 1e-9, used / change, np.inf)
         leaving = int(steps.argmin())
