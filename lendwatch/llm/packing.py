@@ -9,8 +9,8 @@ Only the histogram, of at most ``capacity / grain`` rows, reaches the driver.
 from __future__ import annotations
 
 import base64
-import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
@@ -24,15 +24,14 @@ from lendwatch.operators.ordering import row_numbers
 from lendwatch.storage import materialize
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-CACHED_CHUNKS = 400_000  # chunks a worker remembers; then it starts afresh
 
 
 @dataclass(frozen=True)
 class PackConfig:
     """``ranks``: the tokenizer's vocabulary as byte strings with ranks, and its split pattern.
 
-    With them unseen chunks are encoded by ``tiktoken``, which gives the same ids several times
-    faster; without them by ``tokenizers``.
+    With them ``tiktoken`` encodes, which gives the same ids several times faster; texts with the
+    strings of special tokens, and all texts without ranks, go through ``tokenizers``.
     """
 
     tokenizer: str
@@ -42,31 +41,8 @@ class PackConfig:
     grain: int = 8  # lengths are rounded up to this for the program; never for the pieces
 
 
-class ChunkIds(dict):
-    """Ids of a chunk, as little-endian 32-bit numbers, encoded on first use."""
-
-    def __init__(self, encode: Callable[[str], list[int]]):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHED_CHUNKS:
-            self.clear()
-        ids = np.array(self.encode(chunk), "<u4").tobytes()
-        self[chunk] = ids
-        return ids
-
-
-# White space other than single blanks and line ends, and controls: such texts are encoded whole.
-_ODD = re.compile("[\x00-\x09\x0b-\x1f\x7f-\xa0 ᠎ -‏ -  -⁯　﻿]")
-
-
 class TextIds:
-    """Ids of whole texts with a byte-level vocabulary that splits words before single blanks.
-
-    Such a tokenizer always breaks before a blank that stands between two characters that are not
-    white space, so the chunks between those blanks can be encoded, and remembered, one by one.
-    """
+    """Ids of whole texts, as little-endian 32-bit numbers."""
 
     def __init__(self, path: str, ranks: tuple[str, str] | None = None):
         from tokenizers import Tokenizer
@@ -74,21 +50,14 @@ class TextIds:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        self.whole = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
         self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        encode = _rank_encoder(*ranks) if ranks else self.whole
-        self.first = ChunkIds(encode)
-        self.later = ChunkIds(lambda chunk: encode(" " + chunk))
+        self.exact = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        self.fast = _rank_encoder(*ranks) if ranks else self.exact
 
     def __call__(self, text: str) -> bytes:
-        odd = (
-            "  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " "
-            or any(s in text for s in self.special) or _ODD.search(text)
-        )
-        if odd:
-            return np.array(self.whole(text), "<u4").tobytes()
-        chunks = text.split(" ")
-        return self.first[chunks[0]] + b"".join(map(self.later.__getitem__, chunks[1:]))
+        # Ranks do not know the strings of special tokens.
+        encode = self.exact if any(s in text for s in self.special) else self.fast
+        return array("I", encode(text)).tobytes()
 
 
 def _rank_encoder(path: str, pattern: str) -> Callable[[str], list[int]]:
@@ -103,7 +72,7 @@ _loaded: dict[tuple, TextIds] = {}
 
 
 def text_ids(cfg: PackConfig) -> TextIds:
-    """One tokenizer, with what it remembers, per worker process."""
+    """One tokenizer per worker process."""
     key = cfg.tokenizer, cfg.ranks
     if key not in _loaded:
         _loaded[key] = TextIds(*key)
@@ -119,7 +88,7 @@ def cut(ids: bytes, capacity: int) -> list[tuple[int, int, int]]:
 
 def cut_documents(docs: DataFrame, cfg: PackConfig) -> DataFrame:
     """Pieces of every document; a NULL or empty text is the end id alone."""
-    end = np.array([cfg.end_id], "<u4").tobytes()
+    end = array("I", [cfg.end_id]).tobytes()
 
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = text_ids(cfg)

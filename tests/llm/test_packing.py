@@ -58,7 +58,7 @@ def test_edges(docs_of, tokenizer):
 
 
 @pytest.mark.parametrize("ranks", [None, RANKS])
-def test_chunks_equal_whole_texts(tokenizer, ranks):
+def test_ids_equal_tokenizers(tokenizer, ranks):
     rng = random.Random(4)
     parts = ["a", "Word", " ", "  ", "\n", "'s", "'", "12", "é", "ß", ".", ",", "\t", "—", "𝄞", "don't", " ", "\x85", "<|", "|>"]
     encode = P.TextIds(PATH, ranks)
@@ -68,14 +68,6 @@ def test_chunks_equal_whole_texts(tokenizer, ranks):
         assert np.frombuffer(encode(text), "<u4").tolist() == want, repr(text)
 
 
-def test_cache_stays_bounded(monkeypatch):
-    monkeypatch.setattr(P, "CACHED_CHUNKS", 10)
-    chunks = P.ChunkIds(lambda c: [len(c)])
-    for i in range(100):
-        assert chunks["x" * i] == np.array([i], "<u4").tobytes()
-    assert len(chunks) <= 10
-
-
 @pytest.mark.parametrize("seed", range(6))
 def test_plan_holds_demand_near_the_bound(seed):
     rng = random.Random(seed)
