@@ -7,7 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lendwatch.llm import license_scan, mixing, packing, secret_scan, warc
+from lendwatch.llm import (
+    embedding_dedup,
+    license_scan,
+    mixing,
+    packing,
+    secret_scan,
+    top_k,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -25,6 +33,27 @@ def _query(name: str):
     return register
 
 
+@_query("op1_top_k_search")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k_report(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLE_SQL["op1_top_k_search"] = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 @_query("op4_secret_scan")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_report(_table(spark, sf_dir, "documents"))
@@ -40,6 +69,30 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(_table(spark, sf_dir, "documents")).drop("evidence")
 
 
+@_query("op6_embedding_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link_report(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLE_SQL["op6_embedding_dedup"] = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM usable a JOIN usable b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (
+  SELECT vec_id AS node, vec_id AS low FROM embeddings
+  UNION SELECT links.v, reach.low FROM reach JOIN links ON links.u = reach.node),
+lowest AS (SELECT node, min(low) AS component_id FROM reach GROUP BY node),
+degree AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, component_id = e.vec_id AS kept
+FROM embeddings e JOIN lowest ON node = e.vec_id LEFT JOIN degree ON u = e.vec_id
+"""
+
+
 @_query("op8_warc_round_trip")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, _table(spark, sf_dir, "pages"))
