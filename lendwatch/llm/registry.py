@@ -11,6 +11,7 @@ from lendwatch.llm import (
     embedding_dedup,
     license_scan,
     mixing,
+    near_dup,
     packing,
     secret_scan,
     top_k,
@@ -54,6 +55,38 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+@_query("op3_minhash_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.cluster(_table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op3_minhash_dedup"] = """
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingled AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END) AS s
+  FROM worded),
+numbered AS (SELECT doc_id, md5_number(s) AS h FROM shingled),
+sizes AS (SELECT doc_id, count(*) AS n FROM numbered GROUP BY doc_id),
+both_have AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n
+  FROM numbered a JOIN numbered b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT u, v FROM both_have c JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v
+  WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)),
+ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach AS (
+  SELECT doc_id AS node, doc_id AS low FROM documents
+  UNION SELECT ways.v, reach.low FROM reach JOIN ways ON ways.u = reach.node),
+lowest AS (SELECT node, min(low) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = d.doc_id AS kept
+FROM documents d JOIN lowest ON node = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+"""
+
+
 @_query("op4_secret_scan")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_report(_table(spark, sf_dir, "documents"))
