@@ -13,6 +13,7 @@ from lendwatch.llm import (
     mixing,
     near_dup,
     packing,
+    repeats,
     secret_scan,
     top_k,
     warc,
@@ -126,6 +127,11 @@ FROM embeddings e JOIN lowest ON node = e.vec_id LEFT JOIN degree ON u = e.vec_i
 """
 
 
+@_query("op7_repeat_removal")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal_report(_table(spark, sf_dir, "documents"))
+
+
 @_query("op8_warc_round_trip")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, _table(spark, sf_dir, "pages"))
