@@ -16,6 +16,7 @@ from lendwatch.llm import (
     repeats,
     secret_scan,
     top_k,
+    toxicity,
     warc,
 )
 
@@ -56,6 +57,12 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+@_query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return toxicity.toxicity_report(docs, labels).drop("evidence")
+
+
 @_query("op3_minhash_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.cluster(_table(spark, sf_dir, "documents"))
