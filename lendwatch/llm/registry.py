@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lendwatch.llm import (
@@ -19,6 +18,7 @@ from lendwatch.llm import (
     toxicity,
     warc,
 )
+from lendwatch.llm.settings import PACKING
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -160,12 +160,6 @@ FROM lettered
 """
 
 
-PACKING = packing.PackConfig(
-    tokenizer=public_tokenizers.path("byte_bpe_50k.json"),
-    ranks=(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN),
-)
-
-
 @_query("op10_pack_sequences")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), PACKING)
