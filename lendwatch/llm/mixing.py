@@ -125,28 +125,22 @@ def tilt_sources(sized: DataFrame, targets: DataFrame, cfg: MixConfig) -> DataFr
     return state.select("src", "capped", (F.col("tilt") / F.col("mean")).alias("tilt"))
 
 
-def mix(docs: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
-    """Rows of ``docs`` with ``size, source_size, target, rate, copies`` added.
+KEYS = ("doc_id", "source", "__text")
 
-    Added columns replace columns of the same names. A NULL text has size 0; NULL is a source of
-    its own, ordered last. Rows that repeat an id are documents of their own. Documents of size 0
-    may get copies, which take no words. An empty table gives an empty table. Copies follow the
-    order size, hash of the id, id, so reruns agree. Without a column ``text`` the sizes are taken
-    from ``size``.
-    """
-    added = ("size", "source_size", "target", "rate", "copies")
-    kept = [c for c in docs.columns if c not in added]
-    # One pass over the texts.
-    size = word_count(F.col("text")) if "text" in docs.columns else F.col("size")
-    named = docs.select(*[F.col(f"`{c}`").alias(f"d{i}") for i, c in enumerate(kept)], "source", size.alias("size"))
-    sized = materialize(named, "sized")
-    targets = source_targets(sized.select("source", "size"), cfg)
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("__text", F.xxhash64("text"))
+
+
+def _planned(sized: DataFrame, cfg: MixConfig) -> DataFrame:
+    """Copies for rows ``(doc_id, source, __text, size)``; rows that agree in all keys are one unit."""
+    units = materialize(sized.groupBy(*KEYS).agg(F.sum("size").alias("size")), "units")
+    targets = source_targets(units.select("source", "size"), cfg)
     known = targets.select(F.col("source").alias("s2"), "src", "source_size", "target")
-    wide = sized.join(known, F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
+    wide = units.join(known, F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
     tilts = tilt_sources(wide.select("src", "size"), targets, cfg)
-    key = f"d{kept.index('doc_id')}"
     rated = wide.join(tilts, "src").withColumn("units", _rate(cfg, F.col("capped"), F.col("tilt"), F.col("size")))
-    order = [F.col("size"), F.xxhash64(key), F.col(key)]
+    order = [F.col("size"), F.xxhash64("doc_id", "__text"), F.col("doc_id"), F.col("__text")]
     summed = running_totals(rated, order, {"upto": F.col("units"), "pos": F.lit(1).cast("bigint")}, ["src"])
 
     def rounded(total: Column) -> Column:
@@ -156,9 +150,32 @@ def mix(docs: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
         summed.withColumn("copies", (rounded(F.col("upto")) - rounded(F.col("upto") - F.col("units"))).cast("int")),
         "copies",
     )
-    return _mended(first, cfg).select(
-        *[F.col(f"d{i}").alias(c) for i, c in enumerate(kept)],
-        "size", "source_size", "target", (F.col("units") / UNIT).alias("rate"), "copies",
+    return _mended(first, cfg).select(*KEYS, "source_size", "target", (F.col("units") / UNIT).alias("rate"), "copies")
+
+
+def _joined(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` with the plan of their unit; NULL keys agree with NULL."""
+    other = plan.select(*[F.col(k).alias(f"__{i}") for i, k in enumerate(KEYS)], *[F.col(c).alias(f"__{c}") for c in plan.columns[3:]])
+    same = [F.col(k).eqNullSafe(F.col(f"__{i}")) for i, k in enumerate(KEYS)]
+    return rows.join(other, same)
+
+
+def mix(docs: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
+    """Rows of ``docs`` with ``size, source_size, target, rate, copies`` added.
+
+    Added columns replace columns of the same names. A NULL text has size 0; NULL is a source of
+    its own, ordered last. Rows that agree in id, source and text get the same number of copies.
+    Documents of size 0 may get copies, which take no words. An empty table gives an empty table.
+    Copies follow the order size, hash, id, so reruns agree. Texts are read twice and shuffled at
+    most once, to meet their copies.
+    """
+    added = ("size", "source_size", "target", "rate", "copies")
+    kept = [c for c in docs.columns if c not in added]
+    size = word_count(F.col("text"))
+    sized = materialize(_keyed(docs).select(*KEYS, size.alias("size")), "sized")
+    rows = _keyed(docs.select(*[F.col(f"`{c}`") for c in kept]))
+    return _joined(rows, _planned(sized, cfg)).select(
+        *[F.col(f"`{c}`") for c in kept], size.alias("size"), *[F.col(f"__{c}").alias(c) for c in added[1:]]
     )
 
 
@@ -186,13 +203,16 @@ def _mended(rows: DataFrame, cfg: MixConfig) -> DataFrame:
 
 def mix_report(docs: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
     """Per document: ``size, source_size, target, taken`` (words, repeats counted), copies and rate."""
-    counted = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    return mix(counted, cfg).select(
-        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate"
+    sized = materialize(_keyed(docs).select(*KEYS, word_count(F.col("text")).alias("size")), "sized")
+    return _joined(sized, _planned(sized, cfg)).select(
+        "doc_id", "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
+        (F.col("__copies") * F.col("size")).alias("taken"), F.col("__copies").alias("copies"), F.col("__rate").alias("rate"),
     )
 
 
 def mixed_documents(docs: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
     """The mix itself: each document as many times as it has copies."""
-    repeated = mix(docs, cfg).filter("copies > 0").withColumn("__i", F.explode(F.expr("sequence(1, copies)")))
+    sized = materialize(_keyed(docs).select(*KEYS, word_count(F.col("text")).alias("size")), "sized")
+    plan = _planned(sized, cfg).filter("copies > 0").select(*KEYS, "copies")
+    repeated = _joined(_keyed(docs), plan).withColumn("__i", F.explode(F.expr("sequence(1, __copies)")))
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
