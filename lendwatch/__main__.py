@@ -86,6 +86,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = SparkSession.builder.appName(f"lendwatch-{args.step}").getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     try:
         run(spark, args)
     finally:

@@ -25,6 +25,10 @@ class EwConfig:
     gbt_depth: int = 4
     gbt_rate: float = 0.05
     gbt_min_leaf: int = 50
+    # Early stopping holds out one row in ``gbt_hold_out``, at every size of the training data.
+    gbt_early_stop: bool = True
+    gbt_hold_out: int = 10
+    gbt_stop_tolerance: float = 1e-7
     importance_repeats: int = 5
     seed: int = 42
     model_version: str = "ew-v1"

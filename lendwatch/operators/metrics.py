@@ -80,7 +80,10 @@ def risk_cuts(scored_test: DataFrame, score: str, quantiles: Sequence[float]) ->
 
 def assign_bands(scores: DataFrame, cuts: DataFrame, score: str = "score") -> DataFrame:
     """Attach ``risk_band``; ``cuts`` is the single row of ``risk_cuts``."""
-    medium, high = cuts.first()
+    row = cuts.first()
+    if row is None:
+        raise ValueError("no test scores to cut into bands")
+    medium, high = row
     return scores.withColumn("risk_band", risk_band(F.col(score), F.lit(medium), F.lit(high)))
 
 

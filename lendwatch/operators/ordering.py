@@ -54,7 +54,14 @@ def running_totals(
     inside = Window.partitionBy(*groups, "__slice").orderBy(*order_by).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    joined = sliced.join(offsets, [*within, "__slice"])
+    # NULL is a group like any other, so groups are compared with NULL equal to NULL.
+    keys = [*within, "__slice"]
+    offsets = offsets.select(
+        *[F.col(c).alias(f"__of_{c}") for c in keys],
+        *[c for c in offsets.columns if c not in keys],
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in keys]
+    joined = sliced.join(offsets, same)
     summed = joined.withColumns(
         {name: F.sum(f"__{name}").over(inside) + F.col(f"__{name}_before") for name in totals}
     )

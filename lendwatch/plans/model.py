@@ -28,10 +28,6 @@ MODELS = [LOGISTIC, BOOSTING]
 ROW_KEY = ["segment_id", "reference_month"]
 WEIGHT = "class_weight"
 HELD_OUT = "is_validation"
-# Early stopping sets in above this many rows and holds out a tenth of them.
-EARLY_STOP_ROWS = 10_000
-EARLY_STOP_SHARE = 10
-EARLY_STOP_TOLERANCE = 1e-7
 
 
 def oot_split(
@@ -47,6 +43,10 @@ def oot_split(
     back = -cfg.horizon_months - int(strict)
     start = F.min(month)
     test_start, limit = last_months.agg(start, F.add_months(start, back)).first()
+    if test_start is None or rows.filter(month <= F.lit(limit)).isEmpty():
+        raise ValueError(
+            f"no labelled month is left for training before {cfg.n_test_months} test months"
+        )
     return rows.filter(month <= F.lit(limit)), rows.filter(month >= F.lit(test_start)), limit, test_start
 
 
@@ -97,7 +97,7 @@ def _logistic(medians: dict[str, float], n: int) -> Pipeline:
     )
 
 
-def _boosting(medians: dict[str, float], n: int, cfg: EwConfig) -> Pipeline:
+def _boosting(medians: dict[str, float], cfg: EwConfig) -> Pipeline:
     """Trees have no route for NULL here: filled values plus a flag stand in."""
     trees = GBTClassifier(
         labelCol=TARGET,
@@ -110,9 +110,9 @@ def _boosting(medians: dict[str, float], n: int, cfg: EwConfig) -> Pipeline:
         maxBins=255,
         seed=cfg.seed,
     )
-    if n > EARLY_STOP_ROWS:
+    if cfg.gbt_early_stop:
         trees = trees.setParams(
-            validationIndicatorCol=HELD_OUT, validationTol=EARLY_STOP_TOLERANCE
+            validationIndicatorCol=HELD_OUT, validationTol=cfg.gbt_stop_tolerance
         )
     return Pipeline(stages=[_fill(medians, flags=True), _assemble(flags=True), trees])
 
@@ -130,9 +130,9 @@ def fit(name: str, rows: DataFrame, cfg: EwConfig, medians: dict[str, float]) ->
     weight = F.when(F.col(TARGET) == 1, n / (2 * counts.get(1, n))).otherwise(
         n / (2 * counts.get(0, n))
     )
-    held_out = F.pmod(F.xxhash64(F.lit(cfg.seed), *ROW_KEY), F.lit(EARLY_STOP_SHARE)) == 0
+    held_out = F.pmod(F.xxhash64(F.lit(cfg.seed), *ROW_KEY), F.lit(cfg.gbt_hold_out)) == 0
     prepared = rows.withColumns({WEIGHT: weight, HELD_OUT: held_out})
-    pipeline = _logistic(medians, n) if name == LOGISTIC else _boosting(medians, n, cfg)
+    pipeline = _logistic(medians, n) if name == LOGISTIC else _boosting(medians, cfg)
     return pipeline.fit(prepared)
 
 

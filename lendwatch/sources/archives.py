@@ -12,6 +12,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendwatch.storage import materialize
+
 from lendwatch.sources.raw_text import OTHER_LINE_BREAKS
 
 LINES_PER_BATCH = 20_000
@@ -55,19 +57,19 @@ def explode_archives(
     """``(archive, member, value)``: the lines of every CSV member.
 
     A member is a compressed stream and is read start to end by one task, in
-    bounded batches; members spread over tasks. ``existing`` lists members to
-    skip.
+    bounded batches, each in a task of its own. ``existing`` lists members to
+    skip; a member of several archives is read from one.
     """
     uris = [p if "://" in p or p.startswith("file:") else f"file://{p}" for p in archive_paths]
     archives = spark.createDataFrame([(u,) for u in uris], "archive string")
-    members = list_members(spark, archives.repartition(max(1, len(uris))))
+    listed = list_members(spark, archives.repartition(max(1, len(uris))))
+    members = listed.groupBy("member").agg(F.min("archive").alias("archive"))
     if existing is not None:
         members = members.join(existing.select("member").distinct(), "member", "left_anti")
     # Rows are tiny and tasks long, so the number of tasks is set, not left to AQE.
-    tasks = min(12 * len(uris), 8 * spark.sparkContext.defaultParallelism)
+    chosen = materialize(members.select("archive", "member"), "members")
     lines = (
-        members.select("archive", "member")
-        .repartition(tasks)
+        chosen.repartitionByRange(max(1, chosen.count()), "archive", "member")
         .mapInPandas(_readers()[1], "archive string, member string, value string")
     )
     return lines.withColumn("value", F.explode(F.split("value", OTHER_LINE_BREAKS, -1)))

@@ -9,8 +9,14 @@ RECORDS = "array<struct<data:string,valor:string>>"
 
 
 def read_rates(documents: DataFrame) -> DataFrame:
-    """``(day, value)`` from a ``value`` column of JSON arrays of daily records."""
-    record = documents.select(F.explode(F.from_json("value", RECORDS)).alias("r"))
+    """``(day, value)`` from a ``value`` column of JSON arrays of daily records.
+
+    A document that is no such array is an error: read in the permissive mode it would be NULL
+    and vanish.
+    """
+    parsed = F.from_json("value", RECORDS, {"mode": "FAILFAST"})
+    broken = F.raise_error(F.lit("a document of rates is no JSON array"))
+    record = documents.select(F.explode(F.coalesce(parsed, broken.cast(RECORDS))).alias("r"))
     return record.select(
         F.to_date("r.data", "d/M/yyyy").alias("day"),
         F.replace(F.col("r.valor"), F.lit(","), F.lit(".")).cast("double").alias("value"),

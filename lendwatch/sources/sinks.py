@@ -41,7 +41,9 @@ def loaded_files(spark: SparkSession, path: str) -> DataFrame:
     """``source_file`` of everything stored; reads that one column."""
     try:
         return _stored(spark, path).select("source_file").distinct()
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return spark.createDataFrame([], "source_file string")
 
 

@@ -51,7 +51,10 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
 
 
 def drop_intermediates(spark: SparkSession) -> bool:
-    """Delete every intermediate this application wrote."""
+    """Delete every intermediate this application wrote; without a shared folder there is none."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and spark.sparkContext.applicationId not in _local_roots:
+        return False
     jvm = spark.sparkContext._jvm
     app = spark.sparkContext.applicationId
     folder = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/lendwatch/{app}")

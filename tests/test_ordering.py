@@ -84,3 +84,14 @@ def test_decile_sizes(spark):
     assert [r.segmentos for r in table] == [1365, 1364, 1364, 1364, 1365, 1364, 1364, 1364, 1364, 1365]
     assert table[-1].captura_acumulada == 1.0
     assert sum(r.deterioraram for r in table) == 1949
+
+
+def test_null_groups_keep_their_rows(spark):
+    rows = [(None, 1), (None, 3), ("a", 2), ("a", 4), ("b", 5)]
+    df = spark.createDataFrame(rows, "g string, v long")
+    totals = running_totals(df, [F.col("v")], {"upto": F.col("v")}, ["g"]).collect()
+    assert sorted((str(r.g), r.v, r.upto, r.upto_total) for r in totals) == [
+        ("None", 1, 1, 4), ("None", 3, 4, 4), ("a", 2, 2, 6), ("a", 4, 6, 6), ("b", 5, 5, 5)
+    ]
+    found = exact_quantiles(df, "v", [0.5], ["g"]).collect()
+    assert sorted((str(r.g), r.q0) for r in found) == [("None", 2.0), ("a", 3.0), ("b", 5.0)]

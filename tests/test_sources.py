@@ -148,3 +148,25 @@ def test_rates(spark, tmp_path):
     assert pipeline.load_rates(daily, str(tmp_path)).count() == 2
     with pytest.raises(quality.GateError):
         pipeline.load_rates(daily, str(tmp_path), high=10.0)
+
+
+def test_broken_or_empty_rates_keep_the_stored_table(spark, tmp_path):
+    out, path = str(tmp_path / "out"), tmp_path / "r.json"
+    path.write_text('[{"data":"02/01/2023","valor":"13.75"}]')
+    pipeline.load_rates(rates.read_rate_files(spark, str(path)), out)
+    for n, bad in enumerate(['[{"data":"02/01/2023","val', "[]", "", "null"]):
+        file = tmp_path / f"bad{n}.json"
+        file.write_text(bad)
+        with pytest.raises(Exception):  # noqa: B017
+            pipeline.load_rates(rates.read_rate_files(spark, str(file)), out)
+        assert spark.read.parquet(f"{out}/dim_taxa_selic").count() == 1
+
+
+def test_stream_counts_every_batch(spark, tmp_path):
+    src = tmp_path / "src" / "year=2023"
+    src.mkdir(parents=True)
+    for i in range(110):
+        (src / f"f{i:03d}.csv").write_text("a\nb\n")
+    out = str(tmp_path / "out")
+    read = load_incremental(spark, str(tmp_path / "src"), out, str(tmp_path / "cp"), max_files=1)
+    assert read == 220
