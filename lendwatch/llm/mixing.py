@@ -186,7 +186,9 @@ def _mended(rows: DataFrame, cfg: MixConfig) -> DataFrame:
     whose size is nearest to what is missing leaves the distance to that size.
     """
     for _ in range(cfg.mending_rounds):
-        off = rows.groupBy("src").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("off"))
+        # Written first: a table of known size, to which the rows need not be shuffled by source.
+        off = materialize(
+            rows.groupBy("src").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("off")), "off")
         able = F.when(F.col("off") > 0, F.col("copies") < cfg.max_copies).otherwise(F.col("copies") > 0)
         left = F.abs(F.abs("off") - F.col("size"))
         best = (
