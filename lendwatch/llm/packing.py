@@ -256,7 +256,9 @@ def pack(docs: DataFrame, cfg: PackConfig) -> DataFrame:
     padded to ``capacity`` unless its length is a power of two; offsets have no gaps.
     """
     spark = docs.sparkSession
-    pieces = cut_documents(docs, cfg).withColumn("cls", F.ceil(F.col("length") / cfg.grain).cast("int"))
+    # Written, as the ordering below reads its rows twice: texts are encoded once.
+    pieces = materialize(
+        cut_documents(docs, cfg).withColumn("cls", F.ceil(F.col("length") / cfg.grain).cast("int")), "pieces")
     order = [F.col("doc_id").asc_nulls_last(), F.col("start"), F.col("ids_crc32")]
     ranked = materialize(row_numbers(pieces, order, "nth", ["cls"]).drop("nth_total"), "ranked")
     # At most capacity / grain rows.
