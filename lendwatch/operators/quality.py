@@ -141,6 +141,21 @@ def month_gaps(df: DataFrame, date: str, file: str) -> DataFrame:
     )
 
 
+def complete_months(df: DataFrame, table: str, date: str, file: str) -> DataFrame:
+    """Number of months that are missing, and of months found in several files."""
+    found = ("missing", "duplicate")
+    counted = month_gaps(df, date, file).agg(*[F.count_if(F.col("status") == s).alias(s) for s in found])
+    lines = [
+        F.struct(
+            F.lit(f"{s}_month").alias("check"),
+            F.lit(f"{table}.{date}").alias("target"),
+            F.col(s).alias("failures"),
+        )
+        for s in found
+    ]
+    return _judged(counted.select(F.inline(F.array(*lines))))
+
+
 def combine(reports: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 

@@ -26,6 +26,12 @@ def _with_rate(rows: DataFrame, rates: DataFrame, exact_date: bool) -> DataFrame
     )
 
 
+def report_sums(fact: DataFrame) -> DataFrame:
+    """The fact summed by the keys of all reports, which are roll-ups of it."""
+    keys = ["reference_date", "state", "economic_activity_id"]
+    return fact.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS])
+
+
 def report_by(
     fact: DataFrame,
     dims: dict[str, DataFrame],
@@ -38,7 +44,8 @@ def report_by(
 
     The fact is summed by its own keys first, so that the joins to dates,
     activities and rates see one row per group instead of every operation, and
-    a hot group is reduced inside each task before the shuffle.
+    a hot group is reduced inside each task before the shuffle. ``report_sums``
+    of the fact may stand in for it.
     """
     fact_keys = ["reference_date"]
     if "state" in keys:

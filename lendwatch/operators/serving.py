@@ -15,6 +15,9 @@ from lendwatch.functions.labels import (
     MODALITY_LABELS,
     translate_label,
 )
+from lendwatch.storage import materialize
+
+BREAKDOWN_COLUMNS = ("credit_modality", "client_type", "client_size")
 
 
 def label_view(scores: DataFrame) -> DataFrame:
@@ -49,6 +52,8 @@ def band_trend(features: DataFrame, scores_en: DataFrame, future_months: int = 6
         )
         .withColumn("is_forecast_window", F.lit(False))
     )
+    # A few rows, read twice: for the trend and for its last month.
+    history = materialize(history, "band_history")
     last = history.agg(F.max("reference_month").alias("mx"))
     months = F.sequence(
         F.add_months("mx", 1), F.add_months("mx", future_months), F.expr("interval 1 month")
@@ -104,3 +109,14 @@ def watchlist(scores: DataFrame, n: int = 10, **equals: str) -> DataFrame:
     for column, value in equals.items():
         scores = scores.filter(F.col(column) == value)
     return scores.orderBy(F.desc("score"), "segment_id").limit(n)
+
+
+def dashboard(features: DataFrame, scores_en: DataFrame) -> dict[str, DataFrame]:
+    """The tables of the dashboard besides the scores, by name."""
+    return {
+        "ew_flagged_trend": band_trend(features, scores_en),
+        "ew_kpis": kpis(scores_en),
+        "ew_state_share": state_share(scores_en),
+        "ew_high_risk_breakdown": breakdown(scores_en, BREAKDOWN_COLUMNS),
+        "ew_watchlist": watchlist(scores_en),
+    }

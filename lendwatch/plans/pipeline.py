@@ -9,7 +9,7 @@ from lendwatch.config import TARGET, EwConfig
 from lendwatch.functions.scalars import relabel_unclassified
 from lendwatch.operators import quality, serving, star
 from lendwatch.operators.features import segment_features, segment_month
-from lendwatch.operators.reports import report_by, top_k_sectors
+from lendwatch.operators.reports import report_by, report_sums, top_k_sectors
 from lendwatch.plans import model
 from lendwatch.sources import rates as rate_source
 from lendwatch.sources import sinks
@@ -103,6 +103,7 @@ def build_marts(
             bronze, "bronze", "data_base", now, cfg.freshness_warn_days, cfg.freshness_error_days
         )
     )
+    quality.gate(quality.complete_months(bronze, "bronze", "data_base", "source_file"))
     stg = star.build_staging(bronze)
     dims = star.build_dims(stg)
     for name, table in {
@@ -121,17 +122,19 @@ def build_marts(
     quality.gate(mart_checks(fact, dims))
     quality.gate(quality.reconcile(fact, stg, "fact_credit_operation = staging"))
 
-    sector = report_by(fact, dims, rates, ["sector"], exact_rate_date=True)
+    # One scan and shuffle of the fact for all reports.
+    sums = materialize(report_sums(fact), "report_sums")
+    sector = report_by(sums, dims, rates, ["sector"], exact_rate_date=True)
     sector = _table(sector, out, "rpt_sector_default_by_month")
     tables["rpt_sector_default_by_month"] = sector
     tables["rpt_top_sector_default_by_month"] = _table(
         top_k_sectors(sector, cfg.top_sectors), out, "rpt_top_sector_default_by_month"
     )
     tables["rpt_state_default_by_month"] = _table(
-        report_by(fact, dims, rates, ["state"]), out, "rpt_state_default_by_month"
+        report_by(sums, dims, rates, ["state"]), out, "rpt_state_default_by_month"
     )
     tables["rpt_credit_by_state_sector_month"] = _table(
-        report_by(fact, dims, rates, ["state", "sector"], relabel=relabel_unclassified),
+        report_by(sums, dims, rates, ["state", "sector"], relabel=relabel_unclassified),
         out,
         "rpt_credit_by_state_sector_month",
     )
@@ -157,7 +160,8 @@ def train_and_score(features: DataFrame, out: str, cfg: EwConfig) -> dict[str, D
     v = model.fit_models(features, cfg)
     scores = _table(model.score_latest(features, v, cfg), out, "ew_segment_scores")
     sinks.replace_month(scores, f"{out}/ew_segment_scores_history", "reference_month")
-    scores_en = serving.label_view(scores)
+    scores_en = _table(serving.label_view(scores), out, "ew_segment_scores_en")
+    served = serving.dashboard(features, scores_en)
     return {
         "ew_segment_scores": scores,
         "ew_model_deciles": _table(model.deciles_table(v, cfg), out, "ew_model_deciles"),
@@ -166,5 +170,5 @@ def train_and_score(features: DataFrame, out: str, cfg: EwConfig) -> dict[str, D
             model.permutation_importance(v.models[v.best], v.test, cfg), out, "ew_model_importance"
         ),
         "ew_segment_scores_en": scores_en,
-        "ew_flagged_trend": serving.band_trend(features, scores_en),
+        **{name: _table(table, out, name) for name, table in served.items()},
     }

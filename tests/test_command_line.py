@@ -43,4 +43,8 @@ def test_all_steps(spark, small, tmp_path, capfd, monkeypatch):
     scored = spark.read.parquet(f"{out}/ew_segment_scores")
     assert {r[0] for r in scored.select("reference_month").distinct().collect()} == {latest}
     assert rows("ew_model_deciles") == 10 and rows("ew_model_importance") == 10
-    assert rows("ew_segment_scores_history") == scored.count()
+    assert rows("ew_segment_scores_history") == scored.count() == rows("ew_segment_scores_en")
+    states = scored.select("state").distinct().count()
+    assert rows("ew_kpis") == 1 and rows("ew_state_share") == states
+    assert rows("ew_watchlist") == min(10, scored.count())
+    assert rows("ew_flagged_trend") > 18 and rows("ew_high_risk_breakdown") >= 3

@@ -13,7 +13,7 @@ from lendwatch.operators.features import (
     segment_month,
     target_base_rate,
 )
-from lendwatch.operators.reports import report_by, top_k_sectors
+from lendwatch.operators.reports import report_by, report_sums, top_k_sectors
 from lendwatch.plans import pipeline
 
 STG = (
@@ -169,6 +169,26 @@ def test_each_rule_can_fail(spark):
     assert quality.reconcile(df, df.limit(1), "x").first().failures == 2
 
 
+def test_a_missing_or_doubled_month_stops_the_job(spark):
+    def months(*rows):
+        df = spark.createDataFrame([(dt.date(2024, m, 28), f) for m, f in rows], "d date, f string")
+        return quality.complete_months(df, "x", "d", "f")
+
+    quality.gate(months((1, "a"), (2, "b"), (2, "b"), (3, "c")))
+    with pytest.raises(quality.GateError, match="missing_month x.d: 1"):
+        quality.gate(months((1, "a"), (3, "c")))
+    with pytest.raises(quality.GateError, match="duplicate_month x.d: 1"):
+        quality.gate(months((1, "a"), (1, "b")))
+
+
+def test_reports_from_sums_equal_those_from_the_fact(stg, spark):
+    dims = star.build_dims(stg)
+    fact = star.build_fact(stg, dims)
+    for keys in (["state"], ["sector"], ["state", "sector"]):
+        one, other = (report_by(f, dims, no_rates(spark), keys) for f in (fact, report_sums(fact)))
+        assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, other.collect()), key=str)
+
+
 def test_freshness_warning_does_not_stop(spark):
     df = spark.createDataFrame([(JAN,)], "d date")
     for days, status in ((60, "pass"), (90, "warn"), (91, "error")):
