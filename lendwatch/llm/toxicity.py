@@ -1,12 +1,14 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
 Terms are words and the beginnings of words. A bounded sample of labelled documents gives the
-terms that tell the label, their weights and the examples; each example's neighbours among the
-others calibrate votes. Scoring reads every whole text once, without a shuffle.
+terms, their weights and the examples. Every text is searched by its whole vector, and once more by
+the part of it that tells the label; each example's neighbours among the others calibrate the mean
+of both votes. Scoring reads every whole text once, without a shuffle.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter
@@ -15,28 +17,30 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendwatch.storage import materialize
 
 _WORD = re.compile(r"[^\W\d_]+")
+_DENSE = 512  # the most frequent terms have a row of weights each instead of postings
+_TOGETHER = 64  # queries that are multiplied with those rows at a time
 
 
 @dataclass(frozen=True)
 class ToxicConfig:
     """``examples``: the bound of the fitted sample, taken by a hash of the id.
 
-    A term needs ``least_documents`` examples, most of its weight among toxic ones, and a
-    G-statistic that chance does not reach among that many terms, and of at least ``least_share``
-    of the strongest term's, as copies of one text lend each other weight; the ``terms`` best are
-    kept. ``prefixes`` are the lengths of word beginnings that are terms too.
+    The whole vectors hold every term of the sample. A term tells if it has ``least_documents``
+    examples, most of its weight among toxic ones, and a G-statistic that chance does not reach
+    among that many terms; the ``terms`` best make up the second search. ``prefixes`` are the
+    lengths of word beginnings that are terms too.
     """
 
     examples: int = 20_000
     terms: int = 4_000
     least_documents: int = 3
-    least_share: float = 0.02
     prefixes: tuple[int, ...] = (4, 5, 6, 7)
     neighbours: int = 15
     block: int = 32
@@ -56,103 +60,174 @@ def terms_of(words: Iterable[str], prefixes: tuple[int, ...]) -> set[str]:
     return found
 
 
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The numbers of all half-open ranges, one range after the other."""
+    sizes = ends - starts
+    shift = starts - np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    return np.repeat(shift, sizes) + np.arange(sizes.sum())
+
+
 class BlockMaxIndex:
     """Postings of each term by example, with the largest weight in each block of examples.
 
-    ``nearest`` finds the ``k`` largest dot products exactly. The blocks of the highest bounds are
-    scored first; the k-th score among them rules out every block whose bound is lower, and the
-    postings of the others are scored in one pass.
+    ``nearest`` finds the ``k`` largest dot products exactly. The most frequent terms, which rule
+    out no block, are dense rows multiplied with several queries at a time; the largest sum in a
+    block joins its bound. The blocks of the highest bounds are scored first; the k-th score among
+    them rules out every block whose bound is lower, and only the postings of the others are read.
     """
 
     def __init__(self, vectors: list[dict[int, float]], block: int):
-        postings: dict[int, list[tuple[int, float]]] = {}
-        for i, vector in enumerate(vectors):
-            for term, weight in vector.items():
-                postings.setdefault(term, []).append((i, weight))
-        self.size, self.block = len(vectors), block
-        self.ids, self.weights, self.home, self.blocks = {}, {}, {}, {}
-        for term, entries in postings.items():
-            self.ids[term] = np.array([i for i, _ in entries], np.int32)
-            self.weights[term] = np.array([w for _, w in entries])
-            self.home[term] = self.ids[term] // block
-            starts = np.flatnonzero(np.diff(self.home[term], prepend=-1))
-            self.blocks[term] = (self.home[term][starts], np.maximum.reduceat(self.weights[term], starts))
-
-    def _scores(self, known: list[tuple[int, float]], wanted: np.ndarray, skip: int) -> tuple[np.ndarray, np.ndarray]:
+        sizes = [len(v) for v in vectors]
+        terms = np.fromiter((t for v in vectors for t in v), np.int32, sum(sizes))
+        self._build(np.array(sizes, np.int64), terms, np.fromiter((w for v in vectors for w in v.values()), float, len(terms)), block)
+
+    @classmethod
+    def of_arrays(cls, sizes: np.ndarray, terms: np.ndarray, weights: np.ndarray, block: int) -> BlockMaxIndex:
+        """From the vectors' sizes and their terms and weights, one vector after the other."""
+        index = cls.__new__(cls)
+        index._build(sizes, terms, weights, block)
+        return index
+
+    def _build(self, sizes: np.ndarray, terms: np.ndarray, weights: np.ndarray, block: int) -> None:
+        self.size, self.block = len(sizes), block
+        ids = np.repeat(np.arange(self.size, dtype=np.int32), sizes)
+        counts = np.bincount(terms, minlength=1)
+        frequent = np.argsort(-counts, kind="stable")[:_DENSE]
+        frequent = frequent[(counts[frequent] > 0) & (counts[frequent] * 16 >= self.size)]
+        self.row = np.full(len(counts), -1, np.int32)
+        self.row[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), self.size))
+        often = self.row[terms] >= 0
+        self.dense[self.row[terms[often]], ids[often]] = weights[often]
+        ids, weights, terms = ids[~often], weights[~often], terms[~often]
+        order = np.argsort(terms, kind="stable").astype(np.int32)  # examples of a term stay in order
+        self.ids, self.weights, terms = ids[order], weights[order], terms[order]
+        del ids, weights, order, often
+        home = self.ids // block
+        # A run holds one term's postings in one block.
+        new = np.ones(len(terms), bool)
+        new[1:] = (terms[1:] != terms[:-1]) | (home[1:] != home[:-1])
+        starts = np.flatnonzero(new)
+        self.home = home[starts]
+        self.most = np.maximum.reduceat(self.weights, starts) if len(starts) else np.empty(0)
+        self.starts = np.append(starts, len(terms)).astype(np.int32)
+        self.runs = np.searchsorted(terms[starts], np.arange(len(counts) + 1)).astype(np.int32)
+
+    def _scores(self, sums: np.ndarray, runs: np.ndarray, weights: np.ndarray, wanted: np.ndarray, skip: int):
         """Examples above 0 in the wanted blocks, and their scores."""
-        scores = np.zeros(self.size)
-        for term, weight in known:
-            inside = wanted[self.home[term]]
-            scores[self.ids[term][inside]] += weight * self.weights[term][inside]
+        inside = wanted[self.home[runs]]
+        runs, weights = runs[inside], weights[inside]
+        starts, ends = self.starts[runs], self.starts[runs + 1]
+        at = _ranges(starts, ends)
+        scores = sums + np.bincount(self.ids[at], np.repeat(weights, ends - starts) * self.weights[at], self.size)
+        scores = np.where(np.repeat(wanted, self.block)[: self.size], np.round(scores, 12), 0.0)  # equal vectors tie
         if skip >= 0:
             scores[skip] = 0
         found = np.flatnonzero(scores)
         return found, scores[found]
 
-    def nearest(self, query: dict[int, float], k: int, skip: int = -1) -> list[tuple[float, int]]:
-        """Up to ``k`` (similarity, example), best first, ties to the smaller example; only above 0."""
-        known = [(t, query[t]) for t in sorted(query) if t in self.ids]
-        if not known:
-            return []
-        limit = np.zeros((self.size - 1) // self.block + 1)
-        for term, weight in known:
-            numbers, most = self.blocks[term]
-            limit[numbers] += weight * most
-        limit *= 1 + 1e-12  # sums may round in another order
-        first = min(2 * k // self.block + 4, len(limit))
+    def _nearest(self, sums: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int, skip: int) -> list[tuple[float, int]]:
+        first, last = self.runs[terms], self.runs[terms + 1]
+        runs, weights = _ranges(first, last), np.repeat(weights, last - first)
+        limit = np.maximum.reduceat(sums, np.arange(0, self.size, self.block))
+        limit = limit + np.bincount(self.home[runs], weights * self.most[runs], len(limit))
+        limit[limit > 0] += 2e-12  # sums may round in another order
+        some = min(2 * k // self.block + 4, len(limit))
         leading = np.zeros(len(limit), bool)
-        leading[np.argpartition(-limit, first - 1)[:first]] = True
-        found, scores = self._scores(known, leading, skip)
+        leading[np.argpartition(-limit, some - 1)[:some]] = True
+        found, scores = self._scores(sums, runs, weights, leading, skip)
         least = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
-        wanted = (limit > 0) & (limit >= least)
-        if (wanted & ~leading).any():
-            found, scores = self._scores(known, wanted | leading, skip)
+        wanted = (limit > 0) & (limit >= least) & ~leading
+        if wanted.any():
+            more = self._scores(sums, runs, weights, wanted, skip)
+            found, scores = np.concatenate((found, more[0])), np.concatenate((scores, more[1]))
         if len(scores) > k:
             near = scores >= np.partition(scores, -k)[-k]
             found, scores = found[near], scores[near]
         order = np.lexsort((found, -scores))[:k]
         return [(float(scores[i]), int(found[i])) for i in order]
 
+    def nearest_of_each(self, queries: Iterable[dict[int, float]], k: int, skip: bool = False) -> Iterator[list[tuple[float, int]]]:
+        """``nearest`` of one query after the other; ``skip``: the i-th passes over the i-th example."""
+        queries, done = iter(queries), 0
+        while some := list(itertools.islice(queries, _TOGETHER)):
+            if not self.size:
+                yield from ([] for _ in some)
+                continue
+            asked, rest = np.zeros((len(some), len(self.dense))), []
+            for i, query in enumerate(some):
+                terms = np.array(sorted(t for t in query if t < len(self.row)), np.int64)
+                weights, rows = np.array([query[t] for t in terms.tolist()], float), self.row[terms]
+                asked[i, rows[rows >= 0]] = weights[rows >= 0]
+                rest.append((terms[rows < 0], weights[rows < 0]))
+            for i, (sums, (terms, weights)) in enumerate(zip(asked @ self.dense, rest, strict=True)):
+                yield self._nearest(sums, terms, weights, k, done + i if skip else -1)
+            done += len(some)
+
+    def nearest(self, query: dict[int, float], k: int, skip: int = -1) -> list[tuple[float, int]]:
+        """Up to ``k`` (similarity, example), best first, ties to the smaller example; only above 0."""
+        found = next(self.nearest_of_each([query], k + (skip >= 0)))
+        return [f for f in found if f[1] != skip][:k]
+
+
+def _normalised(weights: dict[int, float]) -> dict[int, float]:
+    norm = math.sqrt(sum(w * w for w in weights.values()))
+    return {t: w / norm for t, w in weights.items()}
+
 
 class Vocabulary:
     """Known terms and their weights."""
 
-    def __init__(self, idf: dict[str, float], prefixes: tuple[int, ...]):
+    def __init__(self, idf: dict[str, float], prefixes: tuple[int, ...], telling: Iterable[str] = ()):
         self.names = sorted(idf)
         self.idf = [idf[t] for t in self.names]
         self.number = {t: i for i, t in enumerate(self.names)}
-        self.whole = {t for t in self.names if not t.endswith("*")}
-        self.starts = {n: {t[:-1] for t in self.names if t.endswith("*") and len(t) == n + 1} for n in prefixes}
+        self.prefixes = prefixes
+        self.telling = frozenset(self.number[t] for t in telling)
 
     def vector(self, words: Counter) -> dict[int, float]:
         """Normalised TF-IDF weights, (1 + log tf) idf, of the known terms of a text."""
-        seen: Counter = Counter()
-        for w in self.whole.intersection(words):
-            seen[self.number[w]] += words[w]
-        for n, starts in self.starts.items():
-            if starts:
-                for w in words:
-                    if w[:n] in starts and len(w) > n:
-                        seen[self.number[w[:n] + "*"]] += words[w]
+        seen: dict[int, int] = {}
+        for w, n in words.items():
+            for term in (w, *[w[:m] + "*" for m in self.prefixes if len(w) > m]):
+                at = self.number.get(term)
+                if at is not None:
+                    seen[at] = seen.get(at, 0) + n
         weights = {t: (1 + math.log(c)) * self.idf[t] for t, c in seen.items()}
-        norm = math.sqrt(sum(w * w for w in weights.values()))
-        return {t: w / norm for t, w in weights.items()}
+        return _normalised(weights)
+
+    def telling_part(self, vector: dict[int, float]) -> dict[int, float]:
+        return _normalised({t: vector[t] for t in sorted(self.telling.intersection(vector))})
 
 
 class Model:
-    """Vocabulary, examples in a block-max index, and calibration."""
+    """Vocabulary, examples in two block-max indexes, and calibration."""
 
-    def __init__(self, vocabulary: Vocabulary, examples: list[tuple[int, int, dict[int, float]]], cfg: ToxicConfig):
-        """``examples``: id, label and vector."""
+    def __init__(self, vocabulary: Vocabulary, examples: pa.Table, cfg: ToxicConfig):
+        """``examples``: id, label, and the bytes of the terms (int32) and weights (float32)."""
         self.cfg, self.vocabulary = cfg, vocabulary
-        self.prior = (sum(label for _, label, _ in examples) + 1) / (len(examples) + 2)
-        told = [e for e in examples if e[2]]
-        self.keys = [key for key, _, _ in told]
-        self.labels = np.array([label for _, label, _ in told], float)
-        self.index = BlockMaxIndex([vector for _, _, vector in told], cfg.block)
-        empty = [label for _, label, vector in examples if not vector]
-        self.empty = (sum(empty) + self.prior) / (len(empty) + 1)
-        self._calibrate([vector for _, _, vector in told])
+        labels = examples.column("toxic").to_numpy().astype(float)
+        self.prior = float((labels.sum() + 1) / (len(labels) + 2))
+        order = np.argsort(examples.column("doc_id").to_numpy(), kind="stable").tolist()
+        sizes = pc.binary_length(examples.column("terms")).to_numpy().astype(np.int64)[order] // 4
+        labels, keys = labels[order], examples.column("doc_id").to_numpy()[order]
+        terms, weights = (
+            np.frombuffer(b"".join(examples.column(c)[i].as_buffer() for i in order), t)
+            for c, t in (("terms", np.int32), ("weights", np.float32)))
+        told = sizes > 0
+        self.keys = keys[told].tolist()
+        self.labels, empty = labels[told], labels[~told]
+        self.empty = (float(empty.sum()) + self.prior) / (len(empty) + 1)
+        sizes = sizes[told]
+        ends = np.cumsum(sizes)
+        self.index = BlockMaxIndex.of_arrays(sizes, terms, weights, cfg.block)
+
+        def vectors() -> Iterator[dict[int, float]]:
+            for end, size in zip(ends.tolist(), sizes.tolist()):
+                yield dict(zip(terms[end - size : end].tolist(), weights[end - size : end].tolist(), strict=True))
+
+        self.telling = BlockMaxIndex([vocabulary.telling_part(v) for v in vectors()], cfg.block)
+        self._calibrate([vote for vote, _ in self.votes(vectors(), skip=True)])
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         """Similarity-weighted share of toxic neighbours, drawn to the prior where they are far."""
@@ -160,9 +235,16 @@ class Model:
         toxic = sum(s * self.labels[i] for s, i in near)
         return (toxic + self.cfg.prior_weight * self.prior) / (weight + self.cfg.prior_weight)
 
-    def _calibrate(self, vectors: list[dict[int, float]]) -> None:
+    def votes(self, vectors: Iterable[dict[int, float]], skip: bool = False) -> Iterator[tuple[float, list[tuple[float, int]]]]:
+        """The mean vote of both searches and the neighbours by the whole vector, for each vector."""
+        whole, again = itertools.tee(vectors)
+        near = self.index.nearest_of_each(whole, self.cfg.neighbours, skip)
+        telling = self.telling.nearest_of_each(map(self.vocabulary.telling_part, again), self.cfg.neighbours, skip)
+        for one, two in zip(near, telling, strict=True):
+            yield (self.vote(one) + self.vote(two)) / 2, one
+
+    def _calibrate(self, votes: list[float]) -> None:
         """Each example's vote by the others, made monotone by pooling adjacent violators."""
-        votes = [self.vote(self.index.nearest(v, self.cfg.neighbours, skip=i)) for i, v in enumerate(vectors)]
         pools: list[list[float]] = []  # first and last vote, toxic, all
         for i in np.argsort(votes, kind="stable").tolist():
             pools.append([votes[i], votes[i], self.labels[i], 1])
@@ -174,16 +256,16 @@ class Model:
         self.at = np.array([(a + b) / 2 for a, b, _, _ in pools] or [0.5])
         self.chance = np.array([(t + self.prior) / (n + 1) for _, _, t, n in pools] or [self.prior])
 
-    def score(self, text: str | None) -> tuple[float, str]:
-        vector = self.vocabulary.vector(words_of(text))
-        if not vector or not len(self.labels):
-            return float(min(max(self.empty, 0.0), 1.0)), ""
-        near = self.index.nearest(vector, self.cfg.neighbours)
-        vote = self.vote(near)
-        # Between pools the chance is interpolated; a small part of the vote breaks ties.
-        chance = float(np.interp(vote, self.at, self.chance))
-        evidence = ";".join(f"{self.keys[i]}:{int(self.labels[i])}:{s:.4f}" for s, i in near[:5])
-        return min(max(0.999 * chance + 0.001 * vote, 0.0), 1.0), evidence
+    def scores(self, texts: Iterable[str | None]) -> Iterator[tuple[float, str]]:
+        words, again = itertools.tee(map(words_of, texts))
+        for counted, (vote, near) in zip(words, self.votes(map(self.vocabulary.vector, again)), strict=True):
+            if not counted or not len(self.labels):
+                yield float(min(max(self.empty, 0.0), 1.0)), ""
+                continue
+            # Between pools the chance is interpolated; a small part of the vote breaks ties.
+            chance = float(np.interp(vote, self.at, self.chance))
+            evidence = ";".join(f"{self.keys[i]}:{int(self.labels[i])}:{s:.4f}" for s, i in near[:5])
+            yield min(max(0.999 * chance + 0.001 * vote, 0.0), 1.0), evidence
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig) -> DataFrame:
@@ -221,7 +303,9 @@ def _term_counts(rows: DataFrame, cfg: ToxicConfig) -> DataFrame:
 
 
 def _vocabulary(rows: DataFrame, cfg: ToxicConfig) -> Vocabulary:
-    counts = materialize(_term_counts(rows, cfg).filter(F.col("toxic") + F.col("clean") >= cfg.least_documents), "terms")
+    """Every term of the sampled rows; the sample bounds what comes to the driver."""
+    every = materialize(_term_counts(rows, cfg), "terms")
+    counts = every.filter(F.col("toxic") + F.col("clean") >= cfg.least_documents)
     sums = rows.agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).first()
     toxic, n = sums.t or 0, sums.n
 
@@ -235,16 +319,14 @@ def _vocabulary(rows: DataFrame, cfg: ToxicConfig) -> Vocabulary:
     )
     chance = 2 * math.log(max(counts.count(), 1))
     telling = counts.filter(a * (n - toxic) > b * toxic).withColumn("g", g)
-    strongest = telling.agg(F.max("g").alias("g")).first().g or 0.0
-    best = (
-        telling.filter(F.col("g") >= max(chance, cfg.least_share * strongest))
-        .orderBy(F.desc("g"), "term").limit(cfg.terms).collect()  # at most cfg.terms rows
-    )
-    return Vocabulary({r.term: math.log((1 + n) / (1 + r.toxic + r.clean)) + 1 for r in best}, cfg.prefixes)
+    best = telling.filter(F.col("g") >= chance).orderBy(F.desc("g"), "term").limit(cfg.terms).collect()
+    known = every.select("term", with_.alias("n")).toArrow()
+    idf = {t: math.log((1 + n) / (1 + c)) + 1 for t, c in zip(*[c.to_pylist() for c in known.columns], strict=True)}
+    return Vocabulary(idf, cfg.prefixes, [r.term for r in best])
 
 
 def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig = ToxicConfig()) -> Model:
-    """The model; at most ``cfg.examples`` sparse vectors of at most ``cfg.terms`` weights come to the driver."""
+    """The model; at most ``cfg.examples`` sparse vectors come to the driver, as arrays."""
     rows = materialize(training_rows(docs, labels, cfg), "training")
     vocabulary = _vocabulary(rows, cfg)
 
@@ -252,31 +334,30 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig = ToxicConfig()) ->
         for batch in batches:
             found = [vocabulary.vector(words_of(t.as_py())) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([list(v) for v in found], pa.list_(pa.int32())),
-                 pa.array([list(v.values()) for v in found], pa.list_(pa.float64()))],
+                [batch.column(0), batch.column(1), pa.array([np.array(list(v), np.int32).tobytes() for v in found], pa.binary()),
+                 pa.array([np.array(list(v.values()), np.float32).tobytes() for v in found], pa.binary())],
                 ["doc_id", "toxic", "terms", "weights"])
 
     vectorised = rows.select("doc_id", F.col("toxic").cast("int"), "text").mapInArrow(
-        vectors, "doc_id long, toxic int, terms array<int>, weights array<double>")
-    examples = [(r.doc_id, r.toxic, dict(zip(r.terms, r.weights, strict=True))) for r in vectorised.collect()]
-    return Model(vocabulary, sorted(examples, key=lambda e: e[0]), cfg)
+        vectors, "doc_id long, toxic int, terms binary, weights binary")
+    return Model(vocabulary, vectorised.toArrow(), cfg)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Rows of ``docs`` with ``score`` (0 to 1) and ``evidence`` (nearest examples id:label:similarity).
 
-    Only the text is read for the score. NULL and empty texts, and texts without a known term, get
-    the rate among such examples. Rows that repeat an id are scored one by one.
+    Only the text is read for the score. NULL and wordless texts get the rate among
+    such examples. Rows that repeat an id are scored one by one.
     """
     kept = [c for c in docs.columns if c not in ("score", "evidence")]
     schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema.add("score", "double").add("evidence", "string")
     at = kept.index("text")
-    # Bounded by cfg.examples vectors of cfg.terms weights.
+    # Bounded by cfg.examples vectors.
     known = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            told = [known.value.score(t.as_py()) for t in batch.column(at)]
+            told = list(known.value.scores(t.as_py() for t in batch.column(at)))
             extra = [pa.array([s for s, _ in told], pa.float64()), pa.array([e for _, e in told], pa.string())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, "score", "evidence"])
 

@@ -80,3 +80,27 @@ def test_planted_words_and_sample_bound(docs_of, spark):
     assert len(T.training_rows(docs, labels, T.ToxicConfig(examples=100)).collect()) == 100
     model = T.fit(docs, labels)
     assert {r.doc_id for r in T.without_toxic(docs, model).collect()} == {i for i, p in got.items() if not p}
+
+
+def test_rare_terms_of_long_vectors():
+    rng = random.Random(2)
+    draw = lambda: {int(rng.paretovariate(0.6)) % 4000: rng.random() for _ in range(60)}
+    vectors = [draw() for _ in range(700)]
+    index = T.BlockMaxIndex(vectors, 16)
+    assert 0 < len(index.dense) < 200 < len(index.ids)
+    for near in zip(queries := [draw() for _ in range(70)], index.nearest_of_each(queries, 9)):
+        want = sorted(((-sum(w * v.get(t, 0) for t, w in near[0].items()), i) for i, v in enumerate(vectors)))[:9]
+        assert [i for _, i in near[1]] == [i for _, i in want]
+    for (i, query), near in zip(enumerate(vectors), index.nearest_of_each(vectors, 3, skip=True)):
+        assert [j for _, j in near] == [j for _, j in index.nearest(query, 3, skip=i)] and i not in [j for _, j in near]
+
+
+def test_every_text_with_words_is_searched(tables):
+    """Clean-leaning terms are in the vectors: a text without a toxic word has neighbours as well."""
+    docs, labels = tables
+    model = T.fit(docs, labels)
+    assert len(model.vocabulary.telling) < len(model.vocabulary.names) / 10
+    for r in T.score(docs, model).select("text", "evidence").collect():
+        assert bool(model.vocabulary.vector(T.words_of(r.text))) == bool(r.evidence)
+    sampled = T.training_rows(docs, labels, model.cfg).collect()
+    assert {t for r in sampled for t in T.terms_of(T.words_of(r.text), model.cfg.prefixes)} == set(model.vocabulary.names)
