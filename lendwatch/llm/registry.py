@@ -97,7 +97,7 @@ FROM documents d JOIN lowest ON node = d.doc_id LEFT JOIN sizes s ON s.doc_id =
 
 @_query("op4_secret_scan")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.scan_report(_table(spark, sf_dir, "documents"))
+    return secret_scan.scan_report(_table(spark, sf_dir, "documents"), secret_scan.BY_CLASS)
 
 
 @_query("op9_source_mix")

@@ -92,3 +92,16 @@ def test_empty_table_and_clashing_columns(docs_of, all_docs):
 def test_plan_has_no_python_and_no_shuffle(all_docs):
     plan = S.scan_report(all_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_random_keys_of_each_class_are_found(docs_of):
+    rng = random.Random(11)
+    lower, upper = string.ascii_lowercase, string.ascii_uppercase
+    alphabets = ["0123456789abcdef", lower + string.digits, upper + "234567", lower + upper + string.digits, lower + upper + string.digits + "+/"]
+    keys = [(a, "".join(rng.choices(a, k=n))) for a in alphabets for n in (20, 32) for _ in range(200)]
+    found = {r.doc_id: r.spans for r in S.scan_report(docs_of([k for _, k in keys]), S.BY_CLASS).collect()}
+    for a in alphabets:
+        own = [i for i, (b, _) in enumerate(keys) if b == a]
+        assert sum("entropy" in found[i] for i in own) >= 0.95 * len(own), a
+    prose = ["internationalization_of_documents", "1999888877776666555544443333", "deadbeef-dead-beef-dead-deadbeefdead", "aaaaaaaaaabbbbbbbbbb1111111111"]
+    assert [r.spans for r in S.scan_report(docs_of(prose), S.BY_CLASS).collect() if "entropy" in r.spans] == []
