@@ -31,14 +31,17 @@ def _readers():
         for batch in batches:
             for archive in batch["archive"]:
                 with opened(archive) as files:
-                    names = [n for n in files.namelist() if n.lower().endswith(".csv")]
-                yield pd.DataFrame({"archive": archive, "member": names})
+                    found = [i for i in files.infolist() if i.filename.lower().endswith(".csv")]
+                names, sizes, crcs = ([getattr(i, a) for i in found] for a in ("filename", "file_size", "CRC"))
+                yield pd.DataFrame({"archive": archive, "member": names, "size": sizes, "crc": crcs})
 
     def read_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for archive, member in zip(batch["archive"], batch["member"]):
-                with opened(archive) as files, files.open(member) as raw:
-                    text = io.TextIOWrapper(raw, encoding="utf-8")
+            for archive, *entry in zip(batch["archive"], batch["member"], batch["size"], batch["crc"]):
+                member = entry[0]
+                with opened(archive) as files:
+                    found = next(i for i in files.infolist() if [i.filename, i.file_size, i.CRC] == entry)
+                    text = io.TextIOWrapper(files.open(found), encoding="utf-8")
                     while lines := list(itertools.islice(text, LINES_PER_BATCH)):
                         lines = [line.rstrip("\n") for line in lines]
                         yield pd.DataFrame({"archive": archive, "member": member, "value": lines})
@@ -47,8 +50,10 @@ def _readers():
 
 
 def list_members(spark: SparkSession, archives: DataFrame) -> DataFrame:
-    """``(archive, member)``: reads the archives' directories only."""
-    return archives.select("archive").mapInPandas(_readers()[0], "archive string, member string")
+    """``(archive, member, size, crc)``: reads the archives' directories only."""
+    return archives.select("archive").mapInPandas(
+        _readers()[0], "archive string, member string, size long, crc long"
+    )
 
 
 def explode_archives(
@@ -58,18 +63,18 @@ def explode_archives(
 
     A member is a compressed stream and is read start to end by one task, in
     bounded batches, each in a task of its own. ``existing`` lists members to
-    skip; a member of several archives is read from one.
+    skip; a member of several archives is read once for each size and CRC.
     """
     uris = [p if "://" in p or p.startswith("file:") else f"file://{p}" for p in archive_paths]
     archives = spark.createDataFrame([(u,) for u in uris], "archive string")
     listed = list_members(spark, archives.repartition(max(1, len(uris))))
-    members = listed.groupBy("member").agg(F.min("archive").alias("archive"))
+    members = listed.groupBy("member", "size", "crc").agg(F.min("archive").alias("archive"))
     if existing is not None:
         members = members.join(existing.select("member").distinct(), "member", "left_anti")
     # Rows are tiny and tasks long, so the number of tasks is set, not left to AQE.
-    chosen = materialize(members.select("archive", "member"), "members")
+    chosen = materialize(members, "members")
     lines = (
-        chosen.repartitionByRange(max(1, chosen.count()), "archive", "member")
+        chosen.repartitionByRange(max(1, chosen.count()), "archive", "member", "crc", "size")
         .mapInPandas(_readers()[1], "archive string, member string, value string")
     )
     return lines.withColumn("value", F.explode(F.split("value", OTHER_LINE_BREAKS, -1)))

@@ -97,6 +97,18 @@ def test_archives_round_trip(spark, tmp_path):
     assert good.count() == 2 and quarantine.count() == 0
 
 
+def test_members_of_equal_name_are_doubles_only_if_they_agree(spark, tmp_path):
+    paths = [str(tmp_path / f"{n}.zip") for n in "abc"]
+    for path, text in zip(paths, ("1\n2", "1\n2", "1\n3")):
+        with zipfile.ZipFile(path, "w") as z:
+            z.writestr("m_202401.csv", text)
+    assert archives.explode_archives(spark, paths[:2]).count() == 2
+    got = archives.explode_archives(spark, paths).collect()
+    assert sorted((r.archive[-5:], r.value) for r in got) == [("a.zip", "1"), ("a.zip", "2"), ("c.zip", "1"), ("c.zip", "3")]
+    loaded = spark.createDataFrame([("m_202401.csv",)], "member string")
+    assert archives.explode_archives(spark, paths, existing=loaded).count() == 0
+
+
 def test_large_member_arrives_in_batches(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(archives, "LINES_PER_BATCH", 7)
     path = str(tmp_path / "a.zip")
