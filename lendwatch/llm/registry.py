@@ -12,13 +12,14 @@ from lendwatch.llm import (
     mixing,
     near_dup,
     packing,
+    pieces,
     repeats,
     secret_scan,
     top_k,
     toxicity,
     warc,
 )
-from lendwatch.llm.settings import PACKING
+from lendwatch.llm.settings import PACKING, PIECE_MODEL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -163,3 +164,8 @@ FROM lettered
 @_query("op10_pack_sequences")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), PACKING)
+
+
+@_query("op12_piece_encoding")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_report(_table(spark, sf_dir, "documents"), PIECE_MODEL)

@@ -8,3 +8,4 @@ PACKING = PackConfig(
     tokenizer=public_tokenizers.path("byte_bpe_50k.json"),
     ranks=(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN),
 )
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
