@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lendwatch.llm import (
     embedding_dedup,
     license_scan,
+    merkle,
     mixing,
     near_dup,
     packing,
@@ -169,3 +170,63 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op12_piece_encoding")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_report(_table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+@_query("op11_merkle_manifest")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(_table(spark, sf_dir, "documents"))
+
+
+def _reduced_sql(name: str, levels: int) -> str:
+    """CTEs that fold ``<name>_a0`` (ways) over ``<name>_n0`` (nodes) up to ``<name>_a<levels>``, 16 by 16."""
+    parts = []
+    for k in range(levels):
+        parts.append(f"""
+{name}_s{k} AS (
+  SELECT tree, p, h, count(*) OVER (PARTITION BY tree) AS n,
+    coalesce(string_agg(h, '') OVER (PARTITION BY tree, p // 16 ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(h, '') OVER (PARTITION BY tree, p // 16 ORDER BY p ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}_n{k}),
+{name}_n{k + 1} AS (
+  SELECT tree, p // 16 AS p, CASE WHEN max(n) = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY p)) END AS h
+  FROM {name}_s{k} GROUP BY tree, p // 16),
+{name}_a{k + 1} AS (
+  SELECT a.own, a.doc_id, a.leaf, a.tree, a.p // 16 AS p,
+    CASE WHEN n = 1 THEN f ELSE sha256(l || f || r) END AS f, CASE WHEN n = 1 THEN proof ELSE proof || l || r END AS proof
+  FROM {name}_a{k} a JOIN {name}_s{k} s ON a.tree = s.tree AND a.p = s.p),""")
+    return "".join(parts)
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", text]
+    encoded = [f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')" for f in fields]
+    return f"sha256({' || '.join(encoded)})"
+
+
+# Six levels for a source and four for the sources: 16 million leaves a source, 65,536 sources.
+ORACLE_SQL["op11_merkle_manifest"] = f"""
+WITH lowered AS (
+  SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+    xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+      list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda s, b: list_reduce(list_prepend(xor(s, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+        lambda x, z: xor(x >> 1, (x & 1) * 3988292384)))) AS crc
+  FROM documents),
+hashed AS (
+  SELECT doc_id, coalesce('1' || source, '0') AS tree, {_leaf_sql("text")} AS leaf,
+    CASE WHEN crc % 5 = 0 THEN {_leaf_sql("low")} ELSE {_leaf_sql("text")} END AS claimed
+  FROM lowered),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+    row_number() OVER () AS own FROM hashed),
+t_n0 AS (SELECT tree, p, leaf AS h FROM placed),
+t_a0 AS (SELECT own, doc_id, leaf, tree, p, claimed AS f, '' AS proof FROM placed),
+{_reduced_sql("t", 6)}
+sources AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS p FROM t_n6),
+o_n0 AS (SELECT '' AS tree, p, h FROM sources),
+o_a0 AS (SELECT own, doc_id, leaf, '' AS tree, s.p, f, proof FROM t_a6 a JOIN sources s ON a.tree = s.tree),
+{_reduced_sql("o", 4)}
+ended AS (SELECT a.*, b.h AS root FROM o_a4 a, o_n4 b)
+SELECT e.doc_id, e.leaf, s.h AS subroot, root, sha256(proof) AS proof_sha256, f AS folded_root, f = root AS verified
+FROM ended e JOIN placed q ON q.own = e.own JOIN sources s ON s.tree = q.tree
+"""
