@@ -13,6 +13,7 @@ from lendwatch.llm import (
     mixing,
     near_dup,
     packing,
+    periodic,
     pieces,
     repeats,
     secret_scan,
@@ -230,3 +231,8 @@ ended AS (SELECT a.*, b.h AS root FROM o_a4 a, o_n4 b)
 SELECT e.doc_id, e.leaf, s.h AS subroot, root, sha256(proof) AS proof_sha256, f AS folded_root, f = root AS verified
 FROM ended e JOIN placed q ON q.own = e.own JOIN sources s ON s.tree = q.tree
 """
+
+
+@_query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.runs_report(periodic.with_planted_periods(_table(spark, sf_dir, "documents")))

@@ -1,0 +1,116 @@
+import random
+import zlib
+from fractions import Fraction
+from hashlib import sha256
+
+import numpy as np
+import pytest
+
+from lendwatch.llm import periodic as R
+
+
+def brute(words, least=24, exponent=3):
+    """Every period of every place, word by word."""
+    n, runs = len(words), []
+    for q in range(1, n // exponent + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            length = j + q - i
+            if length >= max(least, exponent * q):
+                own = words[i : i + length]
+                if not any(all(own[x] == own[x + d] for x in range(length - d)) for d in range(1, q)):
+                    runs.append((i, length, q))
+            i = j
+    return sorted(runs, key=lambda r: (r[0], r[2]))
+
+
+def periodic_words(rng, letters, n):
+    words = []
+    while len(words) < n:
+        root = [rng.choice(letters) for _ in range(rng.choice([1, 2, 3, 5, 8, 13]))]
+        words += (root * 40)[: rng.randint(1, 5) * len(root) + rng.randint(0, 30)]
+        words += [rng.choice(letters) for _ in range(rng.randint(0, 6))]
+    return words[:n]
+
+
+@pytest.mark.parametrize("least, exponent", [(24, 3), (4, 2), (2, 2), (9, 3), (1, 4)])
+def test_against_all_periods(least, exponent):
+    rng, cfg, some = random.Random(least), R.RunConfig(least, exponent), 0
+    for trial in range(150):
+        letters = [bytes([97 + i]) for i in range(rng.choice([1, 2, 3, 26]))]
+        words = periodic_words(rng, letters, rng.randint(0, 150))
+        want = brute(words, least, exponent)
+        assert R.runs_of(words, cfg) == want, trial
+        some += bool(want)
+    assert some > 30
+
+
+def test_extensions_are_exact():
+    rng = random.Random(5)
+    for n in (1, 2, 15, 16, 17, 400):
+        symbols = [rng.randint(1, 2) for _ in range(n)]
+        tree = R.SuffixTree(symbols)
+        order = sorted(range(n + 1), key=lambda i: symbols[i:])
+        assert tree.suffixes() == order
+        assert tree.suffixes(backward=True) == sorted(range(n + 1), key=lambda i: [-s for s in symbols[i:]])
+        extend = R.Extensions(tree)
+        a, b = np.array([(i, j) for i in range(n) for j in range(n) if i != j], int).reshape(-1, 2).T
+        common = lambda i, j: next((k for k in range(n) if max(i, j) + k >= n or symbols[i + k] != symbols[j + k]), n)
+        assert extend(a, b).tolist() == [common(i, j) for i, j in zip(a.tolist(), b.tolist())]
+
+
+def test_stretches_leave_plain_text_out():
+    words = [b"w%d" % (i % 997) for i in range(4000)]
+    hashes = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
+    assert len(R.stretches(hashes, R.RunConfig())) == 1  # 997 is a period
+    assert R.stretches(hashes[:2900], R.RunConfig()) == []
+    assert R.runs_of(words[:2991]) == [(0, 2991, 997)]
+
+
+def planted(key, text):
+    words = (text or "").encode().split()
+    n, h = len(words), None if key is None else zlib.crc32(str(key).encode())
+    if h is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def report(key, text):
+    words = planted(key, text)
+    runs = R.runs_of(words) if len(words) > 1500 else brute(words)
+    dropped = {i for s, n, p in runs for i in range(s + p, s + n)}
+    best = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2])) if runs else None
+    sha = lambda b: sha256(b).hexdigest()
+    return (
+        key, len(runs), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
+        sha("".join(f"{s},{n},{p}\n" for s, n, p in runs).encode()), sha(b" ".join(w for i, w in enumerate(words) if i not in dropped)))
+
+
+COLUMNS = "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256".split()
+
+
+def test_query_on_whole_tables(all_docs):
+    rows = [(r.doc_id, r.text) for r in all_docs.collect()]
+    got = R.runs_report(R.with_planted_periods(all_docs)).select(*COLUMNS).collect()
+    assert sorted(tuple(r) for r in got) == sorted(report(*r) for r in rows)
+    assert any(r.n_runs for r in got) and any(not r.n_runs for r in got)
+
+
+def test_edges(docs_of):
+    rows = [(1, None), (1, ""), (None, "a " * 30), (2, " \t\n"), (2, "a b " * 12), (2, "a b " * 12), (3, "x y " * 24), (4, "word " * 60_000), (5, "a\x0bb\x0c" * 20)]
+    rows += [(i, " ".join(f"w{j % (i % 7 + 1)}" for j in range(i))) for i in range(10, 90)]
+    df = docs_of(rows).selectExpr("*", "1 as runs", "2 as __n", "3 as `a.b`")
+    want = sorted((report(*r) for r in rows), key=str)
+    assert sorted((tuple(r) for r in R.runs_report(R.with_planted_periods(df)).select(*COLUMNS).collect()), key=str) == want
+    full = R.periodic_runs(df).filter("doc_id = 4").first()
+    assert full["a.b"] == 3 and [tuple(r) for r in full.runs] == [(0, 60_000, 1)] and full.collapsed == "word"
+    assert R.runs_report(R.with_planted_periods(docs_of([]))).collect() == []
