@@ -1,271 +1,133 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
-Terms are words and the beginnings of words. A bounded sample of labelled documents gives the
-terms, their weights and the examples. Every text is searched by its whole vector, and once more by
-the part of it that tells the label; each example's neighbours among the others calibrate the mean
-of both votes. Scoring reads every whole text once, without a shuffle.
+Terms are words and the beginnings of longer words, known by 64-bit hashes. A bounded sample of
+labelled documents gives the terms and the examples; all documents give the document frequencies.
+A term's IDF is scaled by how far the sampled labels tell it apart, so that whole vectors are near by
+what matters; an example that is judged by the others does not count its own label. Executors build the indexes and let each example be judged by the others; the
+votes calibrate the scores. The driver sees term hashes and weights, the vectors piece by piece on
+their way to the executors, and a vote for each example.
 """
 
 from __future__ import annotations
 
 import itertools
-import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lendwatch.llm.block_max import BlockMaxIndex, Vector, merged, ranges
 from lendwatch.storage import materialize
 
-_WORD = re.compile(r"[^\W\d_]+")
-_DENSE = 512  # the most frequent terms have a row of weights each instead of postings
-_TOGETHER = 64  # queries that are multiplied with those rows at a time
+_WORD = re.compile(r"[^\W\d_]+").findall
+_CACHED_WORDS = 300_000
+_PARTS = 64  # ranges of terms whose document counts are added up together
+_QUERIES = 1024  # texts that are searched together
+EXAMPLE = "doc_id long, toxic int, terms binary, weights binary, asked binary"
 
 
 @dataclass(frozen=True)
 class ToxicConfig:
     """``examples``: the bound of the fitted sample, taken by a hash of the id.
 
-    The whole vectors hold every term of the sample. A term tells if it has ``least_documents``
-    examples, most of its weight among toxic ones, and a G-statistic that chance does not reach
-    among that many terms; the ``terms`` best make up the second search. ``prefixes`` are the
-    lengths of word beginnings that are terms too.
+    ``prefix``: the length of word beginnings that are terms too. ``even``: the weight, in units of
+    one natural log odds, of a term that both labels use alike; ``smoothing``: the examples by which
+    the odds start from the labels' shares. ``shard``: postings of an index, ``piece``: of what
+    passes through the driver at a time.
     """
 
     examples: int = 20_000
-    terms: int = 4_000
-    least_documents: int = 3
-    prefixes: tuple[int, ...] = (4, 5, 6, 7)
+    prefix: int = 5
+    even: float = 0.2
+    smoothing: float = 3.0
     neighbours: int = 15
     block: int = 32
+    shard: int = 16_000_000
+    piece: int = 1_000_000
     prior_weight: float = 0.2
     threshold: float = 0.5
 
 
-def words_of(text: str | None) -> Counter:
-    return Counter(_WORD.findall((text or "").lower()))
+class _Hashes(dict):
+    """64-bit hashes of terms seen in this process; emptied when full."""
 
+    def __init__(self, seed: int):
+        self.seed = seed
 
-def terms_of(words: Iterable[str], prefixes: tuple[int, ...]) -> set[str]:
-    """Words as they are; beginnings marked, and only of longer words."""
-    found = set(words)
-    for n in prefixes:
-        found |= {w[:n] + "*" for w in words if len(w) > n}
-    return found
+    def __missing__(self, term: str) -> int:
+        if len(self) >= _CACHED_WORDS:
+            self.clear()
+        value = self[term] = xxhash.xxh3_64_intdigest(term.encode("utf-8", "surrogatepass"), seed=self.seed) - (1 << 63)
+        return value
 
 
-def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The numbers of all half-open ranges, one range after the other."""
-    sizes = ends - starts
-    shift = starts - np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    return np.repeat(shift, sizes) + np.arange(sizes.sum())
+_words, _beginnings = _Hashes(0), _Hashes(1)
 
 
-class BlockMaxIndex:
-    """Postings of each term by example, with the largest weight in each block of examples.
+def words_of(text: str | None) -> Counter:
+    return Counter(_WORD((text or "").lower()))
 
-    ``nearest`` finds the ``k`` largest dot products exactly. The most frequent terms, which rule
-    out no block, are dense rows multiplied with several queries at a time; the largest sum in a
-    block joins its bound. The blocks of the highest bounds are scored first; the k-th score among
-    them rules out every block whose bound is lower, and only the postings of the others are read.
-    """
 
-    def __init__(self, vectors: list[dict[int, float]], block: int):
-        sizes = [len(v) for v in vectors]
-        terms = np.fromiter((t for v in vectors for t in v), np.int32, sum(sizes))
-        self._build(np.array(sizes, np.int64), terms, np.fromiter((w for v in vectors for w in v.values()), float, len(terms)), block)
-
-    @classmethod
-    def of_arrays(cls, sizes: np.ndarray, terms: np.ndarray, weights: np.ndarray, block: int) -> BlockMaxIndex:
-        """From the vectors' sizes and their terms and weights, one vector after the other."""
-        index = cls.__new__(cls)
-        index._build(sizes, terms, weights, block)
-        return index
-
-    def _build(self, sizes: np.ndarray, terms: np.ndarray, weights: np.ndarray, block: int) -> None:
-        self.size, self.block = len(sizes), block
-        ids = np.repeat(np.arange(self.size, dtype=np.int32), sizes)
-        counts = np.bincount(terms, minlength=1)
-        frequent = np.argsort(-counts, kind="stable")[:_DENSE]
-        frequent = frequent[(counts[frequent] > 0) & (counts[frequent] * 16 >= self.size)]
-        self.row = np.full(len(counts), -1, np.int32)
-        self.row[frequent] = np.arange(len(frequent))
-        self.dense = np.zeros((len(frequent), self.size))
-        often = self.row[terms] >= 0
-        self.dense[self.row[terms[often]], ids[often]] = weights[often]
-        ids, weights, terms = ids[~often], weights[~often], terms[~often]
-        order = np.argsort(terms, kind="stable").astype(np.int32)  # examples of a term stay in order
-        self.ids, self.weights, terms = ids[order], weights[order], terms[order]
-        del ids, weights, order, often
-        home = self.ids // block
-        # A run holds one term's postings in one block.
-        new = np.ones(len(terms), bool)
-        new[1:] = (terms[1:] != terms[:-1]) | (home[1:] != home[:-1])
-        starts = np.flatnonzero(new)
-        self.home = home[starts]
-        self.most = np.maximum.reduceat(self.weights, starts) if len(starts) else np.empty(0)
-        self.starts = np.append(starts, len(terms)).astype(np.int32)
-        self.runs = np.searchsorted(terms[starts], np.arange(len(counts) + 1)).astype(np.int32)
-
-    def _scores(self, sums: np.ndarray, runs: np.ndarray, weights: np.ndarray, wanted: np.ndarray, skip: int):
-        """Examples above 0 in the wanted blocks, and their scores."""
-        inside = wanted[self.home[runs]]
-        runs, weights = runs[inside], weights[inside]
-        starts, ends = self.starts[runs], self.starts[runs + 1]
-        at = _ranges(starts, ends)
-        scores = sums + np.bincount(self.ids[at], np.repeat(weights, ends - starts) * self.weights[at], self.size)
-        scores = np.where(np.repeat(wanted, self.block)[: self.size], np.round(scores, 12), 0.0)  # equal vectors tie
-        if skip >= 0:
-            scores[skip] = 0
-        found = np.flatnonzero(scores)
-        return found, scores[found]
-
-    def _nearest(self, sums: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int, skip: int) -> list[tuple[float, int]]:
-        first, last = self.runs[terms], self.runs[terms + 1]
-        runs, weights = _ranges(first, last), np.repeat(weights, last - first)
-        limit = np.maximum.reduceat(sums, np.arange(0, self.size, self.block))
-        limit = limit + np.bincount(self.home[runs], weights * self.most[runs], len(limit))
-        limit[limit > 0] += 2e-12  # sums may round in another order
-        some = min(2 * k // self.block + 4, len(limit))
-        leading = np.zeros(len(limit), bool)
-        leading[np.argpartition(-limit, some - 1)[:some]] = True
-        found, scores = self._scores(sums, runs, weights, leading, skip)
-        least = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
-        wanted = (limit > 0) & (limit >= least) & ~leading
-        if wanted.any():
-            more = self._scores(sums, runs, weights, wanted, skip)
-            found, scores = np.concatenate((found, more[0])), np.concatenate((scores, more[1]))
-        if len(scores) > k:
-            near = scores >= np.partition(scores, -k)[-k]
-            found, scores = found[near], scores[near]
-        order = np.lexsort((found, -scores))[:k]
-        return [(float(scores[i]), int(found[i])) for i in order]
-
-    def nearest_of_each(self, queries: Iterable[dict[int, float]], k: int, skip: bool = False) -> Iterator[list[tuple[float, int]]]:
-        """``nearest`` of one query after the other; ``skip``: the i-th passes over the i-th example."""
-        queries, done = iter(queries), 0
-        while some := list(itertools.islice(queries, _TOGETHER)):
-            if not self.size:
-                yield from ([] for _ in some)
-                continue
-            asked, rest = np.zeros((len(some), len(self.dense))), []
-            for i, query in enumerate(some):
-                terms = np.array(sorted(t for t in query if t < len(self.row)), np.int64)
-                weights, rows = np.array([query[t] for t in terms.tolist()], float), self.row[terms]
-                asked[i, rows[rows >= 0]] = weights[rows >= 0]
-                rest.append((terms[rows < 0], weights[rows < 0]))
-            for i, (sums, (terms, weights)) in enumerate(zip(asked @ self.dense, rest, strict=True)):
-                yield self._nearest(sums, terms, weights, k, done + i if skip else -1)
-            done += len(some)
-
-    def nearest(self, query: dict[int, float], k: int, skip: int = -1) -> list[tuple[float, int]]:
-        """Up to ``k`` (similarity, example), best first, ties to the smaller example; only above 0."""
-        found = next(self.nearest_of_each([query], k + (skip >= 0)))
-        return [f for f in found if f[1] != skip][:k]
-
-
-def _normalised(weights: dict[int, float]) -> dict[int, float]:
-    norm = math.sqrt(sum(w * w for w in weights.values()))
-    return {t: w / norm for t, w in weights.items()}
+def terms_of(words: Counter, prefix: int) -> dict[int, int]:
+    """Hashes of words and of the beginnings of longer words, with how often they occur."""
+    found = {_words[w]: n for w, n in words.items()}
+    for w, n in words.items():
+        if len(w) > prefix:
+            at = _beginnings[w[:prefix]]
+            found[at] = found.get(at, 0) + n
+    return found
 
 
 class Vocabulary:
-    """Known terms and their weights."""
-
-    def __init__(self, idf: dict[str, float], prefixes: tuple[int, ...], telling: Iterable[str] = ()):
-        self.names = sorted(idf)
-        self.idf = [idf[t] for t in self.names]
-        self.number = {t: i for i, t in enumerate(self.names)}
-        self.prefixes = prefixes
-        self.telling = frozenset(self.number[t] for t in telling)
-
-    def vector(self, words: Counter) -> dict[int, float]:
-        """Normalised TF-IDF weights, (1 + log tf) idf, of the known terms of a text."""
-        seen: dict[int, int] = {}
-        for w, n in words.items():
-            for term in (w, *[w[:m] + "*" for m in self.prefixes if len(w) > m]):
-                at = self.number.get(term)
-                if at is not None:
-                    seen[at] = seen.get(at, 0) + n
-        weights = {t: (1 + math.log(c)) * self.idf[t] for t, c in seen.items()}
-        return _normalised(weights)
-
-    def telling_part(self, vector: dict[int, float]) -> dict[int, float]:
-        return _normalised({t: vector[t] for t in sorted(self.telling.intersection(vector))})
-
-
-class Model:
-    """Vocabulary, examples in two block-max indexes, and calibration."""
-
-    def __init__(self, vocabulary: Vocabulary, examples: pa.Table, cfg: ToxicConfig):
-        """``examples``: id, label, and the bytes of the terms (int32) and weights (float32)."""
-        self.cfg, self.vocabulary = cfg, vocabulary
-        labels = examples.column("toxic").to_numpy().astype(float)
-        self.prior = float((labels.sum() + 1) / (len(labels) + 2))
-        order = np.argsort(examples.column("doc_id").to_numpy(), kind="stable").tolist()
-        sizes = pc.binary_length(examples.column("terms")).to_numpy().astype(np.int64)[order] // 4
-        labels, keys = labels[order], examples.column("doc_id").to_numpy()[order]
-        terms, weights = (
-            np.frombuffer(b"".join(examples.column(c)[i].as_buffer() for i in order), t)
-            for c, t in (("terms", np.int32), ("weights", np.float32)))
-        told = sizes > 0
-        self.keys = keys[told].tolist()
-        self.labels, empty = labels[told], labels[~told]
-        self.empty = (float(empty.sum()) + self.prior) / (len(empty) + 1)
-        sizes = sizes[told]
-        ends = np.cumsum(sizes)
-        self.index = BlockMaxIndex.of_arrays(sizes, terms, weights, cfg.block)
-
-        def vectors() -> Iterator[dict[int, float]]:
-            for end, size in zip(ends.tolist(), sizes.tolist()):
-                yield dict(zip(terms[end - size : end].tolist(), weights[end - size : end].tolist(), strict=True))
-
-        self.telling = BlockMaxIndex([vocabulary.telling_part(v) for v in vectors()], cfg.block)
-        self._calibrate([vote for vote, _ in self.votes(vectors(), skip=True)])
-
-    def vote(self, near: list[tuple[float, int]]) -> float:
-        """Similarity-weighted share of toxic neighbours, drawn to the prior where they are far."""
-        weight = sum(s for s, _ in near)
-        toxic = sum(s * self.labels[i] for s, i in near)
-        return (toxic + self.cfg.prior_weight * self.prior) / (weight + self.cfg.prior_weight)
+    """Known terms, ascending by hash, with their IDF and how many toxic and clean examples have them."""
+
+    def __init__(self, hashes: np.ndarray, idf: np.ndarray, toxic: np.ndarray, clean: np.ndarray, sizes: tuple[int, int], cfg: ToxicConfig):
+        """``sizes``: toxic and clean examples."""
+        self.hashes, self.idf, self.toxic, self.clean, self.sizes, self.cfg = hashes, idf, toxic, clean, sizes, cfg
+        self.weights = self._weights(np.arange(len(hashes)), None)
+
+    def _weights(self, numbers: np.ndarray, own: int | None) -> np.ndarray:
+        """IDF times the log odds between the labels, which start from the share of either label."""
+        a, b, (n_toxic, n_clean) = self.toxic[numbers], self.clean[numbers], self.sizes
+        if own is not None:
+            a, b = a - own, b - (1 - own)
+        share = self.cfg.smoothing / max(n_toxic + n_clean, 1)
+        start = share * max(n_toxic, 0.5), share * max(n_clean, 0.5)
+        odds = np.log((a + start[0]) / (n_toxic + 2 * start[0])) - np.log((b + start[1]) / (n_clean + 2 * start[1]))
+        return self.idf[numbers] * (self.cfg.even + np.abs(odds))
+
+    def known(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
+        """Ascending numbers of the known terms of a text, and how often they occur."""
+        return _known(self.hashes, words, self.cfg.prefix)
+
+    def vector(self, words: Counter, own: int | None = None) -> Vector:
+        """Normalised weights, (1 + log tf) times the term's weight; ``own``: an example's label, not to be counted."""
+        numbers, counts = self.known(words)
+        weights = (1 + np.log(counts)) * (self.weights[numbers] if own is None else self._weights(numbers, own))
+        norm = np.sqrt(weights @ weights)
+        return numbers, (weights / norm if norm else weights).astype(np.float32)
+
+
+def _known(hashes: np.ndarray, words: Counter, prefix: int) -> tuple[np.ndarray, np.ndarray]:
+    seen = terms_of(words, prefix)
+    terms = np.fromiter(seen.keys(), np.int64, len(seen))
+    at = np.searchsorted(hashes, terms)
+    inside = hashes[np.minimum(at, len(hashes) - 1)] == terms if len(hashes) else np.zeros(len(terms), bool)
+    numbers = at[inside]
+    order = np.argsort(numbers)
+    return numbers[order], np.fromiter(seen.values(), np.int64, len(seen))[inside][order]
 
-    def votes(self, vectors: Iterable[dict[int, float]], skip: bool = False) -> Iterator[tuple[float, list[tuple[float, int]]]]:
-        """The mean vote of both searches and the neighbours by the whole vector, for each vector."""
-        whole, again = itertools.tee(vectors)
-        near = self.index.nearest_of_each(whole, self.cfg.neighbours, skip)
-        telling = self.telling.nearest_of_each(map(self.vocabulary.telling_part, again), self.cfg.neighbours, skip)
-        for one, two in zip(near, telling, strict=True):
-            yield (self.vote(one) + self.vote(two)) / 2, one
-
-    def _calibrate(self, votes: list[float]) -> None:
-        """Each example's vote by the others, made monotone by pooling adjacent violators."""
-        pools: list[list[float]] = []  # first and last vote, toxic, all
-        for i in np.argsort(votes, kind="stable").tolist():
-            pools.append([votes[i], votes[i], self.labels[i], 1])
-            while len(pools) > 1 and (
-                pools[-2][2] / pools[-2][3] >= pools[-1][2] / pools[-1][3] or pools[-2][1] == pools[-1][0]
-            ):
-                last = pools.pop()
-                pools[-1] = [pools[-1][0], last[1], pools[-1][2] + last[2], pools[-1][3] + last[3]]
-        self.at = np.array([(a + b) / 2 for a, b, _, _ in pools] or [0.5])
-        self.chance = np.array([(t + self.prior) / (n + 1) for _, _, t, n in pools] or [self.prior])
 
-    def scores(self, texts: Iterable[str | None]) -> Iterator[tuple[float, str]]:
-        words, again = itertools.tee(map(words_of, texts))
-        for counted, (vote, near) in zip(words, self.votes(map(self.vocabulary.vector, again)), strict=True):
-            if not counted or not len(self.labels):
-                yield float(min(max(self.empty, 0.0), 1.0)), ""
-                continue
-            # Between pools the chance is interpolated; a small part of the vote breaks ties.
-            chance = float(np.interp(vote, self.at, self.chance))
-            evidence = ";".join(f"{self.keys[i]}:{int(self.labels[i])}:{s:.4f}" for s, i in near[:5])
-            yield min(max(0.999 * chance + 0.001 * vote, 0.0), 1.0), evidence
+def held_out(name: str):
+    return F.crc32(F.col(name).cast("string")) % 5 == 0
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig) -> DataFrame:
@@ -281,66 +143,244 @@ def training_rows(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig) -> DataF
     return texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
-def held_out(name: str):
-    return F.crc32(F.col(name).cast("string")) % 5 == 0
-
-
 def _term_counts(rows: DataFrame, cfg: ToxicConfig) -> DataFrame:
-    """``(term, toxic, clean)``: documents with the term; a task adds up its batch before the shuffle."""
+    """``(term, toxic, clean)``: examples with the term; a batch is added up before the shuffle."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: tuple[Counter, Counter] = Counter(), Counter()
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                seen[label].update(terms_of(words_of(text.as_py()), cfg.prefixes))
+                seen[label].update(terms_of(words_of(text.as_py()), cfg.prefix).keys())
             terms = list(seen[0] | seen[1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(terms, pa.string()), pa.array([seen[1][t] for t in terms], pa.int64()), pa.array([seen[0][t] for t in terms], pa.int64())],
+                [pa.array(terms, pa.int64()), pa.array([seen[1][t] for t in terms], pa.int64()), pa.array([seen[0][t] for t in terms], pa.int64())],
                 ["term", "toxic", "clean"])
 
-    counted = rows.select("toxic", "text").mapInArrow(count, "term string, toxic long, clean long")
+    counted = rows.select("toxic", "text").mapInArrow(count, "term long, toxic long, clean long")
     return counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _vocabulary(rows: DataFrame, cfg: ToxicConfig) -> Vocabulary:
-    """Every term of the sampled rows; the sample bounds what comes to the driver."""
-    every = materialize(_term_counts(rows, cfg), "terms")
-    counts = every.filter(F.col("toxic") + F.col("clean") >= cfg.least_documents)
+def _document_counts(docs: DataFrame, hashes: np.ndarray, cfg: ToxicConfig) -> tuple[np.ndarray, int]:
+    """How many documents have each known term, and how many documents there are.
+
+    Each task adds up its documents in one array of the vocabulary's size and hands it on in parts.
+    """
+    known = docs.sparkSession.sparkContext.broadcast(hashes)
+    bounds = np.linspace(0, len(hashes), _PARTS + 1).astype(int)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, rows = np.zeros(len(known.value), np.int64), 0
+        for batch in batches:
+            rows += batch.num_rows
+            for text in batch.column(0):
+                total[_known(known.value, words_of(text.as_py()), cfg.prefix)[0]] += 1
+        if rows:
+            parts = [total[a:b].tobytes() for a, b in itertools.pairwise(bounds.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(_PARTS), pa.int32()), pa.array([rows] * _PARTS, pa.int64()), pa.array(parts, pa.binary())], ["part", "n", "counts"])
+
+    def add(key: tuple[pa.Scalar, ...], rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = None, 0
+        for batch in rows:
+            for size, counts in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+                own = np.frombuffer(counts.as_buffer(), np.int64)
+                total, n = own if total is None else total + own, n + size
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([key[0].as_py()], pa.int32()), pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["part", "n", "counts"])
+
+    schema = "part int, n long, counts binary"
+    counted = docs.select("text").mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema)
+    rows = materialize(counted, "document-counts").orderBy("part").collect()
+    return np.frombuffer(b"".join(r.counts for r in rows), np.int64), rows[0].n if rows else 0
+
+
+def _vocabulary(rows: DataFrame, docs: DataFrame, cfg: ToxicConfig) -> Vocabulary:
+    """Every term of the sampled rows, with its IDF over all documents."""
+    counts = materialize(_term_counts(rows, cfg), "terms").orderBy("term").toArrow()
+    hashes, a, b = (counts.column(i).to_numpy() for i in range(3))
     sums = rows.agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).first()
-    toxic, n = sums.t or 0, sums.n
+    have, n = _document_counts(docs, hashes, cfg)
+    idf = np.log((1 + n) / (1 + have)) + 1 if len(hashes) else np.empty(0)
+    return Vocabulary(hashes, idf, a, b, (sums.t or 0, sums.n - (sums.t or 0)), cfg)
 
-    def part(seen, rows_, columns):
-        return F.when(seen > 0, 2 * seen * F.log(seen * n / (rows_ * columns))).otherwise(0.0)
 
-    with_, a, b = F.col("toxic") + F.col("clean"), F.col("toxic"), F.col("clean")
-    g = (
-        part(a, F.lit(toxic), with_) + part(b, F.lit(n - toxic), with_)
-        + part(toxic - a, F.lit(toxic), n - with_) + part(n - toxic - b, F.lit(n - toxic), n - with_)
-    )
-    chance = 2 * math.log(max(counts.count(), 1))
-    telling = counts.filter(a * (n - toxic) > b * toxic).withColumn("g", g)
-    best = telling.filter(F.col("g") >= chance).orderBy(F.desc("g"), "term").limit(cfg.terms).collect()
-    known = every.select("term", with_.alias("n")).toArrow()
-    idf = {t: math.log((1 + n) / (1 + c)) + 1 for t, c in zip(*[c.to_pylist() for c in known.columns], strict=True)}
-    return Vocabulary(idf, cfg.prefixes, [r.term for r in best])
+@dataclass(frozen=True)
+class Shard:
+    """Examples in an index, with their ids and labels, ascending by id."""
 
+    keys: np.ndarray
+    labels: np.ndarray
+    index: BlockMaxIndex
+
+
+_opened: dict[str, Shard] = {}
+
+
+def _open(key: str, pieces: list, block: int) -> Shard:
+    """The shard of broadcast pieces, indexed once per worker process; other models' are let go."""
+    if key not in _opened:
+        model = key.split(":")[0]
+        for other in [k for k in _opened if k.split(":")[0] != model]:
+            del _opened[other]
+        ids, labels, sizes, terms, weights = (np.concatenate(c) for c in zip(*[p.value for p in pieces], strict=True))
+        order = np.argsort(ids, kind="stable")
+        ends = np.cumsum(sizes)
+        at = ranges((ends - sizes)[order], sizes[order])
+        _opened[key] = Shard(ids[order], labels[order].astype(float), BlockMaxIndex(sizes[order], terms[at], weights[at], block))
+    return _opened[key]
 
-def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig = ToxicConfig()) -> Model:
-    """The model; at most ``cfg.examples`` sparse vectors come to the driver, as arrays."""
-    rows = materialize(training_rows(docs, labels, cfg), "training")
-    vocabulary = _vocabulary(rows, cfg)
 
-    def vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _vectors(rows: DataFrame, vocabulary, cfg: ToxicConfig) -> DataFrame:
+    """Examples' vectors, and ``asked``: their weights as if they were no examples."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [vocabulary.vector(words_of(t.as_py())) for t in batch.column(2)]
+            told = []
+            for label, text in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+                words = words_of(text.as_py())
+                terms, weights = vocabulary.value.vector(words)
+                told.append((terms.astype(np.int32).tobytes(), weights.tobytes(), vocabulary.value.vector(words, label)[1].tobytes()))
+            columns = [pa.array([t[i] for t in told], pa.binary()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "toxic", "terms", "weights", "asked"])
+
+    return rows.select("doc_id", F.col("toxic").cast("int"), "text").mapInArrow(run, EXAMPLE)
+
+
+def _pieces(vectors: DataFrame, cfg: ToxicConfig) -> DataFrame:
+    """``(piece, ids, labels, sizes, terms, weights)``: vectors end to end, of about ``cfg.piece`` postings a row."""
+    postings = vectors.agg(F.sum(F.octet_length("terms") / 4).alias("n")).first().n or 0
+    number = int(postings // cfg.piece) + 1
+
+    def pack(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        joined = {c: b"".join(rows[c].to_pylist()) for c in ("terms", "weights")}
+        sizes = np.array([len(t) // 4 for t in rows["terms"].to_pylist()], np.int64)
+        told = [rows["doc_id"].to_numpy().astype(np.int64), rows["toxic"].to_numpy().astype(np.int64), sizes]
+        return pa.table({
+            "piece": pa.array([key[0].as_py()], pa.int64()), **{n: pa.array([c.tobytes()], pa.binary()) for n, c in zip(("ids", "labels", "sizes"), told)},
+            **{n: pa.array([c], pa.binary()) for n, c in joined.items()}})
+
+    told = vectors.filter(F.octet_length("terms") > 0).withColumn("piece", F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(number)))
+    schema = "piece long, ids binary, labels binary, sizes binary, terms binary, weights binary"
+    return told.groupBy("piece").applyInArrow(pack, schema)
+
+
+class Judge:
+    """The shards and the vote, as executors use them."""
+
+    def __init__(self, shards: dict[str, list], prior: float, cfg: ToxicConfig):
+        """``shards``: the broadcast pieces of each, under a name of its own."""
+        self.shards, self.prior, self.cfg = shards, prior, cfg
+
+    def nearest(self, vectors: list[Vector], own: list[int | None] | None = None) -> list[list[tuple[float, int, float]]]:
+        """Up to ``neighbours`` (similarity, id, label) for each vector, best first, ties to the smaller id.
+
+        The k-th best of the shards before goes to the next one. ``own``: an example's own id, passed over.
+        """
+        k = self.cfg.neighbours
+        best: list[list[tuple[float, int]]] = [[] for _ in vectors]
+        label_of: dict[int, float] = {}
+        for name, pieces in self.shards.items():
+            shard = _open(name, pieces, self.cfg.block)
+            least = [b[-1][0] if len(b) == k else 0.0 for b in best]
+            skip: list[int] = []
+            if own is not None:
+                at = np.minimum(np.searchsorted(shard.keys, own), len(shard.keys) - 1)
+                skip = np.where(shard.keys[at] == own, at, -1).tolist()
+            found = shard.index.nearest_of_each(vectors, k, least, skip)
+            for i, near in enumerate(found):
+                mine = [(s, int(shard.keys[e])) for s, e in near]
+                label_of.update((int(shard.keys[e]), float(shard.labels[e])) for _, e in near)
+                best[i] = merged(best[i], mine, k)
+        return [[(s, key, label_of[key]) for s, key in b] for b in best]
+
+    def vote(self, near: list[tuple[float, int, float]]) -> float:
+        """Similarity-weighted share of toxic neighbours, drawn to the prior where they are far."""
+        weight, toxic = sum(s for s, _, _ in near), sum(s * label for s, _, label in near)
+        return (toxic + self.cfg.prior_weight * self.prior) / (weight + self.cfg.prior_weight)
+
+
+class Model:
+    """Broadcast vocabulary and shards, and the calibration. Small itself."""
+
+    def __init__(self, vocabulary, judge: Judge, empty: float, votes: np.ndarray, labels: np.ndarray, cfg: ToxicConfig):
+        self.cfg, self.vocabulary, self.judge, self.empty = cfg, vocabulary, judge, empty
+        self.at, self.chance = pooled(votes, labels, judge.prior)
+
+    def scores(self, texts: Iterable[str | None]) -> Iterator[tuple[float, str]]:
+        """Score and evidence of each text."""
+        texts = iter(texts)
+        while some := list(itertools.islice(texts, _QUERIES)):
+            words = list(map(words_of, some))
+            near = self.judge.nearest([self.vocabulary.value.vector(w) for w in words])
+            for counted, found in zip(words, near, strict=True):
+                if not counted or not self.judge.shards:
+                    yield float(min(max(self.empty, 0.0), 1.0)), ""
+                    continue
+                # Between pools the chance is interpolated; a small part of the vote breaks ties.
+                vote = self.judge.vote(found)
+                chance = float(np.interp(vote, self.at, self.chance))
+                evidence = ";".join(f"{key}:{int(label)}:{s:.4f}" for s, key, label in found[:5])
+                yield min(max(0.999 * chance + 0.001 * vote, 0.0), 1.0), evidence
+
+
+def pooled(votes: np.ndarray, labels: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """Votes and their chance of label 1, made monotone by pooling adjacent violators."""
+    pools: list[list[float]] = []  # first and last vote, toxic, all
+    for i in np.lexsort((labels, votes)).tolist():
+        pools.append([votes[i], votes[i], labels[i], 1])
+        while len(pools) > 1 and (
+            pools[-2][2] / pools[-2][3] >= pools[-1][2] / pools[-1][3] or pools[-2][1] == pools[-1][0]
+        ):
+            last = pools.pop()
+            pools[-1] = [pools[-1][0], last[1], pools[-1][2] + last[2], pools[-1][3] + last[3]]
+    at = np.array([(a + b) / 2 for a, b, _, _ in pools] or [0.5])
+    return at, np.array([(t + prior) / (n + 1) for _, _, t, n in pools] or [prior])
+
+
+def _votes(vectors: DataFrame, judge: Judge) -> DataFrame:
+    """Each example's vote by the others."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pylist()
+            asked = [(np.frombuffer(r["terms"], np.int32), np.frombuffer(r["asked"], np.float32)) for r in rows]
+            near = judge.nearest(asked, [r["doc_id"] for r in rows])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([np.array(list(v), np.int32).tobytes() for v in found], pa.binary()),
-                 pa.array([np.array(list(v.values()), np.float32).tobytes() for v in found], pa.binary())],
-                ["doc_id", "toxic", "terms", "weights"])
+                [pa.array([judge.vote(n) for n in near], pa.float64()), batch.column(1)], ["vote", "toxic"])
+
+    return vectors.filter(F.octet_length("terms") > 0).mapInArrow(run, "vote double, toxic int")
 
-    vectorised = rows.select("doc_id", F.col("toxic").cast("int"), "text").mapInArrow(
-        vectors, "doc_id long, toxic int, terms binary, weights binary")
-    return Model(vocabulary, vectorised.toArrow(), cfg)
+
+def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig = ToxicConfig()) -> Model:
+    """The model of at most ``cfg.examples`` labelled documents.
+
+    Of them come to the driver: 64-bit hashes, counts and weights of their terms, the vectors in
+    pieces of bounded size one at a time, and two numbers for each example.
+    """
+    spark: SparkSession = docs.sparkSession
+    context = spark.sparkContext
+    rows = materialize(training_rows(docs, labels, cfg), "training")
+    vocabulary = context.broadcast(_vocabulary(rows, docs, cfg))
+    vectors = materialize(_vectors(rows, vocabulary, cfg), "vectors")
+    pieces = materialize(_pieces(vectors, cfg), "pieces").repartitionByRange("piece").sortWithinPartitions("piece")
+    shards: dict[str, list] = {}
+    name, room = uuid.uuid4().hex, 0
+    for row in pieces.toLocalIterator():
+        told = [np.frombuffer(row[c], t) for c, t in (("ids", "i8"), ("labels", "i8"), ("sizes", "i8"), ("terms", "i4"), ("weights", "f4"))]
+        if len(told[3]) > room:
+            shards[f"{name}:{len(shards)}"] = []
+            room = cfg.shard
+        room -= len(told[3])
+        list(shards.values())[-1].append(context.broadcast(told))
+    bare = F.octet_length("terms") == 0
+    sums = vectors.agg(
+        F.count("*").alias("n"), F.sum("toxic").alias("t"), F.count_if(bare).alias("n0"), F.sum(F.when(bare, F.col("toxic"))).alias("t0")).first()
+    prior = ((sums.t or 0) + 1) / (sums.n + 2)
+    judge = Judge(shards, prior, cfg)
+    votes = materialize(_votes(vectors, judge), "votes").toArrow()
+    return Model(
+        vocabulary, judge, ((sums.t0 or 0) + prior) / (sums.n0 + 1),
+        votes.column(0).to_numpy(), votes.column(1).to_numpy().astype(float), cfg)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -350,21 +390,25 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     such examples. Rows that repeat an id are scored one by one.
     """
     kept = [c for c in docs.columns if c not in ("score", "evidence")]
-    schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema.add("score", "double").add("evidence", "string")
-    at = kept.index("text")
-    # Bounded by cfg.examples vectors.
-    known = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept])
+    schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("evidence", T.StringType())])
+    at, names = kept.index("text"), [*kept, "score", "evidence"]
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            told = list(known.value.scores(t.as_py() for t in batch.column(at)))
+            told = list(model.scores(t.as_py() for t in batch.column(at)))
             extra = [pa.array([s for s, _ in told], pa.float64()), pa.array([e for _, e in told], pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, "score", "evidence"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names)
 
-    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(judge, schema)
+    # Plain names inside: a name with a dot cannot be resolved there.
+    return rows.toDF(*[f"c{i}" for i in range(len(kept))]).mapInArrow(judge, schema)
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig = ToxicConfig()) -> DataFrame:
+    """Per row of ``docs`` the held-out fold (no id: not in it), score, decision and evidence.
+
+    Rows that repeat an id are scored one by one; an empty table gives no rows.
+    """
     scored = score(docs.select("doc_id", "text"), fit(docs, labels, cfg))
     return scored.select(
         "doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "score",

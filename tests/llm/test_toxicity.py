@@ -1,32 +1,86 @@
+import math
 import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
+from lendwatch.llm import block_max as B
 from lendwatch.llm import toxicity as T
 
 
-def test_index_is_exact():
+def vector(weights):
+    terms = np.array(sorted(weights), np.int64)
+    return terms, np.array([weights[t] for t in terms.tolist()], np.float32)
+
+
+def index_of(vectors, block):
+    pairs = [vector(v) for v in vectors]
+    joined = [np.concatenate([p[i] for p in pairs] or [np.empty(0)]) for i in range(2)]
+    return B.BlockMaxIndex(np.array([len(v) for v in vectors], int), joined[0].astype(int), joined[1], block)
+
+
+def normal(weights):
+    norm = math.sqrt(sum(w * w for w in weights.values())) or 1
+    return {t: float(np.float32(w / norm)) for t, w in weights.items()}
+
+
+def nearest(query, vectors, k, skip=-1):
+    scores = ((sum(w * v.get(t, 0) for t, w in query.items()), i) for i, v in enumerate(vectors) if i != skip)
+    return sorted(((round(s, 12), i) for s, i in scores if s > 0), key=lambda f: (-f[0], f[1]))[:k]
+
+
+def same(got, want):
+    return [i for _, i in got] == [i for _, i in want] and [s for s, _ in got] == pytest.approx([s for s, _ in want], abs=1e-11)
+
+
+@pytest.mark.parametrize("dense, often", [(512, 16), (3, 2), (0, 1)])
+def test_index_is_exact(monkeypatch, dense, often):
+    monkeypatch.setattr(B, "_DENSE", dense)
+    monkeypatch.setattr(B, "_OFTEN", often)
     rng = random.Random(1)
     for trial in range(30):
-        vectors = [{t: rng.random() for t in rng.sample(range(12), rng.randint(0, 5))} for _ in range(200)]
-        index = T.BlockMaxIndex(vectors, rng.choice([1, 7, 32]))
-        query = {t: rng.random() for t in rng.sample(range(14), 4)}
-        want = sorted(((sum(w * v.get(t, 0) for t, w in query.items()), -i) for i, v in enumerate(vectors) if i != 3), reverse=True)
-        want = [(s, -i) for s, i in want if s > 0][:6]
-        got = index.nearest(query, 6, skip=3)
-        assert [i for _, i in got] == [i for _, i in want], trial
-        assert [s for s, _ in got] == pytest.approx([s for s, _ in want])
-    assert T.BlockMaxIndex([], 8).nearest({1: 1.0}, 3) == []
+        vectors = [normal({t: rng.random() for t in rng.sample(range(12), rng.randint(0, 5))}) for _ in range(200)]
+        vectors += vectors[:40]  # ties
+        index = index_of(vectors, rng.choice([1, 7, 32]))
+        queries = [normal({t: rng.random() for t in rng.sample(range(14), 4)}) for _ in range(70)]
+        got = index.nearest_of_each([vector(q) for q in queries], 6, skip=[i % 50 - 1 for i in range(70)])
+        for i, (query, near) in enumerate(zip(queries, got, strict=True)):
+            assert same(near, nearest(query, vectors, 6, i % 50 - 1)), trial
+    assert index_of([], 8).nearest_of_each([vector({1: 1.0})], 3) == [[]]
+    assert index_of([{}, {}], 8).nearest_of_each([vector({1: 1.0}), vector({})], 3) == [[], []]
+
+
+def test_rare_terms_of_long_vectors_and_bounds_from_elsewhere():
+    rng = random.Random(2)
+    draw = lambda: normal({int(rng.paretovariate(0.6)) % 4000: rng.random() for _ in range(60)})
+    vectors = [draw() for _ in range(700)]
+    index = index_of(vectors, 16)
+    assert 0 < index.dense.shape[1] < 200 < len(index.ids)
+    queries = [draw() for _ in range(70)]
+    for query, near in zip(queries, index.nearest_of_each([vector(q) for q in queries], 9), strict=True):
+        assert same(near, nearest(query, vectors, 9))
+    halves = [vectors[:300], vectors[300:]]
+    first = index_of(halves[0], 16).nearest_of_each([vector(q) for q in queries], 9)
+    second = index_of(halves[1], 16).nearest_of_each([vector(q) for q in queries], 9, [f[-1][0] for f in first])
+    for query, one, two in zip(queries, first, second, strict=True):
+        assert same(B.merged(one, [(s, i + 300) for s, i in two], 9), nearest(query, vectors, 9))
 
 
 def test_vectors():
-    known = T.Vocabulary({"bad": 2.0, "lowe*": 1.5}, (4, 5))
-    assert known.vector(Counter()) == {} and known.vector(T.words_of("Good lowe")) == {}
-    v = known.vector(T.words_of("BAD loweig bad Lowei"))
-    assert v[known.number["bad"]] > v[known.number["lowe*"]] > 0
-    assert sum(w * w for w in v.values()) == pytest.approx(1)
+    cfg, none = T.ToxicConfig(), np.empty(0, int)
+    hashes = sorted([(T._words["bad"], 2.0, 3), (T._beginnings["lowei"], 1.5, 1)])
+    known = T.Vocabulary(*(np.array([h[i] for h in hashes]) for i in range(3)), np.array([1, 1]), (10, 90), cfg)
+    for text in ("", "Good lowei", None):
+        assert len(known.vector(T.words_of(text))[0]) == 0
+    numbers, weights = known.vector(T.words_of("BAD loweig bad Loweixy"))
+    by_hash = dict(zip(known.hashes[numbers].tolist(), weights.tolist()))
+    assert by_hash[T._words["bad"]] > by_hash[T._beginnings["lowei"]] > 0
+    assert sum(w * w for w in weights.tolist()) == pytest.approx(1)
+    alone = known.vector(T.words_of("bad loweix loweix"), 1)[1].tolist()  # without the own label
+    assert alone != known.vector(T.words_of("bad loweix loweix"))[1].tolist() and sum(w * w for w in alone) == pytest.approx(1)
+    assert len(T.Vocabulary(none, none, none, none, (0, 0), cfg).vector(T.words_of("bad"))[0]) == 0
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +89,67 @@ def tables(spark):
     return read("documents"), read("labels")
 
 
+def brute(docs, labels, cfg):
+    """Scores and evidence of every text by plain dictionaries and all pairs."""
+    sampled = sorted((r.doc_id, r.text, r.toxic) for r in T.training_rows(docs, labels, cfg).collect())
+
+    def terms(text):
+        words, found = T.words_of(text), Counter()
+        for w, n in words.items():
+            found[w, 0] += n
+            if len(w) > cfg.prefix:
+                found[w[: cfg.prefix], 1] += n
+        return found
+
+    rows = [(r.doc_id, terms(r.text)) for r in docs.select("doc_id", "text").collect()]
+    have = Counter(t for _, found in rows for t in found)
+    counts = [Counter(t for _, text, toxic in sampled if toxic == label for t in terms(text)) for label in (0, 1)]
+    sizes = [sum(t == label for _, _, t in sampled) for label in (0, 1)]
+    weight = {}
+    share = [cfg.smoothing * n / sum(sizes) for n in sizes]
+    for t in counts[0] | counts[1]:
+        of = [math.log((counts[i][t] + share[i]) / (sizes[i] + 2 * share[i])) for i in (0, 1)]
+        odds = of[1] - of[0]
+        weight[t] = (math.log((1 + len(rows)) / (1 + have[t])) + 1) * (cfg.even + abs(odds))
+    vector = lambda found: normal({t: (1 + math.log(n)) * weight[t] for t, n in found.items() if t in weight})
+    examples = [(key, vector(terms(text)), toxic) for key, text, toxic in sampled]
+    postings = {}
+    for i, (_, v, _) in enumerate(examples):
+        for t, w in v.items():
+            postings.setdefault(t, []).append((i, w))
+    prior = (sizes[1] + 1) / (len(sampled) + 2)
+
+    def near(v, own=None):
+        scores = Counter()
+        for t, w in v.items():
+            for i, x in postings.get(t, ()):
+                scores[i] += w * x
+        best = sorted((-s, examples[i][0], examples[i][2]) for i, s in scores.items() if examples[i][0] != own)[: cfg.neighbours]
+        return [(-s, key, label) for s, key, label in best]
+
+    def vote(found):
+        return (sum(s * label for s, _, label in found) + cfg.prior_weight * prior) / (sum(s for s, _, _ in found) + cfg.prior_weight)
+
+    return {key: (vote(f), [k for _, k, _ in f[:5]]) for key, found in rows for f in [near(vector(found))]}
+
+
+def test_whole_result_against_all_pairs(tables):
+    """Nearest neighbours of whole vectors end to end, over several pieces and shards."""
+    docs, labels = tables
+    cfg = T.ToxicConfig(shard=30_000, piece=10_000)
+    want, model = brute(docs, labels, cfg), T.fit(docs, labels, cfg)
+    assert len(model.judge.shards) > 1 and max(map(len, model.judge.shards.values())) > 1
+    exact = 0
+    for r in T.score(docs, model).select("doc_id", "score", "evidence").collect():
+        vote, keys = want[r.doc_id]
+        chance = np.interp(vote, model.at, model.chance)
+        assert bool(r.evidence) == bool(keys)
+        if keys:
+            assert r.score == pytest.approx(0.999 * chance + 0.001 * vote, abs=2e-3)
+            exact += [int(e.split(":")[0]) for e in r.evidence.split(";")] == keys
+    assert exact >= 0.99 * sum(bool(keys) for _, keys in want.values())  # single precision may turn a near tie
+
+
 def test_held_out_accuracy(tables):
     docs, labels = tables
     rows = T.toxicity_report(docs, labels).collect()
@@ -47,21 +162,42 @@ def test_held_out_accuracy(tables):
     assert auc >= 0.8 and sum(s >= 0.5 for s in clean) <= 0.03 * len(clean)
 
 
+def test_held_out_recall_on_more_documents(spark):
+    read = lambda t: spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet")
+    docs, labels = read("documents"), read("labels")
+    some = docs.join(labels.select("doc_id"), "doc_id", "left_semi").filter(T.held_out("doc_id"))
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    told = [(r.score >= 0.5, truth[r.doc_id]) for r in T.score(some, T.fit(docs, labels)).select("doc_id", "score").collect()]
+    toxic, clean = [p for p, t in told if t], [p for p, t in told if not t]
+    assert sum(toxic) >= 0.88 * len(toxic) and sum(clean) <= 0.01 * len(clean)
+
+
 def test_held_out_labels_are_not_read(tables, spark):
     docs, labels = tables
     other = labels.withColumn("toxic", T.F.when(T.held_out("doc_id"), 1 - T.F.col("toxic")).otherwise(T.F.col("toxic")))
     one, two = T.fit(docs, labels), T.fit(docs, other.unionByName(other))
-    assert one.keys == two.keys and (one.chance == two.chance).all() and one.vocabulary.names == two.vocabulary.names
+    assert (one.vocabulary.value.hashes == two.vocabulary.value.hashes).all() and (one.vocabulary.value.weights == two.vocabulary.value.weights).all()
+    assert (one.chance == two.chance).all()
+
+
+def test_document_frequencies_count_all_documents(docs_of, spark):
+    docs = docs_of([(i, f"every {'some' if i % 3 else 'other'} {'' if i % 7 else 'seven'}") for i in range(60)], 4)
+    hashes = np.sort(np.array([T._words[w] for w in ("every", "some", "other", "seven", "never")]))
+    have, n = T._document_counts(docs, hashes, T.ToxicConfig())
+    want = {"every": 60, "some": 40, "other": 20, "seven": 9, "never": 0}
+    assert n == 60 and dict(zip(hashes.tolist(), have.tolist())) == {T._words[w]: c for w, c in want.items()}
 
 
 def test_edges(docs_of, spark):
     empty = spark.createDataFrame([], "doc_id long, toxic int")
-    df = docs_of([(1, None), (1, ""), (None, "some text"), (2, "word " * 200_000)]).selectExpr("*", "1 as score", "2 as toxic")
+    df = docs_of([(1, None), (1, ""), (None, "some text"), (2, "word " * 200_000)]).selectExpr("*", "1 as score", "2 as toxic", "3 as `a.b`")
     rows = T.toxicity_report(df, empty).collect()
     assert len(rows) == 4 and {r.predicted for r in rows} <= {0, 1} and all(0 <= r.score <= 1 for r in rows)
     assert T.toxicity_report(docs_of([]), empty).collect() == []
     wild = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1), (77, 1)], "doc_id long, toxic int")
     assert len(T.toxicity_report(df, wild).collect()) == 4
+    taught = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int")
+    assert {r["a.b"] for r in T.without_toxic(df, T.fit(df, taught)).collect()} <= {3}
 
 
 def test_planted_words_and_sample_bound(docs_of, spark):
@@ -82,25 +218,12 @@ def test_planted_words_and_sample_bound(docs_of, spark):
     assert {r.doc_id for r in T.without_toxic(docs, model).collect()} == {i for i, p in got.items() if not p}
 
 
-def test_rare_terms_of_long_vectors():
-    rng = random.Random(2)
-    draw = lambda: {int(rng.paretovariate(0.6)) % 4000: rng.random() for _ in range(60)}
-    vectors = [draw() for _ in range(700)]
-    index = T.BlockMaxIndex(vectors, 16)
-    assert 0 < len(index.dense) < 200 < len(index.ids)
-    for near in zip(queries := [draw() for _ in range(70)], index.nearest_of_each(queries, 9)):
-        want = sorted(((-sum(w * v.get(t, 0) for t, w in near[0].items()), i) for i, v in enumerate(vectors)))[:9]
-        assert [i for _, i in near[1]] == [i for _, i in want]
-    for (i, query), near in zip(enumerate(vectors), index.nearest_of_each(vectors, 3, skip=True)):
-        assert [j for _, j in near] == [j for _, j in index.nearest(query, 3, skip=i)] and i not in [j for _, j in near]
-
-
 def test_every_text_with_words_is_searched(tables):
-    """Clean-leaning terms are in the vectors: a text without a toxic word has neighbours as well."""
+    """Every term of every example is in the vectors: a text without a toxic word has neighbours as well."""
     docs, labels = tables
     model = T.fit(docs, labels)
-    assert len(model.vocabulary.telling) < len(model.vocabulary.names) / 10
+    known = model.vocabulary.value
     for r in T.score(docs, model).select("text", "evidence").collect():
-        assert bool(model.vocabulary.vector(T.words_of(r.text))) == bool(r.evidence)
+        assert bool(len(known.vector(T.words_of(r.text))[0])) == bool(r.evidence)
     sampled = T.training_rows(docs, labels, model.cfg).collect()
-    assert {t for r in sampled for t in T.terms_of(T.words_of(r.text), model.cfg.prefixes)} == set(model.vocabulary.names)
+    assert {t for r in sampled for t in T.terms_of(T.words_of(r.text), model.cfg.prefix)} == set(known.hashes.tolist())
