@@ -5,7 +5,8 @@ A document's shingles fill registers ``floor(1 - log_b(h))`` of exponentially di
 and two registers are equal about as often as the sets are similar. Bands of equal registers join
 documents to candidate components. Only those components' texts travel: in blocks of bounded size
 pairs that share a band are first judged by the joint likelihood of their registers, then on the
-full sets. Within a block, pairs that are connected already are not compared again.
+full sets. Within a block, pairs that are connected already are not compared again. A Bloom filter keeps
+the other documents' texts out of the shuffle.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lendwatch.llm.bloom import narrowed
 from lendwatch.llm.components import connected_components
 from lendwatch.storage import materialize
 
@@ -27,6 +29,7 @@ SIGNED = "doc_id long, n_shingles long, digest binary, registers binary"
 EDGES = "u long, v long"
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _CACHED_WORDS = 300_000
+_TOGETHER = 1_000_000  # shingles whose marks are counted at once
 
 
 @dataclass(frozen=True)
@@ -107,24 +110,46 @@ def log_likelihood(counts: np.ndarray, share: np.ndarray, similarity: np.ndarray
     return (counts * np.log(np.maximum(chances, 1e-300))).sum(axis=0)
 
 
+def _slope(counts: np.ndarray, share: np.ndarray, similarity: np.ndarray, base: float) -> np.ndarray:
+    """Derivative of the log likelihood by the similarity."""
+    u, v, c = share, 1 - share, (base - 1) / base
+    one, two = u - v * similarity, v - u * similarity
+    greater, smaller = -np.log1p(-one * c), -np.log1p(-two * c)
+    by_one, by_two = -v * c / (1 - one * c), -u * c / (1 - two * c)
+    equal = np.maximum(np.log(base) - greater - smaller, 1e-300)
+    small = 1e-300
+    return counts[0] * by_one / np.maximum(greater, small) + counts[1] * by_two / np.maximum(smaller, small) - counts[2] * (by_one + by_two) / equal
+
+
 def may_reach(one: np.ndarray, others: np.ndarray, n_one: int, n_others: np.ndarray, cfg: SketchConfig) -> np.ndarray:
-    """Which pairs may have the wanted similarity: sizes allow it and the likelihood is not hopeless."""
+    """Which pairs may have the wanted similarity: sizes allow it and the likelihood is not hopeless.
+
+    The likelihood has one maximum; halving by its slope finds it where that matters, below the
+    wanted similarity.
+    """
     least = cfg.share / 100
     small, large = np.minimum(n_one, n_others), np.maximum(n_one, n_others)
-    ok = small * 100 >= cfg.share * large
-    counts = np.stack([(one > others).sum(axis=1), (one < others).sum(axis=1), (one == others).sum(axis=1)])
-    share = n_one / (n_one + n_others)
-    grid = np.linspace(0.0, 1.0, 41)[:, None] * (small / large)[None, :]
-    best = np.stack([log_likelihood(counts, share, g, cfg.base) for g in grid])
-    at = np.take_along_axis(grid, best.argmax(axis=0)[None, :], axis=0)[0]
-    wanted = log_likelihood(counts, share, np.minimum(least, small / large), cfg.base)
-    return ok & ((at >= least) | (2 * (best.max(axis=0) - wanted) < cfg.reject))
-
-
-def linked(a: np.ndarray, b: np.ndarray, cfg: SketchConfig) -> bool:
-    at = np.searchsorted(a, b)
-    both = int((a[np.minimum(at, len(a) - 1)] == b).sum())
-    return 100 * both >= cfg.share * (len(a) + len(b) - both)
+    reach = np.flatnonzero(small * 100 >= cfg.share * large)
+    ok = np.zeros(len(n_others), bool)
+    if not len(reach):
+        return ok
+    some = others[reach]
+    counts = np.stack([(one > some).sum(axis=1), (one < some).sum(axis=1), (one == some).sum(axis=1)]).astype(float)
+    share = n_one / (n_one + n_others[reach])
+    wanted = np.full(len(reach), least)
+    rising = _slope(counts, share, wanted, cfg.base) >= 0
+    ok[reach[rising]] = True
+    falling = np.flatnonzero(~rising)
+    if len(falling):
+        counts, share, wanted = counts[:, falling], share[falling], wanted[falling]
+        low, high = np.zeros(len(falling)), wanted.copy()
+        for _ in range(10):
+            middle = (low + high) / 2
+            up = _slope(counts, share, middle, cfg.base) >= 0
+            low, high = np.where(up, middle, low), np.where(up, high, middle)
+        best = log_likelihood(counts, share, low, cfg.base)
+        ok[reach[falling]] = 2 * (best - log_likelihood(counts, share, wanted, cfg.base)) < cfg.reject
+    return ok
 
 
 def band_keys(registers: np.ndarray, cfg: SketchConfig) -> list[int]:
@@ -137,45 +162,40 @@ def links_of(
 ) -> list[tuple[int, int]]:
     """Links that connect whatever is linked among documents that share a band.
 
-    Documents marked ``joined`` are known to be connected. A document is compared with few others
-    of a band first: one link spares the rest of that component.
+    Documents marked ``joined`` are known to be connected. Each document in turn is compared at once
+    with all later ones it is not connected to yet: its shingles are marked, and the marks counted in
+    the others' lists. So a pair costs one step for each shingle, no pair is remembered, and one link
+    spares the rest of that component.
     """
     n = len(sets)
-    known = np.flatnonzero(joined).tolist()
-    root = list(range(n))
-    for i in known:
-        root[i] = known[0]
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
+    component = np.arange(n)
+    if joined.any():
+        component[joined] = np.flatnonzero(joined)[0]
     sizes = np.array([len(s) for s in sets])
-    buckets: dict[tuple[int, int], list[int]] = {}
-    for i in range(n):
-        for key in enumerate(band_keys(registers[i], cfg)):
-            buckets.setdefault(key, []).append(i)
-    tested: set[int] = set()
+    ends = np.cumsum(sizes)
+    numbers = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
+    marks = np.zeros(int(numbers.max()) + 1, bool)
+    keys = np.array([band_keys(r, cfg) for r in registers], np.int64)
     found = []
-    for members in buckets.values():
-        if len(members) < 2 or len({find(i) for i in members}) == 1:
+    for i in range(n - 1):
+        later = np.flatnonzero(component[i + 1 :] != component[i]) + i + 1
+        later = later[(keys[later] == keys[i]).any(axis=1)]
+        later = later[may_reach(registers[i], registers[later], int(sizes[i]), sizes[later], cfg)]
+        if not len(later):
             continue
-        for place, i in enumerate(members):
-            chunk = 4
-            left = [j for j in members[:place] if find(j) != find(i) and j * n + i not in tested]
-            while left:
-                some, left = left[:chunk], left[chunk:]
-                chunk *= 4
-                tested.update(j * n + i for j in some)
-                fits = may_reach(registers[i], registers[some], sizes[i], sizes[some], cfg)
-                for j in np.array(some)[fits].tolist():
-                    if find(i) != find(j) and linked(sets[i], sets[j], cfg):
-                        a, b = find(i), find(j)
-                        root[max(a, b)] = min(a, b)
-                        found.append((i, j))
-                left = [j for j in left if find(j) != find(i)]
+        own = numbers[ends[i] - sizes[i] : ends[i]]
+        marks[own] = True
+        for some in np.array_split(later, int(sizes[later].sum()) // _TOGETHER + 1):
+            if not len(some):
+                continue
+            starts = np.concatenate(([0], np.cumsum(sizes[some])[:-1]))
+            shift = np.repeat(ends[some] - sizes[some] - starts, sizes[some])
+            both = np.add.reduceat(marks[numbers[shift + np.arange(len(shift))]], starts, dtype=np.int64)
+            for j in some[100 * both >= cfg.share * (sizes[i] + sizes[some] - both)].tolist():
+                if component[i] != component[j]:
+                    component[component == component[j]] = component[i]
+                    found.append((i, j))
+        marks[own] = False
     return found
 
 
@@ -279,7 +299,7 @@ def _links(docs: DataFrame, placed: DataFrame, cfg: SketchConfig) -> DataFrame:
     blocks = F.ceil(F.col("total") / cfg.block_shingles)
     dealt = placed.join(sizes.select("candidate", blocks.alias("blocks")), "candidate")
     dealt = materialize(dealt.withColumn("part", F.pmod(F.xxhash64("rep"), "blocks")), "blocks")
-    texts = docs.filter("doc_id is not null").select(F.col("doc_id").alias("rep"), "text")
+    texts = narrowed(docs.select(F.col("doc_id").alias("rep"), "text"), dealt.select("rep"), "rep")
 
     def named(frame: DataFrame) -> DataFrame:
         return frame.select("rep", F.xxhash64("candidate", "part").alias("block"), F.lit(False).alias("joined"))
@@ -308,5 +328,6 @@ def _links(docs: DataFrame, placed: DataFrame, cfg: SketchConfig) -> DataFrame:
         "else transform(sequence(0L, rests - 1), i -> struct(false as r, i as i, at as j)) end")
     placed_tiles = spread.select("rep", "candidate", (~F.col("rest")).alias("joined"), F.explode(tiles).alias("t"))
     across = placed_tiles.select("rep", "joined", F.xxhash64("candidate", "t.r", "t.i", "t.j").alias("block"))
-    second = materialize(_verified(across.join(texts, "rep"), cfg), "links-across")
+    apart = narrowed(docs.select(F.col("doc_id").alias("rep"), "text"), spread.select("rep"), "rep")
+    second = materialize(_verified(across.join(apart, "rep"), cfg), "links-across")
     return first.unionByName(second)

@@ -1,8 +1,11 @@
 import random
+import time
+import tracemalloc
 
 import numpy as np
 import pytest
 
+from lendwatch.llm import bloom
 from lendwatch.llm import near_dup as N
 
 CFG = N.SketchConfig()
@@ -97,3 +100,72 @@ def test_sketch_merges_and_estimates():
     assert best == pytest.approx(true, abs=0.03)
     pair = N.may_reach(x, np.stack([x, y, N.sketch(np.unique(pool[3000:]), wide)]), 2400, np.array([2400, 2200, 1000]), wide)
     assert pair.tolist() == [True, False, False]
+
+
+def test_many_near_copies_below_the_threshold():
+    """They share bands but no link: all pairs are compared, in bounded memory and without a list of pairs."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(200)]
+    texts = [edited(rng, base, 4) for _ in range(2000)] + [" ".join(base)] * 2
+    sets = [N.shingle_set(t, 5) for t in texts]
+    registers = np.stack([N.sketch(s, CFG) for s in sets])
+    tracemalloc.start()
+    begin = time.process_time()
+    links = N.links_of(sets, registers, np.zeros(len(sets), bool), CFG)
+    assert time.process_time() - begin < 60 and tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
+    words = [set(s.tolist()) for s in sets]
+    for i, j in links:
+        both = len(words[i] & words[j])
+        assert 100 * both >= 85 * (len(words[i]) + len(words[j]) - both)
+    # The same components as by all pairs that share a band.
+    assert components(len(sets), links) == components(len(sets), [
+        (i, j) for i in range(len(sets)) for j in range(i) if 100 * (b := len(words[i] & words[j])) >= 85 * (len(words[i]) + len(words[j]) - b)])
+
+
+def components(n, pairs):
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, j in pairs:
+        a, b = find(i), find(j)
+        root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(n)]
+
+
+def test_a_very_long_text(docs_of):
+    rng = random.Random(11)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(150_000)]
+    rows = [(1, " ".join(words)), (2, edited(rng, words, 1000)), (3, " ".join(words[:100_000])), (4, "short text of five words")]
+    got_ = {r.doc_id: (r.n_shingles, r.component_id) for r in N.cluster(docs_of(rows)).collect()}
+    assert got_[1][1] == got_[2][1] == 1 and got_[3][1] == 3 and got_[1][0] > 149_000
+
+
+@pytest.mark.parametrize("largest", [1 << 27, 1 << 10])
+def test_narrowed_rows_hold_all_wanted(spark, monkeypatch, largest):
+    monkeypatch.setattr(bloom, "_LARGEST", largest)
+    rows = spark.range(20_000).selectExpr("id as rep", "repeat('x', 10) as text").unionByName(spark.sql("select cast(null as bigint) rep, 'n' text"))
+    ids = rows.filter("rep % 100 = 7")
+    found = {r.rep for r in bloom.narrowed(rows, ids, "rep").collect()}
+    assert set(range(7, 20_000, 100)) <= found and None not in found
+    assert len(found) < 600 or largest == 1 << 10
+    assert bloom.narrowed(rows, ids.limit(0), "rep").count() == 0
+
+
+def test_likelihood_finds_its_maximum():
+    rng = np.random.default_rng(3)
+    for n_one, n_two, both in ((1000, 1000, 850), (500, 580, 420), (90, 100, 80), (300, 300, 150), (40, 44, 40)):
+        pool = rng.integers(0, 1 << 63, size=n_one + n_two - both, dtype=np.uint64)
+        a, b = N.sketch(pool[:n_one], CFG), N.sketch(pool[n_one - both :], CFG)
+        counts = np.array([[(a > b).sum()], [(a < b).sum()], [(a == b).sum()]], float)
+        share, least = np.array([n_one / (n_one + n_two)]), CFG.share / 100
+        grid = np.linspace(0, min(n_one, n_two) / max(n_one, n_two), 2001)
+        values = [N.log_likelihood(counts, share, np.array([g]), CFG.base)[0] for g in grid]
+        wanted = N.log_likelihood(counts, share, np.array([least]), CFG.base)[0]
+        hopeless = grid[int(np.argmax(values))] < least and 2 * (max(values) - wanted) >= CFG.reject
+        assert N.may_reach(a, b[None], n_one, np.array([n_two]), CFG).tolist() == [not hopeless]
