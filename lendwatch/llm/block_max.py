@@ -7,11 +7,12 @@ from collections.abc import Iterable, Sequence
 import numpy as np
 
 Vector = tuple[np.ndarray, np.ndarray]  # ascending terms and their weights
-_DENSE = 512  # so many of the most frequent terms have a row of weights instead of postings
-_OFTEN = 16  # a frequent term is in one of so many examples at least
-_TOGETHER = 64  # queries that are multiplied with those rows at a time
+_DENSE = 1024  # so many of the most frequent terms have a row of weights instead of postings
+_OFTEN = 64  # a frequent term is in one of so many examples at least
+_TOGETHER = 128  # queries that are multiplied with those rows at a time
 _WINDOW = 1024  # queries among which those with the same best blocks are brought together
 _KINDS = 16  # groups of examples that are laid side by side
+_RUN = 16  # blocks that are multiplied together with the queries that want one of them
 _ROUNDING = 4e-6  # of sums of single precision, for vectors of length 1
 
 
@@ -65,12 +66,12 @@ class BlockMaxIndex:
         self.blocks = -(-self.size // block)
         padded = np.zeros((len(frequent), self.blocks * block), np.float32)
         padded[:, : self.size] = dense[:, self.order]
-        # By block: its examples' weights of the frequent terms, and the largest of each term.
-        self.dense = np.ascontiguousarray(padded.reshape(len(frequent), self.blocks, block).transpose(1, 0, 2))
-        self.most = self.dense.max(axis=2).T if self.blocks else np.zeros((len(frequent), 0), np.float32)
+        # Weights of the frequent terms by example, and the largest of each term in a block.
+        self.dense = np.ascontiguousarray(padded.T)
+        self.most = padded.reshape(len(frequent), self.blocks, block).max(axis=2) if self.blocks else padded
         rare = terms[~often]
         at = np.argsort(rare, kind="stable")
-        self.ids, self.weights = place[ids[~often][at]], weights[~often][at].astype(np.float32)
+        self.ids, self.weights = place[ids[~often][at]].astype(np.int64), weights[~often][at].astype(float)
         self.first = np.searchsorted(rare[at], np.arange(len(counts) + 1))
 
     def _rare_sums(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -81,8 +82,7 @@ class BlockMaxIndex:
 
     def _exact(self, sums: np.ndarray, places: np.ndarray, rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Scores of examples; equal vectors give equal scores."""
-        home, inside = places // self.block, places % self.block
-        return np.round(sums[places] + weights @ self.dense[home[None, :], rows[:, None], inside[None, :]].astype(float), 12)
+        return np.round(sums[places] + self.dense[places[:, None], rows[None, :]].astype(float) @ weights, 12)
 
     def _batch(
         self, asked: np.ndarray, limits: np.ndarray, rare: list[Vector], k: int, least: list[float], skip: list[int]
@@ -94,27 +94,32 @@ class BlockMaxIndex:
                 own[passed] = -9.0  # below any bound
         limits = limits + _ROUNDING
         some = min(2 * k // self.block + 4, self.blocks)
+        inside = np.arange(self.block)
         wanted, kth = [], []
         for i, own in enumerate(sums):
             limits[i] += own.reshape(-1, self.block).max(axis=1)
             lead = np.argpartition(-limits[i], some - 1)[:some]
-            near = own.reshape(-1, self.block)[lead] + asked[i] @ self.dense[lead]
-            near = near.reshape(-1)
+            places = (lead[:, None] * self.block + inside).reshape(-1)
+            near = own[places] + self.dense[places] @ asked[i]
             kth.append(max(np.partition(near, -k)[-k] if len(near) >= k else 0.0, least[i]) - _ROUNDING)
             wanted.append((limits[i] >= kth[i]) & (limits[i] > _ROUNDING))
-        union = np.flatnonzero(np.any(wanted, axis=0))
-        scores = np.matmul(asked[None], self.dense[union]) if len(union) else np.zeros((0, len(sums), self.block), np.float32)
+        scores = np.empty((len(sums), self.blocks * self.block), np.float32)
+        every = np.array(wanted)
+        for first in range(0, self.blocks, _RUN):
+            mine = np.flatnonzero(every[:, first : first + _RUN].any(axis=1))
+            if len(mine):
+                part = slice(first * self.block, (first + _RUN) * self.block)
+                scores[mine, part] = asked[mine] @ self.dense[part].T
         told = []
         for i, own in enumerate(sums):
-            inside = np.flatnonzero(wanted[i][union])
-            full = scores[inside, i] + own.reshape(-1, self.block)[union[inside]]
-            flat = full.reshape(-1)
-            if len(flat) > k:
-                kth[i] = max(kth[i], np.partition(flat, -k)[-k] - 2 * _ROUNDING)
-            at, column = np.nonzero((full >= kth[i]) & (full > 0))
-            places = union[inside[at]] * self.block + column
+            home = np.flatnonzero(wanted[i])
+            full = (scores[i].reshape(-1, self.block)[home] + own.reshape(-1, self.block)[home]).reshape(-1)
+            if len(full) > k:
+                kth[i] = max(kth[i], np.partition(full, -k)[-k] - 2 * _ROUNDING)
+            at = np.flatnonzero(full >= max(kth[i], 1e-300))
+            places = home[at // self.block] * self.block + at % self.block
             rows = np.flatnonzero(asked[i])
-            exact = self._exact(own, places, rows, asked[i, rows])
+            exact = self._exact(own, places, rows, asked[i, rows].astype(float))
             examples = self.order[places[exact > 0]]
             exact = exact[exact > 0]
             order = np.lexsort((examples, -exact))[:k]

@@ -11,27 +11,24 @@ their way to the executors, and a vote for each example.
 from __future__ import annotations
 
 import itertools
-import re
 import uuid
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendwatch.llm.block_max import BlockMaxIndex, Vector, merged, ranges
+from lendwatch.llm.block_max import BlockMaxIndex, Vector, merged
+from lendwatch.llm.terms import Terms, terms_of_each
 from lendwatch.storage import materialize
 
-_WORD = re.compile(r"[^\W\d_]+").findall
-_CACHED_WORDS = 300_000
 _PARTS = 64  # ranges of terms whose document counts are added up together
 _QUERIES = 1024  # texts that are searched together
-EXAMPLE = "doc_id long, toxic int, terms binary, weights binary, asked binary"
+EXAMPLE = "doc_id long, toxic int, packed binary"
 
 
 @dataclass(frozen=True)
@@ -40,8 +37,8 @@ class ToxicConfig:
 
     ``prefix``: the length of word beginnings that are terms too. ``even``: the weight, in units of
     one natural log odds, of a term that both labels use alike; ``smoothing``: the examples by which
-    the odds start from the labels' shares. ``shard``: postings of an index, ``piece``: of what
-    passes through the driver at a time.
+    the odds start from the labels' shares. ``shard``: examples of an index; ``piece``: bytes of them
+    that pass through the driver at a time.
     """
 
     examples: int = 20_000
@@ -50,42 +47,12 @@ class ToxicConfig:
     smoothing: float = 3.0
     neighbours: int = 15
     block: int = 32
-    shard: int = 16_000_000
-    piece: int = 1_000_000
+    shard: int = 32_768
+    piece: int = 8_000_000
     prior_weight: float = 0.2
     threshold: float = 0.5
 
 
-class _Hashes(dict):
-    """64-bit hashes of terms seen in this process; emptied when full."""
-
-    def __init__(self, seed: int):
-        self.seed = seed
-
-    def __missing__(self, term: str) -> int:
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        value = self[term] = xxhash.xxh3_64_intdigest(term.encode("utf-8", "surrogatepass"), seed=self.seed) - (1 << 63)
-        return value
-
-
-_words, _beginnings = _Hashes(0), _Hashes(1)
-
-
-def words_of(text: str | None) -> Counter:
-    return Counter(_WORD((text or "").lower()))
-
-
-def terms_of(words: Counter, prefix: int) -> dict[int, int]:
-    """Hashes of words and of the beginnings of longer words, with how often they occur."""
-    found = {_words[w]: n for w, n in words.items()}
-    for w, n in words.items():
-        if len(w) > prefix:
-            at = _beginnings[w[:prefix]]
-            found[at] = found.get(at, 0) + n
-    return found
-
-
 class Vocabulary:
     """Known terms, ascending by hash, with their IDF and how many toxic and clean examples have them."""
 
@@ -104,26 +71,30 @@ class Vocabulary:
         odds = np.log((a + start[0]) / (n_toxic + 2 * start[0])) - np.log((b + start[1]) / (n_clean + 2 * start[1]))
         return self.idf[numbers] * (self.cfg.even + np.abs(odds))
 
-    def known(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """Ascending numbers of the known terms of a text, and how often they occur."""
-        return _known(self.hashes, words, self.cfg.prefix)
-
-    def vector(self, words: Counter, own: int | None = None) -> Vector:
+    def vector(self, numbers: np.ndarray, counts: np.ndarray, own: int | None = None) -> Vector:
         """Normalised weights, (1 + log tf) times the term's weight; ``own``: an example's label, not to be counted."""
-        numbers, counts = self.known(words)
         weights = (1 + np.log(counts)) * (self.weights[numbers] if own is None else self._weights(numbers, own))
         norm = np.sqrt(weights @ weights)
         return numbers, (weights / norm if norm else weights).astype(np.float32)
 
 
-def _known(hashes: np.ndarray, words: Counter, prefix: int) -> tuple[np.ndarray, np.ndarray]:
-    seen = terms_of(words, prefix)
-    terms = np.fromiter(seen.keys(), np.int64, len(seen))
-    at = np.searchsorted(hashes, terms)
-    inside = hashes[np.minimum(at, len(hashes) - 1)] == terms if len(hashes) else np.zeros(len(terms), bool)
-    numbers = at[inside]
-    order = np.argsort(numbers)
-    return numbers[order], np.fromiter(seen.values(), np.int64, len(seen))[inside][order]
+def known(hashes: np.ndarray, terms: Terms) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending numbers of the terms that are among ``hashes``, and how often they occur."""
+    at = np.searchsorted(hashes, terms[0])
+    inside = hashes[np.minimum(at, len(hashes) - 1)] == terms[0] if len(hashes) else np.zeros(len(at), bool)
+    return at[inside], terms[1][inside]
+
+
+def packed(numbers: np.ndarray, counts: np.ndarray) -> bytes:
+    """Numbers and counts of a text, compressed: some two bytes a term."""
+    both = np.concatenate((np.diff(numbers, prepend=0), counts)).astype("<u4")
+    return zstandard.compress(np.ascontiguousarray(both.view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    columns = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    both = np.ascontiguousarray(columns.T).view("<u4").reshape(-1).astype(np.int64)
+    return np.cumsum(both[: len(both) // 2]), both[len(both) // 2 :]
 
 
 def held_out(name: str):
@@ -148,13 +119,13 @@ def _term_counts(rows: DataFrame, cfg: ToxicConfig) -> DataFrame:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: tuple[Counter, Counter] = Counter(), Counter()
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                seen[label].update(terms_of(words_of(text.as_py()), cfg.prefix).keys())
-            terms = list(seen[0] | seen[1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(terms, pa.int64()), pa.array([seen[1][t] for t in terms], pa.int64()), pa.array([seen[0][t] for t in terms], pa.int64())],
-                ["term", "toxic", "clean"])
+            labels = batch.column(0).to_numpy()
+            found = [t for t, _ in terms_of_each((t.as_py() for t in batch.column(1)), cfg.prefix)]
+            if found:
+                terms, at = np.unique(np.concatenate(found), return_inverse=True)
+                toxic = np.bincount(at, np.repeat(labels, [len(t) for t in found]), len(terms)).astype(np.int64)
+                clean = np.bincount(at, minlength=len(terms)) - toxic
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (terms, toxic, clean)], ["term", "toxic", "clean"])
 
     counted = rows.select("toxic", "text").mapInArrow(count, "term long, toxic long, clean long")
     return counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -165,15 +136,15 @@ def _document_counts(docs: DataFrame, hashes: np.ndarray, cfg: ToxicConfig) -> t
 
     Each task adds up its documents in one array of the vocabulary's size and hands it on in parts.
     """
-    known = docs.sparkSession.sparkContext.broadcast(hashes)
+    sent = docs.sparkSession.sparkContext.broadcast(hashes)
     bounds = np.linspace(0, len(hashes), _PARTS + 1).astype(int)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros(len(known.value), np.int64), 0
+        total, rows = np.zeros(len(sent.value), np.int64), 0
         for batch in batches:
             rows += batch.num_rows
-            for text in batch.column(0):
-                total[_known(known.value, words_of(text.as_py()), cfg.prefix)[0]] += 1
+            for terms in terms_of_each((t.as_py() for t in batch.column(0)), cfg.prefix):
+                total[known(sent.value, terms)[0]] += 1
         if rows:
             parts = [total[a:b].tobytes() for a, b in itertools.pairwise(bounds.tolist())]
             yield pa.RecordBatch.from_arrays(
@@ -216,60 +187,38 @@ class Shard:
 _opened: dict[str, Shard] = {}
 
 
-def _open(key: str, pieces: list, block: int) -> Shard:
+def _open(key: str, pieces: list, vocabulary: Vocabulary, block: int) -> Shard:
     """The shard of broadcast pieces, indexed once per worker process; other models' are let go."""
     if key not in _opened:
         model = key.split(":")[0]
         for other in [k for k in _opened if k.split(":")[0] != model]:
             del _opened[other]
-        ids, labels, sizes, terms, weights = (np.concatenate(c) for c in zip(*[p.value for p in pieces], strict=True))
-        order = np.argsort(ids, kind="stable")
-        ends = np.cumsum(sizes)
-        at = ranges((ends - sizes)[order], sizes[order])
-        _opened[key] = Shard(ids[order], labels[order].astype(float), BlockMaxIndex(sizes[order], terms[at], weights[at], block))
+        rows = sorted((row for piece in pieces for row in piece.value), key=lambda r: r[0])
+        vectors = [vocabulary.vector(*unpacked(data)) for _, _, data in rows]
+        sizes = np.array([len(t) for t, _ in vectors], np.int64)
+        index = BlockMaxIndex(sizes, *(np.concatenate([v[i] for v in vectors]) for i in range(2)), block)
+        _opened[key] = Shard(np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], float), index)
     return _opened[key]
 
 
-def _vectors(rows: DataFrame, vocabulary, cfg: ToxicConfig) -> DataFrame:
-    """Examples' vectors, and ``asked``: their weights as if they were no examples."""
+def _examples(rows: DataFrame, vocabulary, cfg: ToxicConfig) -> DataFrame:
+    """``(doc_id, toxic, packed)``: the terms of the sampled rows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = vocabulary.value.hashes
         for batch in batches:
-            told = []
-            for label, text in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-                words = words_of(text.as_py())
-                terms, weights = vocabulary.value.vector(words)
-                told.append((terms.astype(np.int32).tobytes(), weights.tobytes(), vocabulary.value.vector(words, label)[1].tobytes()))
-            columns = [pa.array([t[i] for t in told], pa.binary()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "toxic", "terms", "weights", "asked"])
+            told = [packed(*known(hashes, t)) for t in terms_of_each((t.as_py() for t in batch.column(2)), cfg.prefix)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(told, pa.binary())], ["doc_id", "toxic", "packed"])
 
     return rows.select("doc_id", F.col("toxic").cast("int"), "text").mapInArrow(run, EXAMPLE)
 
 
-def _pieces(vectors: DataFrame, cfg: ToxicConfig) -> DataFrame:
-    """``(piece, ids, labels, sizes, terms, weights)``: vectors end to end, of about ``cfg.piece`` postings a row."""
-    postings = vectors.agg(F.sum(F.octet_length("terms") / 4).alias("n")).first().n or 0
-    number = int(postings // cfg.piece) + 1
-
-    def pack(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        joined = {c: b"".join(rows[c].to_pylist()) for c in ("terms", "weights")}
-        sizes = np.array([len(t) // 4 for t in rows["terms"].to_pylist()], np.int64)
-        told = [rows["doc_id"].to_numpy().astype(np.int64), rows["toxic"].to_numpy().astype(np.int64), sizes]
-        return pa.table({
-            "piece": pa.array([key[0].as_py()], pa.int64()), **{n: pa.array([c.tobytes()], pa.binary()) for n, c in zip(("ids", "labels", "sizes"), told)},
-            **{n: pa.array([c], pa.binary()) for n, c in joined.items()}})
-
-    told = vectors.filter(F.octet_length("terms") > 0).withColumn("piece", F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(number)))
-    schema = "piece long, ids binary, labels binary, sizes binary, terms binary, weights binary"
-    return told.groupBy("piece").applyInArrow(pack, schema)
-
-
 class Judge:
     """The shards and the vote, as executors use them."""
 
-    def __init__(self, shards: dict[str, list], prior: float, cfg: ToxicConfig):
-        """``shards``: the broadcast pieces of each, under a name of its own."""
-        self.shards, self.prior, self.cfg = shards, prior, cfg
+    def __init__(self, vocabulary, shards: dict[str, list], prior: float, cfg: ToxicConfig):
+        """``vocabulary``: broadcast; ``shards``: the broadcast pieces of each, under a name of its own."""
+        self.vocabulary, self.shards, self.prior, self.cfg = vocabulary, shards, prior, cfg
 
     def nearest(self, vectors: list[Vector], own: list[int | None] | None = None) -> list[list[tuple[float, int, float]]]:
         """Up to ``neighbours`` (similarity, id, label) for each vector, best first, ties to the smaller id.
@@ -280,7 +229,7 @@ class Judge:
         best: list[list[tuple[float, int]]] = [[] for _ in vectors]
         label_of: dict[int, float] = {}
         for name, pieces in self.shards.items():
-            shard = _open(name, pieces, self.cfg.block)
+            shard = _open(name, pieces, self.vocabulary.value, self.cfg.block)
             least = [b[-1][0] if len(b) == k else 0.0 for b in best]
             skip: list[int] = []
             if own is not None:
@@ -302,18 +251,19 @@ class Judge:
 class Model:
     """Broadcast vocabulary and shards, and the calibration. Small itself."""
 
-    def __init__(self, vocabulary, judge: Judge, empty: float, votes: np.ndarray, labels: np.ndarray, cfg: ToxicConfig):
-        self.cfg, self.vocabulary, self.judge, self.empty = cfg, vocabulary, judge, empty
+    def __init__(self, judge: Judge, empty: float, votes: np.ndarray, labels: np.ndarray, cfg: ToxicConfig):
+        self.cfg, self.judge, self.empty = cfg, judge, empty
         self.at, self.chance = pooled(votes, labels, judge.prior)
 
     def scores(self, texts: Iterable[str | None]) -> Iterator[tuple[float, str]]:
         """Score and evidence of each text."""
         texts = iter(texts)
+        vocabulary = self.judge.vocabulary.value
         while some := list(itertools.islice(texts, _QUERIES)):
-            words = list(map(words_of, some))
-            near = self.judge.nearest([self.vocabulary.value.vector(w) for w in words])
-            for counted, found in zip(words, near, strict=True):
-                if not counted or not self.judge.shards:
+            terms = list(terms_of_each(some, self.cfg.prefix))
+            near = self.judge.nearest([vocabulary.vector(*known(vocabulary.hashes, t)) for t in terms])
+            for counted, found in zip(terms, near, strict=True):
+                if not len(counted[0]) or not self.judge.shards:
                     yield float(min(max(self.empty, 0.0), 1.0)), ""
                     continue
                 # Between pools the chance is interpolated; a small part of the vote breaks ties.
@@ -337,18 +287,21 @@ def pooled(votes: np.ndarray, labels: np.ndarray, prior: float) -> tuple[np.ndar
     return at, np.array([(t + prior) / (n + 1) for _, _, t, n in pools] or [prior])
 
 
-def _votes(vectors: DataFrame, judge: Judge) -> DataFrame:
-    """Each example's vote by the others."""
+def _votes(examples: DataFrame, judge: Judge) -> DataFrame:
+    """Each example's vote by the others, and whether it has terms."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = judge.vocabulary.value
         for batch in batches:
-            rows = batch.to_pylist()
-            asked = [(np.frombuffer(r["terms"], np.int32), np.frombuffer(r["asked"], np.float32)) for r in rows]
-            near = judge.nearest(asked, [r["doc_id"] for r in rows])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([judge.vote(n) for n in near], pa.float64()), batch.column(1)], ["vote", "toxic"])
+            for at in range(0, batch.num_rows, _QUERIES):
+                ids, labels, data = (c.to_pylist() for c in batch.slice(at, _QUERIES).columns)
+                terms = [unpacked(d) for d in data]
+                near = judge.nearest([vocabulary.vector(*t, own) for t, own in zip(terms, labels, strict=True)], ids)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([judge.vote(n) for n in near], pa.float64()), pa.array(labels, pa.int32()), pa.array([len(t[0]) > 0 for t in terms])],
+                    ["vote", "toxic", "told"])
 
-    return vectors.filter(F.octet_length("terms") > 0).mapInArrow(run, "vote double, toxic int")
+    return examples.mapInArrow(run, "vote double, toxic int, told boolean")
 
 
 def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig = ToxicConfig()) -> Model:
@@ -361,26 +314,28 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig = ToxicConfig()) ->
     context = spark.sparkContext
     rows = materialize(training_rows(docs, labels, cfg), "training")
     vocabulary = context.broadcast(_vocabulary(rows, docs, cfg))
-    vectors = materialize(_vectors(rows, vocabulary, cfg), "vectors")
-    pieces = materialize(_pieces(vectors, cfg), "pieces").repartitionByRange("piece").sortWithinPartitions("piece")
+    examples = materialize(_examples(rows, vocabulary, cfg), "vectors")
     shards: dict[str, list] = {}
-    name, room = uuid.uuid4().hex, 0
-    for row in pieces.toLocalIterator():
-        told = [np.frombuffer(row[c], t) for c, t in (("ids", "i8"), ("labels", "i8"), ("sizes", "i8"), ("terms", "i4"), ("weights", "f4"))]
-        if len(told[3]) > room:
-            shards[f"{name}:{len(shards)}"] = []
-            room = cfg.shard
-        room -= len(told[3])
-        list(shards.values())[-1].append(context.broadcast(told))
-    bare = F.octet_length("terms") == 0
-    sums = vectors.agg(
-        F.count("*").alias("n"), F.sum("toxic").alias("t"), F.count_if(bare).alias("n0"), F.sum(F.when(bare, F.col("toxic"))).alias("t0")).first()
+    name, room, piece, size = uuid.uuid4().hex, 0, [], 0
+    for row in itertools.chain(examples.toLocalIterator(), [None]):
+        if piece and (row is None or size >= cfg.piece):
+            if room <= 0:
+                shards[f"{name}:{len(shards)}"] = []
+                room = cfg.shard
+            room -= len(piece)
+            list(shards.values())[-1].append(context.broadcast(piece))
+            piece, size = [], 0
+        if row is not None:
+            piece.append((row.doc_id, row.toxic, bytes(row.packed)))
+            size += len(row.packed)
+    sums = examples.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
     prior = ((sums.t or 0) + 1) / (sums.n + 2)
-    judge = Judge(shards, prior, cfg)
-    votes = materialize(_votes(vectors, judge), "votes").toArrow()
-    return Model(
-        vocabulary, judge, ((sums.t0 or 0) + prior) / (sums.n0 + 1),
-        votes.column(0).to_numpy(), votes.column(1).to_numpy().astype(float), cfg)
+    judge = Judge(vocabulary, shards, prior, cfg)
+    votes = materialize(_votes(examples, judge), "votes").toArrow()
+    vote, toxic, told = (votes.column(i).to_numpy() for i in range(3))
+    told = told.astype(bool)
+    empty = (toxic[~told].sum() + prior) / ((~told).sum() + 1)
+    return Model(judge, float(empty), vote[told], toxic[told].astype(float), cfg)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -7,6 +8,7 @@ import numpy as np
 import pytest
 
 from lendwatch.llm import block_max as B
+from lendwatch.llm import terms as H
 from lendwatch.llm import toxicity as T
 
 
@@ -68,19 +70,62 @@ def test_rare_terms_of_long_vectors_and_bounds_from_elsewhere():
         assert same(B.merged(one, [(s, i + 300) for s, i in two], 9), nearest(query, vectors, 9))
 
 
+WORD = re.compile(r"[^\W\d_]+")
+
+
+def plain_terms(text, prefix=5):
+    words, found = Counter(WORD.findall((text or "").lower())), Counter()
+    for w, n in words.items():
+        found[w, 0] += n
+        if len(w) > prefix:
+            found[w[:prefix], 1] += n
+    return found
+
+
+def hash_of(term, begins=0):
+    """A word's hash, or that of the beginning of a longer word."""
+    both = set(H_terms(term + "x" * begins)[0].tolist())
+    return next(iter(both - set(H_terms(term + "x")[0].tolist()))) if not begins else next(iter(both & set(H_terms(term + "yy")[0].tolist())))
+
+
+def H_terms(text, prefix=5):
+    return next(H.terms_of_each([text], prefix))
+
+
+def test_terms_are_those_of_the_words(monkeypatch):
+    rng = random.Random(9)
+    letters = "abcdefgh" * 9 + " " * 30 + "éßĲİ₂½_7.\n\x00ж中😀ªꙮ"
+    texts = ["".join(rng.choices(letters, k=rng.randrange(300))) for _ in range(400)] + [None, "", " ", "a" * 4000, "word " * 900]
+    monkeypatch.setattr(H, "_SLICE", 1000)
+    hashes, seen = {}, {}
+    for text, (found, counts) in zip(texts, H.terms_of_each(texts, 5), strict=True):
+        plain = plain_terms(text)
+        assert sorted(counts.tolist()) == sorted(plain.values()) and found.tolist() == sorted(set(found.tolist()))
+        for term in plain:
+            hashes.setdefault(term, set(found.tolist())).intersection_update(found.tolist())
+        seen[text] = set(found.tolist())
+    named = {t: next(iter(h)) for t, h in hashes.items() if len(h) == 1}
+    assert len(named) > 100 and len(set(named.values())) == len(named)  # a term has one hash, wherever it stands
+    assert hash_of("abcde") != hash_of("abcde", 1) and len(H_terms("abcdef abcdeg abcde")[0]) == 4
+
+
 def test_vectors():
     cfg, none = T.ToxicConfig(), np.empty(0, int)
-    hashes = sorted([(T._words["bad"], 2.0, 3), (T._beginnings["lowei"], 1.5, 1)])
-    known = T.Vocabulary(*(np.array([h[i] for h in hashes]) for i in range(3)), np.array([1, 1]), (10, 90), cfg)
+    hashes = sorted([(hash_of("bad"), 2.0, 3), (hash_of("lowei", 1), 1.5, 1)])
+    vocabulary = T.Vocabulary(*(np.array([h[i] for h in hashes]) for i in range(3)), np.array([1, 1]), (10, 90), cfg)
+    vector = lambda text, own=None: vocabulary.vector(*T.known(vocabulary.hashes, H_terms(text)), own)
     for text in ("", "Good lowei", None):
-        assert len(known.vector(T.words_of(text))[0]) == 0
-    numbers, weights = known.vector(T.words_of("BAD loweig bad Loweixy"))
-    by_hash = dict(zip(known.hashes[numbers].tolist(), weights.tolist()))
-    assert by_hash[T._words["bad"]] > by_hash[T._beginnings["lowei"]] > 0
+        assert len(vector(text)[0]) == 0
+    numbers, weights = vector("BAD loweig bad Loweixy")
+    by_hash = dict(zip(vocabulary.hashes[numbers].tolist(), weights.tolist()))
+    assert by_hash[hash_of("bad")] > by_hash[hash_of("lowei", 1)] > 0
     assert sum(w * w for w in weights.tolist()) == pytest.approx(1)
-    alone = known.vector(T.words_of("bad loweix loweix"), 1)[1].tolist()  # without the own label
-    assert alone != known.vector(T.words_of("bad loweix loweix"))[1].tolist() and sum(w * w for w in alone) == pytest.approx(1)
-    assert len(T.Vocabulary(none, none, none, none, (0, 0), cfg).vector(T.words_of("bad"))[0]) == 0
+    alone = vector("bad loweix loweix", 1)[1].tolist()  # without the own label
+    assert alone != vector("bad loweix loweix")[1].tolist() and sum(w * w for w in alone) == pytest.approx(1)
+    assert len(T.Vocabulary(none, none, none, none, (0, 0), cfg).vector(*T.known(none, H_terms("bad")))[0]) == 0
+    for numbers in (np.empty(0, int), np.array([0]), np.array([3, 70_000, 5_000_000])):
+        again = T.unpacked(T.packed(numbers, numbers + 1))
+        assert again[0].tolist() == numbers.tolist() and again[1].tolist() == (numbers + 1).tolist()
 
 
 @pytest.fixture(scope="module")
@@ -93,14 +138,7 @@ def brute(docs, labels, cfg):
     """Scores and evidence of every text by plain dictionaries and all pairs."""
     sampled = sorted((r.doc_id, r.text, r.toxic) for r in T.training_rows(docs, labels, cfg).collect())
 
-    def terms(text):
-        words, found = T.words_of(text), Counter()
-        for w, n in words.items():
-            found[w, 0] += n
-            if len(w) > cfg.prefix:
-                found[w[: cfg.prefix], 1] += n
-        return found
-
+    terms = lambda text: plain_terms(text, cfg.prefix)
     rows = [(r.doc_id, terms(r.text)) for r in docs.select("doc_id", "text").collect()]
     have = Counter(t for _, found in rows for t in found)
     counts = [Counter(t for _, text, toxic in sampled if toxic == label for t in terms(text)) for label in (0, 1)]
@@ -136,7 +174,7 @@ def brute(docs, labels, cfg):
 def test_whole_result_against_all_pairs(tables):
     """Nearest neighbours of whole vectors end to end, over several pieces and shards."""
     docs, labels = tables
-    cfg = T.ToxicConfig(shard=30_000, piece=10_000)
+    cfg = T.ToxicConfig(shard=100, piece=20_000)
     want, model = brute(docs, labels, cfg), T.fit(docs, labels, cfg)
     assert len(model.judge.shards) > 1 and max(map(len, model.judge.shards.values())) > 1
     exact = 0
@@ -176,16 +214,17 @@ def test_held_out_labels_are_not_read(tables, spark):
     docs, labels = tables
     other = labels.withColumn("toxic", T.F.when(T.held_out("doc_id"), 1 - T.F.col("toxic")).otherwise(T.F.col("toxic")))
     one, two = T.fit(docs, labels), T.fit(docs, other.unionByName(other))
-    assert (one.vocabulary.value.hashes == two.vocabulary.value.hashes).all() and (one.vocabulary.value.weights == two.vocabulary.value.weights).all()
+    assert (one.judge.vocabulary.value.hashes == two.judge.vocabulary.value.hashes).all()
+    assert (one.judge.vocabulary.value.weights == two.judge.vocabulary.value.weights).all()
     assert (one.chance == two.chance).all()
 
 
 def test_document_frequencies_count_all_documents(docs_of, spark):
     docs = docs_of([(i, f"every {'some' if i % 3 else 'other'} {'' if i % 7 else 'seven'}") for i in range(60)], 4)
-    hashes = np.sort(np.array([T._words[w] for w in ("every", "some", "other", "seven", "never")]))
+    hashes = np.sort(np.array([hash_of(w) for w in ("every", "some", "other", "seven", "never")]))
     have, n = T._document_counts(docs, hashes, T.ToxicConfig())
     want = {"every": 60, "some": 40, "other": 20, "seven": 9, "never": 0}
-    assert n == 60 and dict(zip(hashes.tolist(), have.tolist())) == {T._words[w]: c for w, c in want.items()}
+    assert n == 60 and dict(zip(hashes.tolist(), have.tolist())) == {hash_of(w): c for w, c in want.items()}
 
 
 def test_edges(docs_of, spark):
@@ -222,8 +261,8 @@ def test_every_text_with_words_is_searched(tables):
     """Every term of every example is in the vectors: a text without a toxic word has neighbours as well."""
     docs, labels = tables
     model = T.fit(docs, labels)
-    known = model.vocabulary.value
+    hashes = model.judge.vocabulary.value.hashes
     for r in T.score(docs, model).select("text", "evidence").collect():
-        assert bool(len(known.vector(T.words_of(r.text))[0])) == bool(r.evidence)
+        assert bool(len(T.known(hashes, H_terms(r.text))[0])) == bool(r.evidence)
     sampled = T.training_rows(docs, labels, model.cfg).collect()
-    assert {t for r in sampled for t in T.terms_of(T.words_of(r.text), model.cfg.prefix)} == set(known.hashes.tolist())
+    assert {t for r in sampled for t in H_terms(r.text)[0].tolist()} == set(hashes.tolist())
