@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from lendwatch import fixture, queries
+from lendwatch import fixture, oracle, queries
 from lendwatch.operators.features import segment_features
 from lendwatch.sources import raw_text
 
@@ -14,7 +14,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - {"zip_members_to_lines"}))
+@pytest.mark.parametrize("name", sorted(set(oracle.statements()) - {"zip_members_to_lines"}))
 def test_no_cross_join_and_no_python(spark, small, name):
     text = plan(QUERIES[name](spark, small))
     for node in ("CartesianProduct", "NestedLoopJoin", "Python", "InPandas"):
