@@ -21,7 +21,7 @@ from lendwatch.llm.components import connected_components
 from lendwatch.llm.vectors import is_finite, packed, stacked
 from lendwatch.storage import materialize
 
-TILES = "label int, dim int, block long, ids binary, codes binary, scales binary, norms binary, errors binary"
+TILES = "label string, dim int, block long, ids binary, codes binary, scales binary, norms binary, errors binary"
 
 
 @dataclass(frozen=True)
@@ -96,19 +96,24 @@ def link(rows: DataFrame, cfg: LinkConfig = LinkConfig()) -> DataFrame:
     A row whose id, label or vector is NULL, or whose vector is empty, zero or has a NULL or
     non-finite component, links with nothing and is its own component. Vectors of different
     lengths are not linked. Rows that repeat an id and vector count as vectors of their own.
+    Labels of any type are compared as written out. Components may be as small or large as a
+    double: vectors are scaled by a power of two before their cosine is taken.
     Within a label all classes are compared, tile by tile; copies are one class, counted.
     """
     vector = F.col("embedding").cast("array<double>")
     zero = F.coalesce(F.forall("embedding", lambda x: x == 0), F.lit(True))
     usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & is_finite(F.col("embedding")) & ~zero
-    valid = rows.filter(usable).select("vec_id", F.col("label").cast("int").alias("label"), vector.alias("vector"))
+    valid = rows.filter(usable).select("vec_id", F.col("label").cast("string").alias("label"), vector.alias("vector"))
     classes = materialize(
         valid.groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
         .withColumn("dim", F.size("vector")), "classes")
     unique = materialize(_own_numbers(classes), "class-numbers")
     tiles = _blocks(unique.select("label", "dim", F.col("key").alias("rep"), "vector"), cfg)
+    # A power of two changes no digit, and squares of tiny or huge components survive.
+    scale = F.pow(F.lit(2.0), F.floor(F.log2(F.array_max(F.transform("vector", F.abs)))))
+    scaled = unique.withColumn("scale", scale).select("key", F.transform("vector", lambda x: x / F.col("scale")).alias("vector"))
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda t, x: t + x * x))
-    sides = unique.select("key", "vector", norm.alias("norm"))
+    sides = scaled.select("key", "vector", norm.alias("norm"))
     dot = F.aggregate(F.zip_with("x", "y", lambda p, q: p * q), F.lit(0.0), lambda t, p: t + p)
     exact = (
         _candidates(tiles, cfg)
@@ -132,7 +137,7 @@ def link(rows: DataFrame, cfg: LinkConfig = LinkConfig()) -> DataFrame:
     )
     kept = [c for c in rows.columns if c not in ("n_links", "component_id", "kept")]
     own = rows.select(*[F.col(f"`{c}`") for c in kept], F.when(usable, vector).alias("__v"))
-    same = (F.col("label").cast("int") == F.col("c_label")) & (F.col("__v") == F.col("c_vector"))
+    same = (F.col("label").cast("string") == F.col("c_label")) & (F.col("__v") == F.col("c_vector"))
     return own.join(told, same, "left").select(
         *[F.col(f"`{c}`") for c in kept],
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

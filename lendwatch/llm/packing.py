@@ -9,6 +9,7 @@ Only the histogram, of at most ``capacity / grain`` rows, reaches the driver.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from array import array
 from collections import Counter
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 from lendwatch.operators.ordering import row_numbers
 from lendwatch.storage import materialize
 
+_BLANKS = 50_000  # white space characters in a row; 300,000 still go through the pattern of ranks
+_LONG_BLANK = re.compile(r"(?<!\s)\s{%d}" % _BLANKS)
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -55,8 +58,10 @@ class TextIds:
         self.fast = _rank_encoder(*ranks) if ranks else self.exact
 
     def __call__(self, text: str) -> bytes:
-        # Ranks do not know the strings of special tokens.
-        encode = self.exact if any(s in text for s in self.special) else self.fast
+        # Ranks do not know the strings of special tokens, and their pattern takes a stack as deep as
+        # a run of white space is long.
+        plain = not any(s in text for s in self.special) and not (len(text) > _BLANKS and _LONG_BLANK.search(text))
+        encode = self.fast if plain else self.exact
         return array("I", encode(text)).tobytes()
 
 

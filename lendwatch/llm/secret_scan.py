@@ -25,11 +25,12 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 CANDIDATE = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}"
-# Never secrets by themselves: words, numbers, identifiers in capitals, UUIDs, dates, samples.
+# Never secrets by themselves: words, dates, numbers and what separators join of them (no letter beside
+# a digit, no plus sign), UUIDs, and samples that say so at their end.
 ALLOWED = (
-    "^[A-Za-z]?[a-z]+$|^[A-Z]+$|^[0-9]+$|^[A-Za-z]+([-_/][A-Za-z]+)*$"
+    "^(?!.*(?:[A-Za-z][0-9]|[0-9][A-Za-z]|[+]))"
     "|^[0-9A-Fa-f]{8}-([0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$"
-    "|^[0-9]{4}-[0-9]{2}-[0-9]{2}|(?i:example|sample|placeholder|dummy)|^(.)\\2*$"
+    "|(?i:example|sample|placeholder|dummy)$"
 )
 BLOCK = 256  # matches whose positions are summed at a time, so that many matches stay linear
 
@@ -139,7 +140,7 @@ def _hot_windows(rule: EntropyRule, candidates: str) -> str:
     )
 
 
-def find_secrets(docs: DataFrame, rule: EntropyRule = EntropyRule()) -> DataFrame:
+def find_secrets(docs: DataFrame, rule: EntropyRule = BY_CLASS) -> DataFrame:
     """Add ``base_spans`` and ``spans`` (kind ``k`` as its place in KINDS, start ``s``, end ``e``).
 
     Both are ordered by start, then kind; positions are code points, ends exclusive. A NULL or
@@ -192,7 +193,7 @@ def span_string(spans: str) -> Column:
     )
 
 
-def redact(docs: DataFrame, rule: EntropyRule = EntropyRule(), mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, rule: EntropyRule = BY_CLASS, mark: str = "[SECRET]") -> DataFrame:
     """The rows of ``docs`` with every span replaced by ``mark``; overlapping spans by one mark.
 
     ``n_chars`` follows the new text. Texts without a span, NULL included, are unchanged.
@@ -214,7 +215,7 @@ def redact(docs: DataFrame, rule: EntropyRule = EntropyRule(), mark: str = "[SEC
     return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def scan_report(docs: DataFrame, rule: EntropyRule = EntropyRule()) -> DataFrame:
+def scan_report(docs: DataFrame, rule: EntropyRule = BY_CLASS) -> DataFrame:
     """One row per document: counts by base kind, digest of the base spans, all spans."""
     found = find_secrets(docs.select("doc_id", "text"), rule)
 

@@ -186,8 +186,14 @@ def search(vectors: DataFrame, is_query: Column, cfg: SearchConfig = SearchConfi
 
 
 def top_k_report(embeddings: DataFrame, every: int = 50, cfg: SearchConfig = SearchConfig()) -> DataFrame:
-    """Search over ``floor(256 x)``; the rows whose id is divisible by ``every`` query."""
+    """Search over ``floor(256 x)``; the rows whose id is divisible by ``every`` query.
+
+    NULL and repeated ids as in ``search``. Components and scores beyond the range of a long are
+    held at its ends; ranks follow the scores as doubles.
+    """
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
     vectors = embeddings.select("vec_id", F.when(is_finite(F.col("embedding")), whole).alias("vector"))
     found = search(vectors, F.col("vec_id") % every == 0, cfg)
-    return found.withColumn("score", F.col("score").cast("long"))
+    end = float(1 << 63)
+    score = F.when(F.col("score") >= end, F.lit((1 << 63) - 1)).when(F.col("score") <= -end, F.lit(-(1 << 63)))
+    return found.withColumn("score", score.otherwise(F.col("score").cast("long")))

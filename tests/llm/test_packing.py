@@ -95,3 +95,12 @@ def test_linear_program_on_a_known_case():
 def test_slots_cover_ranks():
     plan = [({2: 3, 5: 1}, 4), ({2: 1}, 2)]
     assert P.slots(plan) == [(2, 0, 12, 3, 0), (5, 0, 4, 1, 0), (2, 12, 14, 1, 4)]
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", "\t", " \n"])
+def test_long_white_space(tokenizer, blank):
+    """Ranks alone end in a stack overflow here; shorter runs go through them and give the same ids."""
+    encode = P.TextIds(PATH, RANKS)
+    assert len(encode(blank * 2_000_000)) >= 4
+    text = ("a" + blank * 30_000) * 3 + "b" + blank * 60_000 + "c"
+    assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids

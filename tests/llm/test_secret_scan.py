@@ -5,6 +5,7 @@ import re
 import string
 from collections import Counter
 
+from lendwatch.llm import registry
 from lendwatch.llm import secret_scan as S
 
 ASSIGN = re.compile(
@@ -25,7 +26,7 @@ def hot(text, w=20):
         v = m[0]
         if re.search(S.ALLOWED, v):
             continue
-        limit = 3.0 if re.fullmatch("[0-9A-Fa-f]+", v) else 3.9
+        limit = next(bits for pattern, bits in S.BY_CLASS.classes if re.search(pattern, v))
         ends = []
         for i in range(len(v) - w + 1):
             n = Counter(v[i : i + w])
@@ -40,9 +41,9 @@ def told(spans):
     return ",".join(f"{S.KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-def check(df, rows):
+def check(df, rows, report=S.scan_report):
     got = {}
-    for r in S.scan_report(df).collect():
+    for r in report(df).collect():
         got.setdefault(r.doc_id, []).append(r)
     for key, text in rows:
         b = base(text or "")
@@ -70,8 +71,32 @@ def test_against_brute_force(docs_of):
     check(docs_of(rows), rows)
 
 
-def test_whole_small_table(all_docs):
-    check(all_docs, [(r.doc_id, r.text) for r in all_docs.select("doc_id", "text").collect()])
+def test_whole_small_table(spark, small, all_docs):
+    rows = [(r.doc_id, r.text) for r in all_docs.select("doc_id", "text").collect()]
+    check(all_docs, rows)
+    check(None, rows, lambda _: registry.QUERIES["op4_secret_scan"](spark, small))
+
+
+def test_near_the_limits(docs_of):
+    """Strings of each alphabet whose windows are about as mixed as the limits ask for."""
+    rng = random.Random(17)
+    alphabets = ["0123456789abcdef", string.ascii_lowercase + string.digits, string.ascii_uppercase + "234567", string.ascii_letters + string.digits + "+/-_"]
+    texts = []
+    for _ in range(600):
+        own = rng.sample(rng.choice(alphabets), rng.randint(5, 16))
+        texts.append(" ".join("".join(rng.choices(own, k=rng.randint(18, 60))) for _ in range(3)))
+    rows = list(enumerate(texts))
+    check(docs_of(rows), rows)
+    some = [bool(hot(t)) for t in texts]
+    assert 0.1 * len(some) < sum(some) < 0.9 * len(some)
+
+
+def test_allowed_parts_do_not_hide_a_key(docs_of):
+    key = "Zx81kQp0Lm4Rt9Vw7Bn2"
+    flagged = [key, f"2024-01-31-{key}", f"docs/sample/{key}Yc6", f"example_{key}", f"{key}-2024-01-31", f"{key}sample{key}"]
+    allowed = ["2024-01-31-notes-of-a-meeting", "docs/sample/of/some/2024/files", f"{key}EXAMPLE", "123e4567-e89b-12d3-a456-426614174000", "9" * 30, "Word" * 8]
+    found = [r.spans for r in S.scan_report(docs_of(list(enumerate(flagged + allowed)))).orderBy("doc_id").collect()]
+    assert ["entropy" in f for f in found] == [True] * len(flagged) + [False] * len(allowed)
 
 
 def test_redaction_keeps_other_text(docs_of):

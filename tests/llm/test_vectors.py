@@ -97,3 +97,18 @@ def test_bounds_hold():
         u = a / np.linalg.norm(a / scale, axis=1, keepdims=True) / scale
         true = {tuple(p) for p in np.argwhere(u @ u.T >= 0.93)}
         assert true <= set(zip(*[x.tolist() for x in D.possible_pairs(q, q, 0.93, 1e-6)], strict=True))
+
+
+def test_extreme_components_and_labels_of_other_types(spark):
+    tiny = [[1e-200, 1e-200], [1e-200, 1.01e-200], [1e200, 1e200], [-1e-310, 1e-310], [1.0, 0.0], [5e-324, 5e-324]]
+    rows = [(i, v, label) for i, v in enumerate(tiny) for label in ("b c",)] + [(90, [1.0, 1.0], "x"), (91, [1.0, 1.1], None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in D.link_report(df).collect()}
+    assert got == {0: (3, 0), 1: (3, 0), 2: (3, 0), 5: (3, 0), 3: (0, 3), 4: (0, 4), 90: (0, 90), 91: (0, 91)}
+
+
+def test_scores_beyond_a_long_are_held_at_its_ends(spark):
+    rows = [(0, [1e30, 1e30]), (1, [1e30, 1.0]), (2, [-1e30, -1e30]), (3, [0.5, 0.25])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in K.top_k_report(df).orderBy("rank").collect()]
+    assert got == [(0, 1, 1, (1 << 63) - 1), (0, 2, 3, (1 << 63) - 1), (0, 3, 2, -(1 << 63))]
