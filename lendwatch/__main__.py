@@ -1,6 +1,7 @@
 """Command line.
 
-    python -m lendwatch ingest --raw RAW --out TABLES [--strict-iso] [--limit N]
+    python -m lendwatch unpack --archives ZIPS --raw RAW
+    python -m lendwatch ingest --raw RAW --out TABLES [--month YYYY-MM] [--strict-iso] [--limit N]
     python -m lendwatch rates  --json RATES --out TABLES
     python -m lendwatch marts  --out TABLES [--as-of DATE]
     python -m lendwatch train  --out TABLES [--csv FEATURES] [--no-write]
@@ -18,16 +19,25 @@ from pyspark.sql import functions as F
 from lendwatch.config import EwConfig
 from lendwatch.operators.features import read_features_csv
 from lendwatch.plans import model, pipeline
-from lendwatch.sources import rates, raw_text, sinks
+from lendwatch.sources import archives, discovery, rates, raw_text, sinks
 from lendwatch.storage import drop_intermediates
-from lendwatch.streaming.incremental import load_incremental
+
+
+def _month(text: str) -> dt.date:
+    return dt.datetime.strptime(text, "%Y-%m").date()
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="lendwatch", description=__doc__)
     steps = parser.add_subparsers(dest="step", required=True)
 
+    unpack = steps.add_parser("unpack", help="write the members of annual archives not unpacked yet")
+    unpack.add_argument("--archives", required=True, help="folder of ZIP files")
+    unpack.add_argument("--raw", required=True)
+
     ingest = steps.add_parser("ingest", help="load raw files not loaded yet")
+    ingest.add_argument("--month", type=_month, help="only this month's file; before it is published nothing is loaded")
+    ingest.add_argument("--max-rejected-share", type=float, help="stop if more of a file's lines are rejected")
     ingest.add_argument("--raw", required=True)
     ingest.add_argument("--strict-iso", action="store_true")
     ingest.add_argument("--limit", type=int, help="show N parsed rows and write nothing")
@@ -57,12 +67,19 @@ def _config(args: argparse.Namespace) -> EwConfig:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.step == "unpack":
+        zips = discovery.list_files(spark, args.archives).filter(F.lower("path").endswith(".zip"))
+        print(archives.unpack(spark, [r.path for r in zips.select("path").collect()], args.raw), "members unpacked")
+        return
     bronze = f"{args.out}/bronze"
     if args.step == "ingest" and args.limit:
         rows = raw_text.parse_rows(raw_text.read_raw_lines(spark, args.raw), args.strict_iso)
         raw_text.preview(rows, args.limit).show(args.limit, truncate=False, vertical=True)
     elif args.step == "ingest":
-        load_incremental(spark, args.raw, bronze, f"{args.out}/bronze_checkpoint", args.strict_iso)
+        month = F.lit(args.month) if args.month else None
+        loaded = sinks.append_new_files(
+            spark, args.raw, bronze, month, args.strict_iso, max_rejected_share=args.max_rejected_share)
+        print(loaded, "files loaded")
     elif args.step == "rates":
         pipeline.load_rates(rates.read_rate_files(spark, args.json), args.out)
     elif args.step == "marts":

@@ -65,6 +65,16 @@ def check_columns(
     return _judged(counted.select(F.inline(F.array(*lines))))
 
 
+def counted(df: DataFrame, rules: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """A report of ``(check, target, count of failures)``, the counts taken in one scan."""
+    found = df.agg(*[failures.cast("bigint").alias(f"c{i}") for i, (_, _, failures) in enumerate(rules)])
+    lines = [
+        F.struct(F.lit(check).alias("check"), F.lit(target).alias("target"), F.col(f"c{i}").alias("failures"))
+        for i, (check, target, _) in enumerate(rules)
+    ]
+    return _judged(found.select(F.inline(F.array(*lines))))
+
+
 def _one_line(failing: DataFrame, failures: Column, check: str, target: str) -> DataFrame:
     return _judged(
         failing.agg(F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures")).select(

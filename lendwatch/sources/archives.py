@@ -12,7 +12,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendwatch.storage import materialize
+from lendwatch.storage import exists, materialize
 
 from lendwatch.sources.raw_text import OTHER_LINE_BREAKS
 
@@ -63,16 +63,25 @@ def explode_archives(
 
     A member is a compressed stream and is read start to end by one task, in
     bounded batches, each in a task of its own. ``existing`` lists members to
-    skip; a member of several archives is read once for each size and CRC.
+    skip, by name or, where it has ``size`` and ``crc``, by content; a member of several archives
+    is read once for each size and CRC.
     """
+    return _lines(_wanted(spark, archive_paths, existing))
+
+
+def _wanted(spark: SparkSession, archive_paths: list[str], existing: DataFrame | None) -> DataFrame:
     uris = [p if "://" in p or p.startswith("file:") else f"file://{p}" for p in archive_paths]
     archives = spark.createDataFrame([(u,) for u in uris], "archive string")
     listed = list_members(spark, archives.repartition(max(1, len(uris))))
     members = listed.groupBy("member", "size", "crc").agg(F.min("archive").alias("archive"))
     if existing is not None:
-        members = members.join(existing.select("member").distinct(), "member", "left_anti")
+        known = [c for c in ("member", "size", "crc") if c in existing.columns]
+        members = members.join(existing.select(*known).distinct(), known, "left_anti")
+    return materialize(members, "members")
+
+
+def _lines(chosen: DataFrame) -> DataFrame:
     # Rows are tiny and tasks long, so the number of tasks is set, not left to AQE.
-    chosen = materialize(members, "members")
     lines = (
         chosen.repartitionByRange(max(1, chosen.count()), "archive", "member", "crc", "size")
         .mapInPandas(_readers()[1], "archive string, member string, value string")
@@ -80,12 +89,42 @@ def explode_archives(
     return lines.withColumn("value", F.explode(F.split("value", OTHER_LINE_BREAKS, -1)))
 
 
+def _by_member(lines: DataFrame) -> DataFrame:
+    year = F.regexp_extract("member", r"([0-9]{4})[0-9]{2}\.[cC][sS][vV]$", 1)
+    return lines.select("value", year.alias("year"), "member")
+
+
 def write_raw(lines: DataFrame, root: str) -> None:
     """Members as text below ``year=YYYY/member=NAME``, ready for ``read_raw_lines``."""
-    year = F.regexp_extract("member", r"([0-9]{4})[0-9]{2}\.[cC][sS][vV]$", 1)
-    (
-        lines.select("value", year.alias("year"), "member")
-        .write.mode("append")
-        .partitionBy("year", "member")
-        .text(root)
-    )
+    _by_member(lines).write.mode("append").partitionBy("year", "member").text(root)
+
+
+MEMBERS = "archive string, member string, size long, crc long"
+
+
+def unpacked_members(spark: SparkSession, root: str) -> DataFrame:
+    """The ledger of members written below ``root``."""
+    folder = f"{root}/_members"
+    return spark.read.schema(MEMBERS).parquet(folder) if exists(spark, folder) else spark.createDataFrame([], MEMBERS)
+
+
+def unpack(spark: SparkSession, archive_paths: list[str], root: str) -> int:
+    """Write the members not unpacked yet below ``root``; returns their number.
+
+    Members are told apart by name, size and CRC, from the archives' directories alone. One that was
+    unpacked before and has other content now, or two of one name that differ, stop the step before
+    anything is written. A run that died is repeated as a whole: a member replaces what it had written.
+    """
+    done = unpacked_members(spark, root)
+    chosen = _wanted(spark, archive_paths, done)
+    twice = chosen.groupBy("member").count().filter("count > 1").select("member")
+    differing = chosen.join(done.select("member").distinct(), "member", "left_semi").select("member").unionByName(twice).distinct()
+    names = [r.member for r in differing.limit(5).collect()]
+    if names:
+        raise ValueError(f"members of one name have different content: {', '.join(sorted(names))}")
+    count = chosen.count()
+    if count:
+        writer = _by_member(_lines(chosen)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("year", "member").text(root)
+        chosen.select("archive", "member", "size", "crc").coalesce(1).write.mode("append").parquet(f"{root}/_members")
+    return count

@@ -17,9 +17,16 @@ def monthly_file_name(month: Column) -> Column:
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """``(path, source_file)`` of every file below ``root``; no content is read."""
+    """``(path, source_file, size, modified)`` of every file below ``root``; no content is read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return files.select("path", F.col("_metadata.file_path").alias("source_file"))
+    return files.select(
+        "path", F.col("_metadata.file_path").alias("source_file"),
+        F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+
+
+def of_month(files: DataFrame, month: Column | None) -> DataFrame:
+    """The files named after a month; all without one."""
+    return files if month is None else files.filter(F.contains("source_file", monthly_file_name(month)))
 
 
 def new_files(available: DataFrame, loaded: DataFrame, month: Column | None = None) -> DataFrame:
@@ -28,10 +35,8 @@ def new_files(available: DataFrame, loaded: DataFrame, month: Column | None = No
     With ``month`` only files named after that month count; when it is not
     published, or is loaded already, the result is empty.
     """
-    if month is not None:
-        available = available.filter(F.contains("source_file", monthly_file_name(month)))
     return (
-        available.select("source_file")
+        of_month(available, month).select("source_file")
         .distinct()
         .join(loaded.select("source_file").distinct(), "source_file", "left_anti")
     )

@@ -67,6 +67,11 @@ def data_lines(lines: DataFrame) -> DataFrame:
     return lines.filter(_is_data(F.col("value")))
 
 
+def lines_per_file(text: DataFrame) -> DataFrame:
+    """``(source_file, lines)``: the lines that ``parse_rows`` takes for data, counted without parsing."""
+    return data_lines(split_lines(text)).groupBy("source_file").agg(F.count("*").alias("lines"))
+
+
 def _first_fault(faults: list[tuple[Column, str]]) -> Column:
     return F.coalesce(*[F.when(condition, F.lit(reason)) for condition, reason in faults])
 

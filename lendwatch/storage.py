@@ -50,13 +50,42 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The path's own file system, as Spark sees it, and the path for it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, folder = _file_system(spark, path)
+    return system.exists(folder)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none where it does not exist."""
+    system, folder = _file_system(spark, path)
+    return [f.getPath().getName() for f in system.listStatus(folder)] if system.exists(folder) else []
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    system, folder = _file_system(spark, path)
+    return system.delete(folder, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder whose target must not exist."""
+    system, folder = _file_system(spark, source)
+    _, there = _file_system(spark, target)
+    if system.exists(there):
+        raise FileExistsError(target)
+    system.mkdirs(there.getParent())
+    if not system.rename(folder, there):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def drop_intermediates(spark: SparkSession) -> bool:
     """Delete every intermediate this application wrote; without a shared folder there is none."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured and spark.sparkContext.applicationId not in _local_roots:
         return False
-    jvm = spark.sparkContext._jvm
-    app = spark.sparkContext.applicationId
-    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/lendwatch/{app}")
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return folder.getFileSystem(conf).delete(folder, True)
+    return remove(spark, f"{shared_folder(spark)}/lendwatch/{spark.sparkContext.applicationId}")

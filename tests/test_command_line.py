@@ -1,6 +1,7 @@
 """The four steps on raw files, end to end."""
 
 import json
+import zipfile
 from dataclasses import replace
 
 import pytest
@@ -14,7 +15,8 @@ def test_all_steps(spark, small, tmp_path, capfd, monkeypatch):
     given = command._config
     monkeypatch.setattr(command, "_config", lambda args: replace(given(args), gbt_iterations=5))
     raw, out = str(tmp_path / "raw"), str(tmp_path / "tables")
-    fixture.write_raw_files(fixture.raw_lines(spark, small), raw)
+    paths = fixture.write_archives(fixture.raw_lines(spark, small), str(tmp_path / "zips"))
+    zips = str(tmp_path / "zips")
     months = [f"15/{m:02d}/{y}" for y in range(1995, 2002) for m in range(1, 13)]
     records = [{"data": d, "valor": f"{5 + i % 7},25"} for i, d in enumerate(months)]
     (tmp_path / "rates.json").write_text(json.dumps(records))
@@ -25,10 +27,22 @@ def test_all_steps(spark, small, tmp_path, capfd, monkeypatch):
     def rows(name):
         return spark.read.parquet(f"{out}/{name}").count()
 
+    def unpack():
+        command.run(spark, command._arguments(["unpack", "--archives", zips, "--raw", raw]))
+        return capfd.readouterr().out
+
+    members = sum(len([n for n in zipfile.ZipFile(p.removeprefix("file://")).namelist() if n.endswith(".csv")]) for p in paths)
+    assert f"{members} members unpacked" in unpack() and "0 members unpacked" in unpack()
     step("ingest", "--raw", raw, "--limit", "2")
     assert "-RECORD 1" in capfd.readouterr().out
+    step("ingest", "--raw", raw, "--month", "2030-01")
+    assert "0 files loaded" in capfd.readouterr().out
+    step("ingest", "--raw", raw, "--month", "1995-06")
+    assert "1 files loaded" in capfd.readouterr().out
     step("ingest", "--raw", raw)
+    assert f"{members - 1} files loaded" in capfd.readouterr().out
     step("ingest", "--raw", raw)
+    assert "0 files loaded" in capfd.readouterr().out
     step("rates", "--json", str(tmp_path / "rates.json"))
     with pytest.raises(GateError, match="freshness"):
         step("marts")

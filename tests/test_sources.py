@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lendwatch.operators import quality
 from lendwatch.plans import pipeline
 from lendwatch.schema import RAW_COLUMNS
-from lendwatch.sources import archives, discovery, rates, raw_text, sinks
+from lendwatch.sources import archives, discovery, ledger, rates, raw_text, sinks
 from lendwatch.streaming.incremental import load_incremental
 
 HEADER = "﻿" + ";".join(f'"{c}"' for c in RAW_COLUMNS)
@@ -67,6 +67,70 @@ def test_append_twice_adds_nothing_and_new_month_is_added(spark, raw, tmp_path):
     assert sinks.read_quarantine(spark, path).count() == 2
 
 
+def test_ledger_tells_files_without_reading_the_table(spark, raw, tmp_path, monkeypatch):
+    path = str(tmp_path / "bronze")
+    write_month(raw, "2024-03-31", [])  # a header alone
+    assert sinks.append_new_files(spark, str(raw), path) == 3
+    monkeypatch.setattr(sinks, "_stored", lambda *_: pytest.fail("stored rows were read"))
+    assert sinks.append_new_files(spark, str(raw), path) == 0
+    told = {r.source_file[-10:-4]: (r.rows, r.rejected, r.first_day, r.last_day, r.size) for r in ledger.read(spark, path).collect()}
+    size = lambda m: (raw / f"year={m[:4]}" / f"scrdata_{m}.csv").stat().st_size
+    day = dt.date(2024, 1, 31)
+    assert told == {
+        "202312": (1, 1, dt.date(2023, 12, 31), dt.date(2023, 12, 31), size("202312")),
+        "202401": (1, 1, day, day, size("202401")), "202403": (0, 0, None, None, size("202403"))}
+
+
+def test_a_load_that_dies_leaves_no_rows(spark, raw, tmp_path, monkeypatch):
+    path = str(tmp_path / "bronze")
+    with monkeypatch.context() as m:
+        m.setattr(ledger, "commit", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError, match="killed"):
+            sinks.append_new_files(spark, str(raw), path)
+    write_month(raw, "2024-02-29", [line("2024-02-29")])
+    february = F.lit(dt.date(2024, 2, 1))
+    assert sinks.append_new_files(spark, str(raw), path, month=february) == 1
+    assert [r.data_base for r in sinks.read_bronze(spark, path).collect()] == [dt.date(2024, 2, 29)]
+    assert sinks.append_new_files(spark, str(raw), path) == 2
+    assert sinks.read_bronze(spark, path).count() == 3 and sinks.read_quarantine(spark, path).count() == 2
+    # A load under way, or one that died: its folder is there, its rows are not.
+    (tmp_path / "bronze" / "load_id=half").mkdir()
+    assert ledger.drop_unfinished(spark, path) == ["half"] and sinks.read_bronze(spark, path).count() == 3
+
+
+def test_a_streams_table_is_not_touched(spark, raw, tmp_path):
+    path = str(tmp_path / "bronze")
+    load_incremental(spark, str(raw), path, str(tmp_path / "checkpoint"))
+    with pytest.raises(ValueError, match="no ledger knows"):
+        sinks.append_new_files(spark, str(raw), path)
+    assert sinks.read_bronze(spark, path).count() == 2
+
+
+def test_a_changed_file_stops_the_load(spark, raw, tmp_path):
+    path = str(tmp_path / "bronze")
+    assert sinks.append_new_files(spark, str(raw), path) == 2
+    write_month(raw, "2024-01-31", [line("2024-01-31"), line("2024-01-31", "7,0")])
+    with pytest.raises(ValueError, match="scrdata_202401.csv"):
+        sinks.append_new_files(spark, str(raw), path)
+    assert sinks.read_bronze(spark, path).count() == 2
+
+
+def test_loads_of_few_files_and_the_gate(spark, raw, tmp_path):
+    path = str(tmp_path / "bronze")
+    write_month(raw, "2024-02-29", [line("2024-02-29")])
+    with pytest.raises(quality.GateError, match="rejected_share"):
+        sinks.append_new_files(spark, str(raw), path, max_rejected_share=0.4)
+    assert sinks.read_bronze(spark, path).count() == 0
+    assert sinks.append_new_files(spark, str(raw), path, max_files=2) == 3
+    assert ledger.read(spark, path).select("load_id").distinct().count() == 2
+    entries = ledger.read(spark, path)
+    lines = raw_text.lines_per_file(raw_text.read_raw_lines(spark, str(raw)))
+    assert [r.status for r in sinks.load_checks(entries, lines).collect()] == ["pass", "pass"]
+    more = lines.withColumn("lines", F.col("lines") + F.contains("source_file", F.lit("202401")).cast("int"))
+    assert [r.failures for r in sinks.load_checks(entries, more, 0.4).collect()] == [1, 2]
+    assert [r.failures for r in sinks.load_checks(entries.filter("rejected > 0"), lines).collect()] == [1, 0]
+
+
 def test_stream_loads_each_file_once(spark, raw, tmp_path):
     args = (spark, str(raw), str(tmp_path / "bronze"), str(tmp_path / "checkpoint"))
     assert load_incremental(*args) == 8
@@ -149,6 +213,67 @@ def test_overwrite_replaces(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_a_failed_overwrite_keeps_the_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    sinks.overwrite(spark.range(5), path)
+    broken = spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("died")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="died"):
+        sinks.overwrite(broken, path)
+    assert spark.read.parquet(path).count() == 5
+    sinks.overwrite(spark.read.parquet(path).filter("id < 3"), path)  # from its own rows
+    assert spark.read.parquet(path).count() == 3
+
+
+@pytest.mark.parametrize("done", [0, 1, 2])
+def test_an_overwrite_that_dies_between_its_renames(spark, tmp_path, monkeypatch, done):
+    path, real, calls = str(tmp_path / "t"), sinks.move, []
+    sinks.overwrite(spark.range(5), path)
+
+    def dying(*args):
+        if len(calls) == done:
+            raise RuntimeError("killed")
+        calls.append(args)
+        real(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "move", dying)
+        if done == 2:
+            m.setattr(sinks, "remove", lambda _, p: dying() if p.endswith(".old") else False)
+        with pytest.raises(RuntimeError, match="killed"):
+            sinks.overwrite(spark.range(9), path)
+    sinks.restore(spark, path)
+    assert spark.read.parquet(path).count() == (9 if done == 2 else 5)
+    sinks.overwrite(spark.range(2), path)
+    assert spark.read.parquet(path).count() == 2 and not sinks.restore(spark, path)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_unpack_once_by_content(spark, tmp_path):
+    zips, raw = tmp_path / "zips", str(tmp_path / "raw")
+    zips.mkdir()
+
+    def put(name, **members):
+        with zipfile.ZipFile(zips / name, "w") as z:
+            for month, amount in members.items():
+                z.writestr(f"scr{month}.csv", f"{HEADER}\n{line(f'{month[4:8]}-{month[8:]}-28', amount)}\n")
+        return str(zips / name)
+
+    one = put("2023.zip", data202301="1", data202302="2")
+    assert archives.unpack(spark, [one], raw) == 2 and archives.unpack(spark, [one], raw) == 0
+    two = put("2023b.zip", data202301="1", data202303="3")
+    assert archives.unpack(spark, [one, two], raw) == 1
+    assert sorted(r.member for r in archives.unpacked_members(spark, raw).collect()) == [f"scrdata20230{i}.csv" for i in (1, 2, 3)]
+    good, _ = raw_text.parse_lines(raw_text.read_raw_lines(spark, raw))
+    assert sorted(r.carteira_ativa for r in good.collect()) == [1.0, 2.0, 3.0]
+    three = put("2023c.zip", data202302="9")
+    with pytest.raises(ValueError, match="scrdata202302.csv"):
+        archives.unpack(spark, [three], raw)
+    four = [put("x.zip", data202304="4"), put("y.zip", data202304="5")]
+    with pytest.raises(ValueError, match="scrdata202304.csv"):
+        archives.unpack(spark, four, raw)
+    assert raw_text.parse_lines(raw_text.read_raw_lines(spark, raw))[0].count() == 3
+
+
 def test_rates(spark, tmp_path):
     path = tmp_path / "rates.json"
     days = [("02/01/2023", "13.75"), ("31/01/2023", "13,25"), ("31/01/2023", "12.0"), ("3/2/2023", "9")]
