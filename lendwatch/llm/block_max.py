@@ -2,35 +2,46 @@
 
 from __future__ import annotations
 
+import ctypes
+import glob
+import os
 from collections.abc import Iterable, Sequence
 
 import numpy as np
 
 Vector = tuple[np.ndarray, np.ndarray]  # ascending terms and their weights
-_DENSE = 1024  # so many of the most frequent terms have a row of weights instead of postings
-_OFTEN = 64  # a frequent term is in one of so many examples at least
-_TOGETHER = 128  # queries that are multiplied with those rows at a time
+_DENSE = 640  # so many of the most frequent terms have a row of weights instead of postings
+_OFTEN = 26  # a frequent term is in one of so many examples at least
+_TOGETHER = 256  # queries that are multiplied with those rows at a time
 _WINDOW = 1024  # queries among which those with the same best blocks are brought together
+_SEEN = 128  # of the most frequent terms tell examples' groups
 _KINDS = 16  # groups of examples that are laid side by side
-_RUN = 16  # blocks that are multiplied together with the queries that want one of them
+_RUN = 8  # blocks that are multiplied together with the queries that want one of them
 _ROUNDING = 4e-6  # of sums of single precision, for vectors of length 1
 
 
-def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers of all ranges, one range after the other."""
-    shift = starts - np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    return np.repeat(shift, sizes) + np.arange(sizes.sum())
+def use_one_thread() -> None:
+    """Let matrix products of this process use one thread: each of Spark's tasks has a core of its own.
+
+    Threads that wait for each other would keep a second core busy. Where the library is another or
+    has no such switch, nothing changes.
+    """
+    for path in glob.glob(os.path.join(os.path.dirname(np.__file__), "..", "numpy.libs", "*openblas*")):
+        library = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
 
 
-def _kinds(dense: np.ndarray) -> np.ndarray:
-    """A group number for each column, by a few rounds of spherical means from evenly spread columns."""
-    n = dense.shape[1]
-    centres = dense[:, np.linspace(0, n - 1, min(_KINDS, n)).astype(int)].T.copy()
+def _kinds(rows: np.ndarray) -> np.ndarray:
+    """A group number for each row, by a few rounds of spherical means from evenly spread rows."""
+    n = len(rows)
+    centres = rows[np.linspace(0, n - 1, min(_KINDS, n)).astype(int)].copy()
     best = np.zeros(n, int)
     for _ in range(4):
-        best = (centres @ dense).argmax(axis=0)
+        best = (rows @ centres.T).argmax(axis=1)
         for kind in range(len(centres)):
-            mean = dense[:, best == kind].sum(axis=1)
+            mean = rows[best == kind].sum(axis=0)
             size = np.sqrt(mean @ mean)
             if size > 0:
                 centres[kind] = mean / size
@@ -51,34 +62,42 @@ class BlockMaxIndex:
     def __init__(self, sizes: np.ndarray, terms: np.ndarray, weights: np.ndarray, block: int = 32):
         """From the vectors' sizes and their terms and weights, one vector after the other."""
         self.size, self.block = len(sizes), block
+        self.blocks = -(-self.size // block)
         ids = np.repeat(np.arange(self.size, dtype=np.int32), sizes)
         counts = np.bincount(terms, minlength=1)
         frequent = np.argsort(-counts, kind="stable")[:_DENSE]
         frequent = frequent[(counts[frequent] > 0) & (counts[frequent] * _OFTEN >= self.size)]
         self.row = np.full(len(counts), -1, np.int32)
         self.row[frequent] = np.arange(len(frequent))
-        often = self.row[terms] >= 0
-        dense = np.zeros((len(frequent), self.size), np.float32)
-        dense[self.row[terms[often]], ids[often]] = weights[often]
-        self.order = np.argsort(_kinds(dense), kind="stable") if self.size and len(frequent) else np.arange(self.size)
+        row = self.row[terms]
+        telling = np.zeros((self.size, min(len(frequent), _SEEN)), np.float32)
+        seen = np.flatnonzero((row >= 0) & (row < _SEEN))
+        telling[ids[seen], row[seen]] = weights[seen]
+        # Blocks of one kind and about one length have tight maxima.
+        self.order = np.lexsort((np.square(telling).sum(axis=1), _kinds(telling))) if telling.size else np.arange(self.size)
+        del telling, seen
         place = np.empty(self.size, np.int32)
         place[self.order] = np.arange(self.size)
-        self.blocks = -(-self.size // block)
-        padded = np.zeros((len(frequent), self.blocks * block), np.float32)
-        padded[:, : self.size] = dense[:, self.order]
+        ids = place[ids]
+        often = np.flatnonzero(row >= 0)
         # Weights of the frequent terms by example, and the largest of each term in a block.
-        self.dense = np.ascontiguousarray(padded.T)
-        self.most = padded.reshape(len(frequent), self.blocks, block).max(axis=2) if self.blocks else padded
-        rare = terms[~often]
-        at = np.argsort(rare, kind="stable")
-        self.ids, self.weights = place[ids[~often][at]].astype(np.int64), weights[~often][at].astype(float)
-        self.first = np.searchsorted(rare[at], np.arange(len(counts) + 1))
+        self.dense = np.zeros((self.blocks * block, len(frequent)), np.float32)
+        self.dense[ids[often], row[often]] = weights[often]
+        self.most = self.dense.reshape(self.blocks, block, len(frequent)).max(axis=1).T.copy()
+        rare = np.flatnonzero(row < 0)
+        del often, row
+        rare = rare[np.argsort(terms[rare], kind="stable")]
+        self.ids, self.weights = ids[rare], weights[rare].astype(np.float32)
+        self.first = np.searchsorted(terms[rare], np.arange(len(counts) + 1))
 
     def _rare_sums(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         starts = self.first[terms]
         sizes = self.first[terms + 1] - starts
-        at = ranges(starts, sizes)
-        return np.bincount(self.ids[at], np.repeat(weights.astype(float), sizes) * self.weights[at], self.blocks * self.block)
+        at = np.arange(sizes.sum())
+        at += np.repeat(starts - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
+        products = np.repeat(weights.astype(float), sizes)
+        products *= self.weights[at]
+        return np.bincount(self.ids[at], products, self.blocks * self.block)
 
     def _exact(self, sums: np.ndarray, places: np.ndarray, rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Scores of examples; equal vectors give equal scores."""

@@ -22,13 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendwatch.llm.block_max import BlockMaxIndex, Vector, merged
+from lendwatch.llm.block_max import BlockMaxIndex, Vector, merged, use_one_thread
 from lendwatch.llm.terms import Terms, terms_of_each
 from lendwatch.storage import materialize
 
 _PARTS = 64  # ranges of terms whose document counts are added up together
 _QUERIES = 1024  # texts that are searched together
-EXAMPLE = "doc_id long, toxic int, packed binary"
+EXAMPLE = "doc_id long, toxic int, n int, packed binary"
 
 
 @dataclass(frozen=True)
@@ -58,8 +58,9 @@ class Vocabulary:
 
     def __init__(self, hashes: np.ndarray, idf: np.ndarray, toxic: np.ndarray, clean: np.ndarray, sizes: tuple[int, int], cfg: ToxicConfig):
         """``sizes``: toxic and clean examples."""
-        self.hashes, self.idf, self.toxic, self.clean, self.sizes, self.cfg = hashes, idf, toxic, clean, sizes, cfg
-        self.weights = self._weights(np.arange(len(hashes)), None)
+        self.hashes, self.idf, self.sizes, self.cfg = hashes, idf.astype(np.float32), sizes, cfg
+        self.toxic, self.clean = toxic.astype(np.int32), clean.astype(np.int32)
+        self.weights = self._weights(np.arange(len(hashes)), None).astype(np.float32)
 
     def _weights(self, numbers: np.ndarray, own: int | None) -> np.ndarray:
         """IDF times the log odds between the labels, which start from the share of either label."""
@@ -194,21 +195,27 @@ def _open(key: str, pieces: list, vocabulary: Vocabulary, block: int) -> Shard:
         for other in [k for k in _opened if k.split(":")[0] != model]:
             del _opened[other]
         rows = sorted((row for piece in pieces for row in piece.value), key=lambda r: r[0])
-        vectors = [vocabulary.vector(*unpacked(data)) for _, _, data in rows]
-        sizes = np.array([len(t) for t, _ in vectors], np.int64)
-        index = BlockMaxIndex(sizes, *(np.concatenate([v[i] for v in vectors]) for i in range(2)), block)
+        sizes = np.array([n for _, _, n, _ in rows], np.int64)
+        terms, weights = np.empty(sizes.sum(), np.int32), np.empty(sizes.sum(), np.float32)
+        at = 0
+        for _, _, n, data in rows:
+            terms[at : at + n], weights[at : at + n] = vocabulary.vector(*unpacked(data))
+            at += n
+        use_one_thread()
+        index = BlockMaxIndex(sizes, terms, weights, block)
         _opened[key] = Shard(np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], float), index)
     return _opened[key]
 
 
 def _examples(rows: DataFrame, vocabulary, cfg: ToxicConfig) -> DataFrame:
-    """``(doc_id, toxic, packed)``: the terms of the sampled rows."""
+    """``(doc_id, toxic, n, packed)``: the terms of the sampled rows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = vocabulary.value.hashes
         for batch in batches:
-            told = [packed(*known(hashes, t)) for t in terms_of_each((t.as_py() for t in batch.column(2)), cfg.prefix)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(told, pa.binary())], ["doc_id", "toxic", "packed"])
+            told = [known(hashes, t) for t in terms_of_each((t.as_py() for t in batch.column(2)), cfg.prefix)]
+            columns = [pa.array([len(t) for t, _ in told], pa.int32()), pa.array([packed(*t) for t in told], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "toxic", "n", "packed"])
 
     return rows.select("doc_id", F.col("toxic").cast("int"), "text").mapInArrow(run, EXAMPLE)
 
@@ -294,7 +301,7 @@ def _votes(examples: DataFrame, judge: Judge) -> DataFrame:
         vocabulary = judge.vocabulary.value
         for batch in batches:
             for at in range(0, batch.num_rows, _QUERIES):
-                ids, labels, data = (c.to_pylist() for c in batch.slice(at, _QUERIES).columns)
+                ids, labels, _, data = (c.to_pylist() for c in batch.slice(at, _QUERIES).columns)
                 terms = [unpacked(d) for d in data]
                 near = judge.nearest([vocabulary.vector(*t, own) for t, own in zip(terms, labels, strict=True)], ids)
                 yield pa.RecordBatch.from_arrays(
@@ -326,7 +333,7 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig = ToxicConfig()) ->
             list(shards.values())[-1].append(context.broadcast(piece))
             piece, size = [], 0
         if row is not None:
-            piece.append((row.doc_id, row.toxic, bytes(row.packed)))
+            piece.append((row.doc_id, row.toxic, row.n, bytes(row.packed)))
             size += len(row.packed)
     sums = examples.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
     prior = ((sums.t or 0) + 1) / (sums.n + 2)
