@@ -63,17 +63,26 @@ def split_summary(train: DataFrame, test: DataFrame) -> DataFrame:
     )
 
 
-def _fill(medians: dict[str, float], flags: bool) -> SQLTransformer:
-    """Median imputation as a projection, optionally with a flag per filled value."""
+FAR = 1e300  # beyond any value of a feature
+
+
+def _fill(medians: dict[str, float]) -> SQLTransformer:
+    """Median imputation as a projection."""
     filled = [f"coalesce({f}, {medians.get(f, 0.0)!r}D) AS {f}_filled" for f in FEATURES]
-    missing = [f"double({f} IS NULL) AS {f}_missing" for f in FEATURES] if flags else []
-    return SQLTransformer(statement=f"SELECT *, {', '.join(filled + missing)} FROM __THIS__")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__")
 
 
-def _assemble(flags: bool) -> VectorAssembler:
-    columns = [f"{f}_filled" for f in FEATURES]
-    columns += [f"{f}_missing" for f in FEATURES] if flags else []
-    return VectorAssembler(inputCols=columns, outputCol="assembled")
+def _routed() -> SQLTransformer:
+    """Two copies of each feature, with NULL below and with NULL above every value.
+
+    A split of the first copy sends NULL to the left, one of the second to the right, and one at the
+    end of either parts NULL from all values. So a tree learns the side of NULL with each split.
+    """
+    copies = [f"coalesce({f}, {side!r}D) AS {f}_{name}" for f in FEATURES for name, side in (("left", -FAR), ("right", FAR))]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(copies)} FROM __THIS__")
+
+
+ROUTED = [f"{f}_{name}" for f in FEATURES for name in ("left", "right")]
 
 
 def _logistic(medians: dict[str, float], n: int) -> Pipeline:
@@ -81,8 +90,8 @@ def _logistic(medians: dict[str, float], n: int) -> Pipeline:
     to_population = Vectors.dense([(n / max(n - 1, 1)) ** 0.5] * len(FEATURES))
     return Pipeline(
         stages=[
-            _fill(medians, flags=False),
-            _assemble(flags=False),
+            _fill(medians),
+            VectorAssembler(inputCols=[f"{f}_filled" for f in FEATURES], outputCol="assembled"),
             StandardScaler(inputCol="assembled", outputCol="scaled", withMean=True, withStd=True),
             ElementwiseProduct(inputCol="scaled", outputCol="features", scalingVec=to_population),
             LogisticRegression(
@@ -97,8 +106,8 @@ def _logistic(medians: dict[str, float], n: int) -> Pipeline:
     )
 
 
-def _boosting(medians: dict[str, float], cfg: EwConfig) -> Pipeline:
-    """Trees have no route for NULL here: filled values plus a flag stand in."""
+def _boosting(cfg: EwConfig) -> Pipeline:
+    """Boosted trees on features as they are; each split learns where NULL goes."""
     trees = GBTClassifier(
         labelCol=TARGET,
         featuresCol="assembled",
@@ -114,7 +123,7 @@ def _boosting(medians: dict[str, float], cfg: EwConfig) -> Pipeline:
         trees = trees.setParams(
             validationIndicatorCol=HELD_OUT, validationTol=cfg.gbt_stop_tolerance
         )
-    return Pipeline(stages=[_fill(medians, flags=True), _assemble(flags=True), trees])
+    return Pipeline(stages=[_routed(), VectorAssembler(inputCols=ROUTED, outputCol="assembled"), trees])
 
 
 def medians_of(rows: DataFrame) -> dict[str, float]:
@@ -132,7 +141,7 @@ def fit(name: str, rows: DataFrame, cfg: EwConfig, medians: dict[str, float]) ->
     )
     held_out = F.pmod(F.xxhash64(F.lit(cfg.seed), *ROW_KEY), F.lit(cfg.gbt_hold_out)) == 0
     prepared = rows.withColumns({WEIGHT: weight, HELD_OUT: held_out})
-    pipeline = _logistic(medians, n) if name == LOGISTIC else _boosting(medians, cfg)
+    pipeline = _logistic(medians, n) if name == LOGISTIC else _boosting(cfg)
     return pipeline.fit(prepared)
 
 
@@ -208,34 +217,35 @@ def deciles_table(v: Validation, cfg: EwConfig) -> DataFrame:
     )
 
 
-def permutation_importance(model: PipelineModel, test: DataFrame, cfg: EwConfig) -> DataFrame:
+def permutation_importance(
+    model: PipelineModel, test: DataFrame, cfg: EwConfig, base: float | None = None
+) -> DataFrame:
     """``(feature, queda_de_auc)``: mean loss of AUC when one column is shuffled.
 
     Every feature and repetition is a group of one distributed job. Within a
     group rows are ranked by a seeded hash, and the row at position ``i`` takes
-    the shuffled value from row ``i``.
+    the shuffled value from row ``i``. ``base`` is the model's AUC on ``test``, if it is known.
     """
     indexed = materialize(
         row_numbers(test.select(*ROW_KEY, *FEATURES, TARGET), [F.col(c) for c in ROW_KEY], "idx"),
         "indexed",
     )
-    trials = indexed.select(
-        "idx", F.explode(F.array(*[F.lit(f) for f in FEATURES])).alias("feature")
-    ).select(
+    # One value a row: what a donor gives is a double, not a row of features.
+    values = indexed.select("idx", *FEATURES).unpivot("idx", FEATURES, "feature", "given")
+    trials = values.select("idx", "feature").select(
         "*", F.explode(F.sequence(F.lit(1), F.lit(cfg.importance_repeats))).alias("repeat")
     )
     shuffle_key = F.xxhash64(F.lit(cfg.seed), "feature", "repeat", "idx")
     group = ["feature", "repeat"]
     placed = row_numbers(trials, [shuffle_key, F.col("idx")], "donor", group)
-    donors = indexed.select(
-        F.col("idx").alias("donor"), F.struct(*FEATURES).alias("given")
-    )
-    joined = placed.select("idx", *group, "donor").join(donors, "donor").join(indexed, "idx")
-    shuffled = joined.withColumns(
-        {f: F.when(F.col("feature") == f, F.col("given")[f]).otherwise(F.col(f)) for f in FEATURES}
+    donors = values.withColumnRenamed("idx", "donor")
+    given = placed.select("idx", *group, "donor").join(donors, ["donor", "feature"]).drop("donor")
+    shuffled = given.join(indexed, "idx").withColumns(
+        {f: F.when(F.col("feature") == f, F.col("given")).otherwise(F.col(f)) for f in FEATURES}
     ).select(*group, *FEATURES, TARGET)
     aucs = metrics.binary_metrics(with_score(model, shuffled), TARGET, "score", group)
-    base = metrics.binary_metrics(with_score(model, test), TARGET, "score").first()["auc"]
+    if base is None:
+        base = metrics.binary_metrics(with_score(model, test), TARGET, "score").first()["auc"]
     return aucs.groupBy("feature").agg((F.lit(base) - F.avg("auc")).alias("queda_de_auc"))
 
 

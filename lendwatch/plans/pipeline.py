@@ -167,7 +167,7 @@ def train_and_score(features: DataFrame, out: str, cfg: EwConfig) -> dict[str, D
         "ew_model_deciles": _table(model.deciles_table(v, cfg), out, "ew_model_deciles"),
         "ew_model_metrics": _table(model.metrics_table(v, cfg), out, "ew_model_metrics"),
         "ew_model_importance": _table(
-            model.permutation_importance(v.models[v.best], v.test, cfg), out, "ew_model_importance"
+            model.permutation_importance(v.models[v.best], v.test, cfg, v.results[v.best]["auc"]), out, "ew_model_importance"
         ),
         "ew_segment_scores_en": scores_en,
         **{name: _table(table, out, name) for name, table in served.items()},

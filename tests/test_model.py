@@ -60,6 +60,72 @@ def test_importance_finds_the_driver(validation):
     assert all(abs(v) < 0.1 for f, v in found.items() if f != "early_delinquency_rate")
 
 
+def test_importance_carries_one_value_of_a_donor(validation, monkeypatch):
+    """No row of features is shuffled to its receiver, and a known AUC is not computed again."""
+    best = validation.models[model.BOOSTING]
+    rows = model.permutation_importance(best, validation.test, CFG, validation.results[model.BOOSTING]["auc"])
+    again = {r.feature: r.queda_de_auc for r in model.permutation_importance(best, validation.test, CFG).collect()}
+    assert {r.feature: r.queda_de_auc for r in rows.collect()} == again
+    seen = []
+    monkeypatch.setattr(model, "with_score", lambda m, df: seen.append(df) or df.withColumn("score", F.lit(0.5)))
+    model.permutation_importance(best, validation.test, CFG, 0.5)
+    assert len(seen) == 1 and "named_struct" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_first_split_with_null_equals_brute_force(spark, seed):
+    """The rows that go left are those of the best split, NULL on the better side."""
+    import random
+
+    rng = random.Random(seed)
+    cfg = EwConfig(gbt_iterations=1, gbt_depth=1, gbt_min_leaf=5, gbt_early_stop=False)
+    rows = []
+    for i in range(160):
+        a = None if rng.random() < 0.25 else round(rng.random(), 3)
+        b = None if rng.random() < 0.1 else round(rng.random(), 3)
+        chance = (0.9 if seed % 2 else 0.1) if a is None else 0.8 * (a > 0.55) + 0.1
+        rows.append((f"s{i:03d}", dt.date(2024, 1, 1), int(rng.random() < chance), a, b))
+    given = {FEATURES[0]: F.col("a"), FEATURES[1]: F.col("b")}
+    df = spark.createDataFrame(rows, "segment_id string, reference_month date, y int, a double, b double").select(
+        "segment_id", "reference_month", F.col("y").alias(TARGET), *[given.get(f, F.lit(0.0)).alias(f) for f in FEATURES])
+    fitted = model.fit(model.BOOSTING, df, cfg, {})
+    tree = fitted.stages[-1].trees[0]
+    scores = {r.segment_id: r.score for r in model.with_score(fitted, df).collect()}
+    low = min(scores.values())
+    ones = sum(r[2] for r in rows)
+    weight = {1: 160 / (2 * ones), 0: 160 / (2 * (160 - ones))}
+    sides, best = [], None
+    for f in (3, 4):
+        real = sorted({r[f] for r in rows if r[f] is not None})
+        for t in real:
+            for null_left in (True, False):
+                left = [r for r in rows if (null_left if r[f] is None else r[f] <= t)]
+                right = [r for r in rows if not (null_left if r[f] is None else r[f] <= t)]
+                if min(len(left), len(right)) >= cfg.gbt_min_leaf:
+                    gain = 0.0
+                    for part in (left, right):
+                        n = sum(weight[r[2]] for r in part)
+                        total = sum(weight[r[2]] * (2 * r[2] - 1) for r in part)
+                        gain += total * total / n
+                    sides.append((gain, frozenset(r[0] for r in left), frozenset(r[0] for r in right)))
+    top = max(g for g, _, _ in sides)
+    parts = {frozenset((l, r)) for g, l, r in sides if g > top - 1e-9}
+    assert tree.numNodes == 3
+    assert frozenset((frozenset(k for k, v in scores.items() if v == low), frozenset(k for k, v in scores.items() if v > low))) in parts
+
+
+@pytest.mark.parametrize("stop", [True, False])
+def test_null_tells_and_stopping_is_a_choice(features, stop):
+    """A target that follows the holes of one feature is learnt with and without early stopping."""
+    hole = F.col("portfolio_growth_6m").isNull()
+    rows = features.filter(F.col(TARGET).isNotNull()).withColumn(TARGET, hole.cast("int"))
+    cfg = EwConfig(min_portfolio=1, gbt_iterations=12, gbt_min_leaf=5, gbt_early_stop=stop)
+    fitted = model.fit(model.BOOSTING, rows, cfg, {})
+    told = model.with_score(fitted, rows).agg(F.min(F.when(hole, F.col("score"))).alias("a"), F.max(F.when(~hole, F.col("score"))).alias("b")).first()
+    assert told.a > 0.5 > told.b
+    assert fitted.stages[-1].getNumTrees <= 12 and (stop or fitted.stages[-1].getNumTrees == 12)
+
+
 def test_logistic_matches_a_direct_solution(validation):
     """Same penalised likelihood, solved by Newton steps in NumPy."""
     import numpy as np
