@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendwatch.storage import materialize
 
@@ -75,27 +76,89 @@ def row_numbers(
     return running_totals(df, order_by, {name: F.lit(1).cast("bigint")}, within)
 
 
+_BRACKET = 0.002  # ranks on either side of a quantile that are looked at, as a part of all
+_ACCURACY = 10_000  # of the sketch: its ranks are off by one part in so many at most
+
+
+def _beside(df: DataFrame, groups: DataFrame, name: str, within: Sequence[str]) -> DataFrame:
+    """``df`` with its group's value of ``name``; without groups a few numbers, which pass as literals."""
+    if within:
+        sides = groups.select(*[F.col(c).alias(f"__of_{c}") for c in within], name)
+        return df.join(sides, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in within])
+    kind = groups.schema[name].dataType
+    found = groups.select(F.to_json(F.struct(name)).alias("j")).first().j
+    return df.withColumn(name, F.from_json(F.lit(found), T.StructType([T.StructField(name, kind)]))[name])
+
+
+def _brackets(df: DataFrame, value: str, probabilities: Sequence[float], within: Sequence[str]) -> DataFrame:
+    """``(within…, i, q, total, low, high, below)``: values between which each quantile lies.
+
+    A mergeable sketch names the two values; a scan then counts the values below ``low`` and those up
+    to ``high``. Should the wanted ranks lie outside, the bracket is opened: NULL bounds nothing.
+    """
+    ends = [p for q in probabilities for p in (max(q - _BRACKET, 0.0), min(q + _BRACKET, 1.0))]
+    sketch = materialize(
+        df.groupBy(*within).agg(
+            F.count("*").alias("total"), F.percentile_approx(value, [float(p) for p in ends], F.lit(_ACCURACY)).alias("ends")),
+        "sketch",
+    )
+    lines = [
+        F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q"), F.col("ends")[2 * i].alias("low"), F.col("ends")[2 * i + 1].alias("high"))
+        for i, q in enumerate(probabilities)
+    ]
+    guessed = sketch.select(*within, "total", F.inline(F.array(*lines)))
+    met = _beside(df, sketch, "ends", within)
+    counted = met.groupBy(*within).agg(
+        *[F.count_if(F.col(value) < F.col("ends")[2 * i]).alias(f"below{i}") for i in range(len(probabilities))],
+        *[F.count_if(F.col(value) <= F.col("ends")[2 * i + 1]).alias(f"upto{i}") for i in range(len(probabilities))])
+    counts = counted.select(*within, F.inline(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.col(f"below{i}").alias("below"), F.col(f"upto{i}").alias("upto")) for i in range(len(probabilities))])))
+    counts = counts.select(*[F.col(c).alias(f"__of_{c}") for c in within], F.col("i").alias("__i"), "below", "upto")
+    same = [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in within]
+    joined = guessed.join(counts, [*same, F.col("i") == F.col("__i")])
+    rank = F.col("q") * (F.col("total") - 1)
+    held = (F.col("below") <= F.floor(rank)) & (F.ceil(rank) < F.col("upto"))
+    return materialize(
+        joined.select(
+            *within, "i", "total", F.when(held, F.col("low")).alias("low"), F.when(held, F.col("high")).alias("high"),
+            F.when(held, F.col("below")).otherwise(0).alias("below")),
+        "brackets",
+    )
+
+
+def _bracketed(df: DataFrame, value: str, brackets: DataFrame, within: Sequence[str]) -> DataFrame:
+    """``(within…, i, value, n, total, below)``: the values inside each bracket, counted."""
+    wanted = brackets.groupBy(*within).agg(F.collect_list(F.struct("i", "total", "low", "high", "below")).alias("wanted"))
+    met = _beside(df, wanted, "wanted", within)
+    inside = F.filter("wanted", lambda b: (F.coalesce(F.col(value) >= b["low"], F.lit(True))) & (F.coalesce(F.col(value) <= b["high"], F.lit(True))))
+    kept = met.select(*within, value, F.explode(inside).alias("b"))
+    return kept.groupBy(*within, F.col("b.i").alias("i"), F.col(value), F.col("b.total").alias("total"), F.col("b.below").alias("below")).agg(
+        F.count("*").alias("n"))
+
+
 def exact_quantiles(
     df: DataFrame, value: str, probabilities: Sequence[float], within: Sequence[str] = ()
 ) -> DataFrame:
     """Linearly interpolated quantiles: one row per group, ``q0``, ``q1``, …
 
-    Equal values are counted before anything is ordered. NULLs do not count; a
+    Only the values near each quantile are ordered: a sketch brackets it, the values below the
+    bracket are counted. Equal values are counted before anything is ordered. NULLs do not count; a
     group without values gives no row.
     """
-    counted = (
-        df.filter(F.col(value).isNotNull()).groupBy(*within, value).agg(F.count("*").alias("n"))
-    )
-    placed = running_totals(counted, [F.col(value)], {"upto": F.col("n")}, within)
+    known = df.filter(F.col(value).isNotNull()).select(*within, value)
+    counted = _bracketed(known, value, _brackets(known, value, probabilities, within), within)
+    placed = running_totals(counted, [F.col(value)], {"inside": F.col("n")}, [*within, "i"])
+    placed = placed.withColumns({"upto": F.col("inside") + F.col("below"), "upto_total": F.col("total")})
     first = F.col("upto") - F.col("n")
 
-    def at(position: Column) -> Column:
-        return F.max(F.when((first <= position) & (position < F.col("upto")), F.col(value)))
+    def at(i: int, position: Column) -> Column:
+        here = (F.col("i") == i) & (first <= position) & (position < F.col("upto"))
+        return F.max(F.when(here, F.col(value)))
 
     ends = []
     for i, q in enumerate(probabilities):
         exact = F.lit(float(q)) * (F.col("upto_total") - 1)
-        ends += [at(F.floor(exact)).alias(f"lo{i}"), at(F.ceil(exact)).alias(f"hi{i}")]
+        ends += [at(i, F.floor(exact)).alias(f"lo{i}"), at(i, F.ceil(exact)).alias(f"hi{i}")]
         ends += [F.max(exact - F.floor(exact)).alias(f"t{i}")]
 
     def interpolated(i: int) -> Column:

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lendwatch.operators import ordering
 from lendwatch.operators.metrics import binary_metrics, decile_lift
 from lendwatch.operators.ordering import exact_quantiles, row_numbers, running_totals
 
@@ -86,6 +87,39 @@ def test_decile_sizes(spark):
     assert sum(r.deterioraram for r in table) == 1949
 
 
+@pytest.mark.parametrize("kind", ["spread", "ties", "few", "skewed"])
+def test_bracketed_quantiles_are_exact(spark, kind, monkeypatch):
+    rng = np.random.default_rng(len(kind))
+    values = {
+        "spread": rng.normal(size=40_000), "ties": rng.integers(0, 5, 20_000) * 1.0, "few": rng.normal(size=7),
+        "skewed": np.concatenate([np.full(30_000, 2.0), rng.exponential(size=5_000) * 1e9])}[kind]
+    probabilities = [0.0, 0.1, 0.5, 0.7, 0.9, 1.0]
+    df = frame(spark, [(float(v),) for v in values], "v double").unionByName(spark.sql("select cast(null as double) v"))
+    ordered = []
+    real = ordering.running_totals
+    monkeypatch.setattr(ordering, "running_totals", lambda d, *a: ordered.append(d) or real(d, *a))
+    got = ordering.exact_quantiles(df, "v", probabilities).first()
+    assert np.allclose([got[f"q{i}"] for i in range(6)], np.quantile(values, probabilities), rtol=1e-12)
+    if kind == "spread":
+        assert ordered[0].select("v").distinct().count() < 0.05 * len(values)
+    halves = df.withColumn("g", F.col("v") > 0)
+    both = {r.g: r.q0 for r in ordering.exact_quantiles(halves, "v", [0.25], ["g"]).collect()}
+    for side in (True, False):
+        own = values[(values > 0) == side]
+        assert len(own) == 0 or np.isclose(both[side], np.quantile(own, 0.25), rtol=1e-12)
+
+
+def test_a_bracket_that_misses_is_opened(spark, monkeypatch):
+    """A sketch whose values lie beside the quantile costs time, not exactness."""
+    monkeypatch.setattr(ordering, "_BRACKET", 0.0)
+    monkeypatch.setattr(ordering, "_ACCURACY", 2)
+    values = np.random.default_rng(1).permutation(5000) * 1.0
+    df = frame(spark, [(v,) for v in values.tolist()], "v double")
+    got = ordering.exact_quantiles(df, "v", [0.3, 0.5]).first()
+    assert np.allclose([got.q0, got.q1], np.quantile(values, [0.3, 0.5]))
+    assert ordering.exact_quantiles(df.limit(0), "v", [0.5], []).first().q0 is None
+
+
 def test_null_groups_keep_their_rows(spark):
     rows = [(None, 1), (None, 3), ("a", 2), ("a", 4), ("b", 5)]
     df = spark.createDataFrame(rows, "g string, v long")
