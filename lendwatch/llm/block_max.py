@@ -87,7 +87,9 @@ class BlockMaxIndex:
         rare = np.flatnonzero(row < 0)
         del often, row
         rare = rare[np.argsort(terms[rare], kind="stable")]
-        self.ids, self.weights = ids[rare], weights[rare].astype(np.float32)
+        # A posting is one complex number, place and weight, so that both are fetched at once.
+        self.postings = np.empty(len(rare), np.complex64 if self.blocks * block < 1 << 24 else complex)
+        self.postings.real, self.postings.imag = ids[rare], weights[rare]
         self.first = np.searchsorted(terms[rare], np.arange(len(counts) + 1))
 
     def _rare_sums(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -95,9 +97,11 @@ class BlockMaxIndex:
         sizes = self.first[terms + 1] - starts
         at = np.arange(sizes.sum())
         at += np.repeat(starts - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
+        met = self.postings[at]
         products = np.repeat(weights.astype(float), sizes)
-        products *= self.weights[at]
-        return np.bincount(self.ids[at], products, self.blocks * self.block)
+        products *= met.imag
+        sums = np.bincount(met.real.astype(np.int64), products, self.blocks * self.block)
+        return sums.astype(float, copy=False)  # without a posting they are whole numbers
 
     def _exact(self, sums: np.ndarray, places: np.ndarray, rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Scores of examples; equal vectors give equal scores."""
@@ -113,13 +117,14 @@ class BlockMaxIndex:
                 own[passed] = -9.0  # below any bound
         limits = limits + _ROUNDING
         some = min(2 * k // self.block + 4, self.blocks)
-        inside = np.arange(self.block)
+        by_block = self.dense.reshape(self.blocks, self.block, -1)
         wanted, kth = [], []
         for i, own in enumerate(sums):
             limits[i] += own.reshape(-1, self.block).max(axis=1)
             lead = np.argpartition(-limits[i], some - 1)[:some]
-            places = (lead[:, None] * self.block + inside).reshape(-1)
-            near = own[places] + self.dense[places] @ asked[i]
+            near = own.reshape(-1, self.block)[lead]
+            near += [by_block[b] @ asked[i] for b in lead.tolist()]
+            near = near.reshape(-1)
             kth.append(max(np.partition(near, -k)[-k] if len(near) >= k else 0.0, least[i]) - _ROUNDING)
             wanted.append((limits[i] >= kth[i]) & (limits[i] > _ROUNDING))
         scores = np.empty((len(sums), self.blocks * self.block), np.float32)

@@ -59,7 +59,7 @@ def test_rare_terms_of_long_vectors_and_bounds_from_elsewhere():
     draw = lambda: normal({int(rng.paretovariate(0.6)) % 4000: rng.random() for _ in range(60)})
     vectors = [draw() for _ in range(700)]
     index = index_of(vectors, 16)
-    assert 0 < index.dense.shape[1] < 200 < len(index.ids)
+    assert 0 < index.dense.shape[1] < 200 < len(index.postings)
     queries = [draw() for _ in range(70)]
     for query, near in zip(queries, index.nearest_of_each([vector(q) for q in queries], 9), strict=True):
         assert same(near, nearest(query, vectors, 9))
