@@ -12,6 +12,7 @@ from lendwatch.functions.labels import (
     CLIENT_TYPE_LABELS,
     MODALITY_LABELS,
 )
+from lendwatch.schema import AMOUNT_COLUMNS, COUNT_COLUMN, TEXT_COLUMNS
 
 STEPS = {
     "stg": """
@@ -385,6 +386,11 @@ def statements() -> dict[str, str]:
             round(problem_assets, 6) AS ativo_problematico,
             strftime(reference_date, 'scrdata_%Y%m.csv') AS source_file FROM stg""",
     )
+    texts = ["data_base", *TEXT_COLUMNS, COUNT_COLUMN, "source_file"]
+    content = [f"coalesce(CAST({c} AS VARCHAR), '')" for c in texts]
+    content += [f"coalesce(CAST(CAST(round({c} * 100) AS BIGINT) AS VARCHAR), '')" for c in AMOUNT_COLUMNS]
+    q["sample_preview"] = f"""SELECT * FROM ({q["csv_parse_typed"]})
+        ORDER BY md5(concat_ws('|', '7', {", ".join(content)})) LIMIT 5"""
     q["csv_quarantine_counts"] = """
         WITH marked AS (
             SELECT CASE WHEN l_quantity IN (2, 3, 8) THEN 'field_count'

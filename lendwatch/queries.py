@@ -315,7 +315,8 @@ def rows_per_source_file(spark, sf_dir):
 
 
 def sample_preview(spark, sf_dir):
-    return raw_text.preview(raw_text.parse_rows(fixture.raw_lines(spark, sf_dir)), 5, seed=7)
+    drawn = raw_text.preview(raw_text.parse_rows(fixture.raw_lines(spark, sf_dir)), 5, seed=7)
+    return rounded(drawn, ratios=tuple(AMOUNT_COLUMNS))
 
 
 def zip_members_to_lines(spark, sf_dir):

@@ -157,5 +157,12 @@ def parse_lines(lines: DataFrame, strict_iso: bool = False) -> tuple[DataFrame,
 
 
 def preview(parsed: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """A uniform random sample of ``n`` good rows (per-task top-n, then merged)."""
-    return good_rows(parsed).orderBy(F.rand(seed)).limit(n)
+    """``n`` good rows drawn by the least hashes of their content and the seed.
+
+    Each task keeps its ``n`` least and those are merged, so the sample is the same however the rows
+    are dealt, and samples of parts merge to the sample of the whole. Equal rows have equal hashes.
+    """
+    texts = [F.col(c).cast("string") for c in (DATE_COLUMN, *TEXT_COLUMNS, COUNT_COLUMN, "source_file")]
+    cents = [F.round(F.col(c) * 100).cast("bigint").cast("string") for c in AMOUNT_COLUMNS]
+    content = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(c, F.lit("")) for c in (*texts, *cents)])
+    return good_rows(parsed).orderBy(F.md5(content)).limit(n)

@@ -48,6 +48,16 @@ def test_unusual_line_breaks_separate_lines(spark, tmp_path):
     assert sorted(r.value for r in lines.collect()) == ["a", "b", "c", "d"]
 
 
+def test_preview_is_a_mergeable_sample(spark):
+    lines = [line(f"2024-01-{d:02d}", f"{d * 7 % 11},{i:02d}") for d in range(1, 29) for i in range(20)]
+    df = spark.createDataFrame([(v, "f.csv") for v in lines], "value string, source_file string")
+    draw = lambda rows, seed, parts: [tuple(r) for r in raw_text.preview(raw_text.parse_rows(rows.repartition(parts)), 6, seed).collect()]
+    whole = draw(df, 3, 1)
+    assert len(set(whole)) == 6 and draw(df, 3, 7) == whole and draw(df, 4, 7) != whole
+    halves = [df.filter(F.crc32("value") % 2 == k) for k in (0, 1)]
+    assert set(whole) <= {r for h in halves for r in draw(h, 3, 2)}
+
+
 def test_years_prune_folders(spark, raw):
     lines = raw_text.read_raw_lines(spark, str(raw), years=[2024])
     plan = lines._jdf.queryExecution().executedPlan().toString()
