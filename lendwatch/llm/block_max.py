@@ -14,6 +14,7 @@ _DENSE = 640  # so many of the most frequent terms have a row of weights instead
 _OFTEN = 26  # a frequent term is in one of so many examples at least
 _TOGETHER = 256  # queries that are multiplied with those rows at a time
 _WINDOW = 1024  # queries among which those with the same best blocks are brought together
+_PART = 500_000  # terms of vectors that are put in place at a time
 _SEEN = 128  # of the most frequent terms tell examples' groups
 _KINDS = 16  # groups of examples that are laid side by side
 _RUN = 8  # blocks that are multiplied together with the queries that want one of them
@@ -63,34 +64,45 @@ class BlockMaxIndex:
         """From the vectors' sizes and their terms and weights, one vector after the other."""
         self.size, self.block = len(sizes), block
         self.blocks = -(-self.size // block)
-        ids = np.repeat(np.arange(self.size, dtype=np.int32), sizes)
         counts = np.bincount(terms, minlength=1)
         frequent = np.argsort(-counts, kind="stable")[:_DENSE]
         frequent = frequent[(counts[frequent] > 0) & (counts[frequent] * _OFTEN >= self.size)]
         self.row = np.full(len(counts), -1, np.int32)
         self.row[frequent] = np.arange(len(frequent))
-        row = self.row[terms]
+        ends = np.cumsum(sizes)
+
+        def parts():
+            """Numbers, examples and rows of some vectors' terms at a time, so that copies stay small."""
+            for at in range(0, len(terms), _PART):
+                some = np.arange(at, min(at + _PART, len(terms)))
+                yield some, np.searchsorted(ends, some, "right"), self.row[terms[some]]
+
         telling = np.zeros((self.size, min(len(frequent), _SEEN)), np.float32)
-        seen = np.flatnonzero((row >= 0) & (row < _SEEN))
-        telling[ids[seen], row[seen]] = weights[seen]
+        for some, ids, row in parts():
+            seen = np.flatnonzero((row >= 0) & (row < _SEEN))
+            telling[ids[seen], row[seen]] = weights[some[seen]]
         # Blocks of one kind and about one length have tight maxima.
         self.order = np.lexsort((np.square(telling).sum(axis=1), _kinds(telling))) if telling.size else np.arange(self.size)
-        del telling, seen
-        place = np.empty(self.size, np.int32)
+        del telling
+        place = np.empty(self.size, np.int64)
         place[self.order] = np.arange(self.size)
-        ids = place[ids]
-        often = np.flatnonzero(row >= 0)
         # Weights of the frequent terms by example, and the largest of each term in a block.
         self.dense = np.zeros((self.blocks * block, len(frequent)), np.float32)
-        self.dense[ids[often], row[often]] = weights[often]
-        self.most = self.dense.reshape(self.blocks, block, len(frequent)).max(axis=1).T.copy()
-        rare = np.flatnonzero(row < 0)
-        del often, row
-        rare = rare[np.argsort(terms[rare], kind="stable")]
         # A posting is one complex number, place and weight, so that both are fetched at once.
-        self.postings = np.empty(len(rare), np.complex64 if self.blocks * block < 1 << 24 else complex)
-        self.postings.real, self.postings.imag = ids[rare], weights[rare]
-        self.first = np.searchsorted(terms[rare], np.arange(len(counts) + 1))
+        counts[frequent] = 0
+        self.first = np.concatenate(([0], np.cumsum(counts)))
+        self.postings = np.empty(self.first[-1], np.complex64 if self.blocks * block < 1 << 24 else complex)
+        free = self.first[:-1].copy()
+        for some, ids, row in parts():
+            often = np.flatnonzero(row >= 0)
+            self.dense[place[ids[often]], row[often]] = weights[some[often]]
+            rare = np.flatnonzero(row < 0)
+            rare = rare[np.argsort(terms[some[rare]], kind="stable")]
+            own, begin, number = np.unique(terms[some[rare]], return_index=True, return_counts=True)
+            to = np.repeat(free[own] - begin, number) + np.arange(len(rare))
+            free[own] += number
+            self.postings.real[to], self.postings.imag[to] = place[ids[rare]], weights[some[rare]]
+        self.most = self.dense.reshape(self.blocks, block, len(frequent)).max(axis=1).T.copy()
 
     def _rare_sums(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         starts = self.first[terms]
