@@ -81,3 +81,23 @@ def test_empty_table(spark, docs_of):
     for _, stage in C.STAGES:
         docs = stage(spark, docs, "/root/testdata/sf0.001")
     assert docs.collect() == []
+
+
+def test_stages_on_odd_rows(spark, docs_of):
+    """NULL and repeated ids, NULL, empty and very long texts, repeated rows and clashing columns in every stage."""
+    long = " ".join(f"w{i * 7919 % 100_003}" for i in range(60_000))
+    rows = [(1, None), (1, ""), (None, "no id at all"), (2, long), (2, long), (3, long + " x"), (4, " " * 200_000), (5, "a b"), (5, "a b", None)]
+    rows += [(10 + i, f"text {i} password=0123456789abcdef{i:02d} end", "s") for i in range(20)]
+    docs = docs_of(rows)
+    for name, stage in C.STAGES[:-1]:
+        before = docs
+        docs = C.materialize(stage(spark, docs, "/root/testdata/sf0.001"), "odd")
+        assert sorted(docs.columns) == sorted(COLUMNS), name
+        if name == "toxicity":
+            assert docs.count() >= 0.8 * before.count()
+        elif name == "minhash_near_dedup":
+            assert {r.doc_id for r in before.collect()} - {r.doc_id for r in docs.collect()} == {3}
+        elif name == "secret_scan":
+            assert docs.count() == before.count() and docs.filter("text like '%0123456789abcdef%'").isEmpty()
+    packed = C.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id for r in packed} == {r.doc_id for r in docs.collect()}

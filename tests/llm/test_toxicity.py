@@ -37,8 +37,9 @@ def same(got, want):
     return [i for _, i in got] == [i for _, i in want] and [s for s, _ in got] == pytest.approx([s for s, _ in want], abs=1e-11)
 
 
-@pytest.mark.parametrize("dense, often", [(512, 16), (3, 2), (0, 1)])
-def test_index_is_exact(monkeypatch, dense, often):
+@pytest.mark.parametrize("dense, often, part", [(512, 16, 10**6), (3, 2, 50), (0, 1, 1)])
+def test_index_is_exact(monkeypatch, dense, often, part):
+    monkeypatch.setattr(B, "_PART", part)
     monkeypatch.setattr(B, "_DENSE", dense)
     monkeypatch.setattr(B, "_OFTEN", often)
     rng = random.Random(1)
