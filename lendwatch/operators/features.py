@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lendwatch.config import FEATURES, SEGMENT_KEYS, TARGET, EwConfig
 from lendwatch.functions import scalars
-from lendwatch.sources.rates import rate_by_month
+from lendwatch.sources.rates import rate_changes
 
 PANEL_SUMS = [
     "active_portfolio",
@@ -34,16 +34,6 @@ def segment_month(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def _rates_with_change(rates: DataFrame) -> DataFrame:
-    monthly = rate_by_month(rates)
-    earlier = monthly.select(
-        F.add_months("month_start", 6).alias("month_start"), F.col("selic_rate").alias("before")
-    )
-    return monthly.join(earlier, "month_start", "left").select(
-        "month_start", "selic_rate", (F.col("selic_rate") - F.col("before")).alias("selic_chg_6m")
-    )
-
-
 def segment_features(panel: DataFrame, rates: DataFrame, cfg: EwConfig) -> DataFrame:
     """One row per segment and month with features up to t and the target at t + H.
 
@@ -96,7 +86,7 @@ def segment_features(panel: DataFrame, rates: DataFrame, cfg: EwConfig) -> DataF
             TARGET: scalars.deterioration_target(now, F.col("default_rate_forward"), cfg),
         }
     ).join(
-        _rates_with_change(rates).withColumnRenamed("month_start", "reference_month"),
+        rate_changes(rates).withColumnRenamed("month_start", "reference_month"),
         "reference_month",
         "left",
     )

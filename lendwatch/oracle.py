@@ -663,6 +663,22 @@ def statements() -> dict[str, str]:
                last_day(d) > d AS is_provisional
         FROM (SELECT max(CAST(o_orderdate AS DATE)) AS d FROM orders)"""
 
+    q["rate_changes_as_of"] = _with(
+        ["daily"],
+        """, known AS (SELECT * FROM daily WHERE day <= DATE '1997-05-17'),
+        ends AS (
+            SELECT CAST(date_trunc('month', day) AS DATE) AS month_start, arg_max(value, day) AS rate,
+                   max(day) = (SELECT max(day) FROM known) AND max(day) < last_day(max(day)) AS open
+            FROM known GROUP BY ALL)
+        SELECT a.month_start, round(a.rate, 6) AS selic_rate,
+               CASE WHEN NOT a.open THEN round(a.rate - b.rate, 6) END AS selic_chg_6m
+        FROM ends a LEFT JOIN ends b
+            ON b.month_start = CAST(a.month_start - INTERVAL 6 MONTH AS DATE) AND NOT b.open""",
+    )
+    q["rate_intervals"] = _with(
+        ["daily"],
+        """SELECT day AS valid_from, lead(day) OVER (ORDER BY day) AS valid_to, value FROM daily""",
+    )
     q["label_translation"] = _with(
         ["scores"],
         f"""SELECT reference_month, segment_id, state, {MODALITY_EN} AS credit_modality,

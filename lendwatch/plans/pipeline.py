@@ -86,7 +86,8 @@ def feature_checks(features: DataFrame) -> DataFrame:
 
 def load_rates(daily: DataFrame, out: str, low: float = 2.0, high: float = 15.0) -> DataFrame:
     """Replace the month-end rate table, unless it would be empty or a value is implausible."""
-    table = rate_source.month_end_table(daily)
+    daily = materialize(daily, "daily-rates")
+    table = rate_source.with_provisional(rate_source.month_end_table(daily), daily)
     if table.isEmpty():
         raise ValueError("no rates to load; the stored table is kept")
     rules = [quality.not_null("selic_meta_aa"), quality.between("selic_meta_aa", low, high)]

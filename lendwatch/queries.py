@@ -785,6 +785,17 @@ def rate_provisional_flag(spark, sf_dir):
     return rates.provisional_flag(daily_rates(spark, sf_dir))
 
 
+def rate_changes_as_of(spark, sf_dir):
+    """Half-year changes as they stood on a day in mid-month: the open month has none."""
+    known = rates.known_on(daily_rates(spark, sf_dir), F.lit(dt.date(1997, 5, 17)))
+    table = rates.dim_rate(rates.with_provisional(rates.month_end_table(known), known))
+    return rounded(rates.rate_changes(table), ratios=("selic_rate", "selic_chg_6m"))
+
+
+def rate_intervals(spark, sf_dir):
+    return rates.rate_intervals(daily_rates(spark, sf_dir))
+
+
 # --- serving ---------------------------------------------------------------
 
 
@@ -884,6 +895,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dq_reconciliation,
         month_completeness,
         rate_provisional_flag,
+        rate_changes_as_of,
+        rate_intervals,
         label_translation,
         band_trend,
         kpi_high_risk,

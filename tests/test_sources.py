@@ -297,6 +297,21 @@ def test_rates(spark, tmp_path):
         pipeline.load_rates(daily, str(tmp_path), high=10.0)
 
 
+def test_an_open_month_has_no_change(spark, tmp_path):
+    days = [(dt.date(2023, m, d), 2.0 + m) for m in range(1, 10) for d in (2, 28)] + [(dt.date(2023, 10, 3), 2.5)]
+    daily = spark.createDataFrame(days, "day date, value double")
+    table = pipeline.load_rates(daily, str(tmp_path))
+    assert [r.data_base for r in table.filter("is_provisional").collect()] == [dt.date(2023, 10, 31)]
+    got = {r.month_start.month: (r.selic_rate, r.selic_chg_6m) for r in rates.rate_changes(rates.dim_rate(table)).collect()}
+    assert got[9] == (11.0, 6.0) and got[10] == (2.5, None) and got[3] == (5.0, None)
+    whole = rates.known_on(daily, F.lit(dt.date(2023, 9, 30))).unionByName(spark.createDataFrame([(dt.date(2023, 9, 30), 11.5)], daily.schema))
+    closed = rates.dim_rate(rates.with_provisional(rates.month_end_table(whole), whole))
+    assert {r.month_start.month: r.selic_chg_6m for r in rates.rate_changes(closed).collect()}[9] == 6.5
+    spans = sorted(tuple(r) for r in rates.rate_intervals(daily.unionByName(daily)).collect())
+    assert len(spans) == 19 and spans[-1] == (dt.date(2023, 10, 3), None, 2.5)
+    assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_broken_or_empty_rates_keep_the_stored_table(spark, tmp_path):
     out, path = str(tmp_path / "out"), tmp_path / "r.json"
     path.write_text('[{"data":"02/01/2023","valor":"13.75"}]')
