@@ -212,6 +212,7 @@ def _sign(docs: DataFrame, cfg: SketchConfig) -> DataFrame:
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(registers, pa.binary())],
                 ["doc_id", "n_shingles", "digest", "registers"],
             )
+        _hashes.clear()  # the worker process goes on to other stages
 
     return docs.select("doc_id", "text").mapInArrow(sign, SIGNED)
 

@@ -195,15 +195,19 @@ def _open(key: str, pieces: list, vocabulary: Vocabulary, block: int) -> Shard:
         for other in [k for k in _opened if k.split(":")[0] != model]:
             del _opened[other]
         rows = sorted((row for piece in pieces for row in piece.value), key=lambda r: r[0])
+        for piece in pieces:
+            vars(piece).pop("_value", None)  # the worker would keep it beside the index
+        keys, labels = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], float)
         sizes = np.array([n for _, _, n, _ in rows], np.int64)
         terms, weights = np.empty(sizes.sum(), np.int32), np.empty(sizes.sum(), np.float32)
         at = 0
         for _, _, n, data in rows:
             terms[at : at + n], weights[at : at + n] = vocabulary.vector(*unpacked(data))
             at += n
+        del rows
         use_one_thread()
         index = BlockMaxIndex(sizes, terms, weights, block)
-        _opened[key] = Shard(np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], float), index)
+        _opened[key] = Shard(keys, labels, index)
     return _opened[key]
 
 
