@@ -165,8 +165,9 @@ class Validation:
 
     @property
     def best(self) -> str:
-        """Highest KS; the first of equals."""
-        return max(self.results, key=lambda name: self.results[name]["ks"])
+        """Highest KS; the first of equals. A test of one class gives no KS, which ranks lowest."""
+        ks = {name: found["ks"] for name, found in self.results.items()}
+        return max(ks, key=lambda name: float("-inf") if ks[name] is None else ks[name])
 
 
 def fit_models(features: DataFrame, cfg: EwConfig, strict: bool = False) -> Validation:

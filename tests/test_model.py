@@ -114,6 +114,24 @@ def test_first_split_with_null_equals_brute_force(spark, seed):
     assert frozenset((frozenset(k for k, v in scores.items() if v == low), frozenset(k for k, v in scores.items() if v > low))) in parts
 
 
+@pytest.mark.parametrize("kept", ["training", "none"])
+def test_one_class_in_the_test_months_still_gives_every_table(features, kept):
+    """Without a positive, no KS is defined; tables, importance and scores are made all the same."""
+    early = F.col("reference_month") < F.lit(dt.date(2023, 7, 1)) if kept == "training" else F.lit(False)
+    calm = features.withColumn(TARGET, F.when(F.col(TARGET).isNotNull(), F.when(early, F.col(TARGET)).otherwise(0)))
+    found = model.fit_models(calm, CFG)
+    assert {r["ks"] for r in found.results.values()} == {None} and found.best == model.LOGISTIC
+    rows = model.metrics_table(found, CFG).collect()
+    assert [r.model for r in rows if r.is_selected] == [model.LOGISTIC]
+    assert {(r.roc_auc, r.ks, r.base_rate_test) for r in rows} == {(None, None, 0.0)}
+    deciles = model.deciles_table(found, CFG).collect()
+    assert sum(r.segmentos for r in deciles) == 60 * 6 and {r.deterioraram for r in deciles} == {0}
+    drops = model.permutation_importance(found.models[found.best], found.test, CFG).collect()
+    assert {r.feature for r in drops} == set(FEATURES) and {r.queda_de_auc for r in drops} == {None}
+    scores = model.score_latest(calm, found, CFG).collect()
+    assert len(scores) == 60 and all(0 <= r.score <= 1 for r in scores)
+
+
 @pytest.mark.parametrize("stop", [True, False])
 def test_null_tells_and_stopping_is_a_choice(features, stop):
     """A target that follows the holes of one feature is learnt with and without early stopping."""
