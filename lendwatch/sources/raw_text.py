@@ -23,9 +23,17 @@ def _breaks(value: Column) -> Column:
     return F.split(value, OTHER_LINE_BREAKS, -1)
 
 
-def split_lines(text: DataFrame) -> DataFrame:
-    """One row per line of ``value``; a text scan has split at \\n, \\r and \\r\\n already."""
-    return text.withColumn("value", F.explode(_breaks(F.col("value"))))
+def split_lines(text: DataFrame, within: Column | None = None) -> DataFrame:
+    """One row per line of ``value``; a text scan has split at \\n, \\r and \\r\\n already.
+
+    ``within`` is the part of ``value`` that can hold a line break, where it is known.
+    """
+    value = F.col("value")
+    parts = _breaks(value)
+    if within is not None:
+        broken = within.rlike(OTHER_LINE_BREAKS) | value.isNull()
+        parts = F.when(broken, parts).otherwise(F.array(value))
+    return text.withColumn("value", F.explode(parts))
 
 
 def with_provenance(text: DataFrame) -> DataFrame:
