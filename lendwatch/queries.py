@@ -47,6 +47,11 @@ def rounded(df: DataFrame, amounts: tuple = (), ratios: tuple = ()) -> DataFrame
 
 
 def dims_of(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """Each dimension is numbered on its own, so those built with others serve as well."""
+    for (app, folder, label), built in _built.items():
+        here = (app, folder) == (spark.sparkContext.applicationId, sf_dir)
+        if here and label.startswith("dims:") and built.keys() >= set(names):
+            return {n: built[n] for n in names}
     columns = {c for n in names if n in star.KEYED for c in star.KEYED[n][1]}
     columns |= {"reference_date"} if "date" in names else set()
     ordered = [c for c in star.STAGING_COLUMNS if c in columns]
@@ -86,9 +91,14 @@ def full_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def panel_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dims = dims_of(spark, sf_dir, "modality", "client")
-    fact = fact_of(spark, sf_dir, dims, "reference_date", "state", *feature_ops.PANEL_SUMS)
-    return feature_ops.segment_month(fact, dims)
+    """A written table: checks and features read it, none sums the fact again."""
+
+    def build() -> DataFrame:
+        dims = dims_of(spark, sf_dir, "modality", "client")
+        fact = fact_of(spark, sf_dir, dims, "reference_date", "state", *feature_ops.PANEL_SUMS)
+        return materialize(feature_ops.segment_month(fact, dims), "panel")
+
+    return _once(spark, sf_dir, "panel", build)
 
 
 def features_of(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lendwatch import fixture
+from lendwatch import fixture, queries
 from lendwatch.schema import RAW_COLUMNS
 from lendwatch.sources import raw_text
 
@@ -66,3 +66,13 @@ def test_line_items_are_not_dealt_out_by_customer(spark, small, no_broadcast):
 def test_damaged_lines_print_each_field_once(spark, small):
     plan = fixture.damaged_lines(spark, small)._jdf.queryExecution().optimizedPlan().toString()
     assert 0 < plan.count("format_number(") <= 8
+
+def test_quality_report_reads_written_tables_only(spark, small):
+    plan = queries.dq_report(spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_extendedprice" not in plan and "l_quantity" not in plan
+
+
+def test_dimensions_built_with_others_serve(spark, small):
+    wide = queries.dims_of(spark, small, "modality", "client", "activity")
+    few = queries.dims_of(spark, small, "client")
+    assert few.keys() == {"client"} and few["client"] is wide["client"]
