@@ -93,7 +93,16 @@ def split_fields(line: Column) -> Column:
         F.arrays_zip(quoted.alias("q"), after.alias("a"), bare.alias("b")),
         lambda f: F.concat(F.replace(f["q"], F.lit('""'), F.lit('"')), f["a"], f["b"]),
     )
-    return F.when(F.contains(line, F.lit('"')), general).otherwise(F.split(line, ";", -1))
+    # All fields quoted and no quote inside one: such a line is cut at its separators.
+    quote = F.lit('"')
+    inner = F.substring(line, 2, F.length(line) - 2)
+    enclosed = (F.length(line) > 1) & F.startswith(line, quote) & F.endswith(line, quote)
+    plain = enclosed & ~F.contains(F.replace(inner, F.lit('";"'), F.lit("")), quote)
+    return (
+        F.when(~F.contains(line, quote), F.split(line, ";", -1))
+        .when(plain, F.split(inner, '";"', -1))
+        .otherwise(general)
+    )
 
 
 # The shape nearly every line has: all fields quoted, an ISO date, texts of Latin

@@ -87,6 +87,24 @@ def test_fields_like_python_csv(spark):
     assert got == [next(csv.reader([line], delimiter=";")) for line in lines]
 
 
+def test_short_lines_of_quotes_like_python_csv(spark):
+    """Every line of up to six characters of quote, separator and letter, balanced as a file's fields are."""
+    import itertools
+
+    lines = ["".join(t) for n in range(1, 7) for t in itertools.product('";x', repeat=n)]
+    want = [next(csv.reader([line], delimiter=";")) for line in lines]
+    assert apply(spark, lines, parsing.split_fields) == want
+
+
+def test_quoted_fields_are_cut_without_the_patterns(spark):
+    """Only a line with a quote inside a field is searched field by field."""
+    df = spark.createDataFrame([('"a";"b;c";""',), ('"";"x"',), ('"";""',)], "v string")
+    fields = parsing.split_fields(F.col("v"))
+    general = fields._jc.toString().upper().split("ELSE")[-1]
+    assert "REGEXP_EXTRACT_ALL" in general and fields._jc.toString().upper().count("WHEN") == 2
+    assert [r[0] for r in df.select(fields).collect()] == [["a", "b;c", ""], ["", "x"], ["", ""]]
+
+
 def test_long_quoted_field_does_not_overflow(spark):
     line = '"' + 'x""' * 50_000 + '";y'
     assert apply(spark, [line], parsing.split_fields) == [['x"' * 50_000, "y"]]
