@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,10 +19,13 @@ from lendwatch.schema import (
 
 # Line breaks other than the \n, \r and \r\n the text source knows.
 OTHER_LINE_BREAKS = r"[\x0b\x0c\x1c\x1d\x1e\x85\x{2028}\x{2029}]"
+# Text of nothing but printable ASCII holds none; that is seen in a fraction of the time.
+_PLAIN = r"^[ -~]*\z"
 
 
-def _breaks(value: Column) -> Column:
-    return F.split(value, OTHER_LINE_BREAKS, -1)
+def line_array(value: Column) -> Column:
+    """The lines of a text as an array."""
+    return F.when(value.rlike(_PLAIN), F.array(value)).otherwise(F.split(value, OTHER_LINE_BREAKS, -1))
 
 
 def split_lines(text: DataFrame, within: Column | None = None) -> DataFrame:
@@ -29,10 +34,10 @@ def split_lines(text: DataFrame, within: Column | None = None) -> DataFrame:
     ``within`` is the part of ``value`` that can hold a line break, where it is known.
     """
     value = F.col("value")
-    parts = _breaks(value)
+    parts = line_array(value)
     if within is not None:
-        broken = within.rlike(OTHER_LINE_BREAKS) | value.isNull()
-        parts = F.when(broken, parts).otherwise(F.array(value))
+        odd = ~within.rlike(_PLAIN) | value.isNull()
+        parts = F.when(odd, parts).otherwise(F.array(value))
     return text.withColumn("value", F.explode(parts))
 
 
@@ -96,7 +101,7 @@ def parse_rows(text: DataFrame, strict_iso: bool = False) -> DataFrame:
     value, clean = F.col("value"), F.col("clean")
     pattern = parsing.clean_line_pattern(n_texts, n_amounts)
     lines = text.select("source_file", "value", value.rlike(pattern).alias("clean")).withColumn(
-        "value", F.explode(F.when(clean, F.array(value)).otherwise(_breaks(value)))
+        "value", F.explode(F.when(clean, F.array(value)).otherwise(line_array(value)))
     )
     head = parsing.clean_head(value, width - n_amounts)
     long_way = parsing.split_fields(parsing.strip(value))
@@ -135,7 +140,7 @@ def parse_rows(text: DataFrame, strict_iso: bool = False) -> DataFrame:
             (F.col("broken"), "field_count"),
             (F.col(DATE_COLUMN).isNull(), "bad_date"),
             (F.col(COUNT_COLUMN).isNull(), "bad_count"),
-            (F.exists("amounts", lambda amount: amount.isNull()), "bad_number"),
+            (reduce(Column.__or__, [F.col("amounts")[i].isNull() for i in range(n_amounts)]), "bad_number"),
         ]
     )
     return typed.select(

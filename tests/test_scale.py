@@ -76,3 +76,17 @@ def test_dimensions_built_with_others_serve(spark, small):
     wide = queries.dims_of(spark, small, "modality", "client", "activity")
     few = queries.dims_of(spark, small, "client")
     assert few.keys() == {"client"} and few["client"] is wide["client"]
+
+
+def test_lines_are_the_same_for_every_character(spark):
+    codes = spark.range(0x3000).filter("id not between 55296 and 57343")
+    texts = codes.select(F.concat(F.lit("a"), F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')"), F.lit("b")).alias("value"))
+    found = texts.select("value", raw_text.line_array(F.col("value")).alias("lines")).collect()
+    assert len(found) == 0x3000
+    for row in found:
+        assert row.lines == re.split("[\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]", row.value)
+
+
+def test_amounts_are_checked_without_a_function_for_each(spark, small):
+    good, _ = raw_text.parse_lines(fixture.raw_lines(spark, small))
+    assert "exists(" not in good._jdf.queryExecution().optimizedPlan().toString()
