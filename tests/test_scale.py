@@ -90,3 +90,9 @@ def test_lines_are_the_same_for_every_character(spark):
 def test_amounts_are_checked_without_a_function_for_each(spark, small):
     good, _ = raw_text.parse_lines(fixture.raw_lines(spark, small))
     assert "exists(" not in good._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_preview_orders_by_a_column(spark, small):
+    plan = _plan(raw_text.preview(raw_text.parse_rows(fixture.raw_lines(spark, small)), 3))
+    ordering = re.search(r"TakeOrderedAndProject\(.*?orderBy=\[(.*?) ASC", plan)[1]
+    assert "md5(" not in ordering
