@@ -273,7 +273,7 @@ def write_archives(lines: DataFrame, folder: str) -> list[str]:
         system.create_dir(inner.rpartition("/")[0])
         name, member, n = None, None, 0
         with system.open_output_stream(inner) as sink, zipfile.ZipFile(
-            sink, "w", zipfile.ZIP_DEFLATED
+            sink, "w", zipfile.ZIP_DEFLATED, compresslevel=1
         ) as opened:
             for batch in batches:
                 for file, text in batch.groupby("source_file", sort=True)["value"]:

@@ -5,18 +5,22 @@ from __future__ import annotations
 import io
 import itertools
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendwatch.storage import exists, materialize
 
-from lendwatch.sources.raw_text import OTHER_LINE_BREAKS
+from lendwatch.sources.raw_text import line_array
 
 LINES_PER_BATCH = 20_000
+# A member is read by one task. Many small ones share a task, as starting one takes longer than reading them.
+TASKS_PER_CORE = 8
+BYTES_PER_TASK = 64_000_000
 
 
 def _readers():
@@ -35,16 +39,18 @@ def _readers():
                 names, sizes, crcs = ([getattr(i, a) for i in found] for a in ("filename", "file_size", "CRC"))
                 yield pd.DataFrame({"archive": archive, "member": names, "size": sizes, "crc": crcs})
 
-    def read_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read_members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["archive", "member", "value"]
         for batch in batches:
-            for archive, *entry in zip(batch["archive"], batch["member"], batch["size"], batch["crc"]):
+            for archive, *entry in zip(*(batch[c].to_pylist() for c in ("archive", "member", "size", "crc"))):
                 member = entry[0]
                 with opened(archive) as files:
                     found = next(i for i in files.infolist() if [i.filename, i.file_size, i.CRC] == entry)
                     text = io.TextIOWrapper(files.open(found), encoding="utf-8")
                     while lines := list(itertools.islice(text, LINES_PER_BATCH)):
                         lines = [line.rstrip("\n") for line in lines]
-                        yield pd.DataFrame({"archive": archive, "member": member, "value": lines})
+                        told = [pa.repeat(archive, len(lines)), pa.repeat(member, len(lines)), pa.array(lines)]
+                        yield pa.RecordBatch.from_arrays(told, names)
 
     return list_members, read_members
 
@@ -62,7 +68,7 @@ def explode_archives(
     """``(archive, member, value)``: the lines of every CSV member.
 
     A member is a compressed stream and is read start to end by one task, in
-    bounded batches, each in a task of its own. ``existing`` lists members to
+    bounded batches; neighbouring small members share a task. ``existing`` lists members to
     skip, by name or, where it has ``size`` and ``crc``, by content; a member of several archives
     is read once for each size and CRC.
     """
@@ -82,11 +88,13 @@ def _wanted(spark: SparkSession, archive_paths: list[str], existing: DataFrame |
 
 def _lines(chosen: DataFrame) -> DataFrame:
     # Rows are tiny and tasks long, so the number of tasks is set, not left to AQE.
+    sums = chosen.agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).first()
+    tasks = min(sums.n, max(TASKS_PER_CORE * chosen.sparkSession.sparkContext.defaultParallelism, (sums.bytes or 0) // BYTES_PER_TASK))
     lines = (
-        chosen.repartitionByRange(max(1, chosen.count()), "archive", "member", "crc", "size")
-        .mapInPandas(_readers()[1], "archive string, member string, value string")
+        chosen.repartitionByRange(max(1, tasks), "archive", "member", "crc", "size")
+        .mapInArrow(_readers()[1], "archive string, member string, value string")
     )
-    return lines.withColumn("value", F.explode(F.split("value", OTHER_LINE_BREAKS, -1)))
+    return lines.withColumn("value", F.explode(line_array(F.col("value"))))
 
 
 def _by_member(lines: DataFrame) -> DataFrame:

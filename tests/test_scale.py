@@ -1,13 +1,14 @@
 """Work that must not be done twice as tables grow: counted rows, and plans without broadcasts."""
 
 import re
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from lendwatch import fixture, queries
 from lendwatch.schema import RAW_COLUMNS
-from lendwatch.sources import raw_text
+from lendwatch.sources import archives, raw_text
 
 
 @pytest.fixture
@@ -96,3 +97,14 @@ def test_preview_orders_by_a_column(spark, small):
     plan = _plan(raw_text.preview(raw_text.parse_rows(fixture.raw_lines(spark, small)), 3))
     ordering = re.search(r"TakeOrderedAndProject\(.*?orderBy=\[(.*?) ASC", plan)[1]
     assert "md5(" not in ordering
+
+
+def test_small_members_share_a_task(spark, tmp_path):
+    path = str(tmp_path / "many.zip")
+    with zipfile.ZipFile(path, "w") as made:
+        for i in range(100):
+            made.writestr(f"scrdata_{i:06}.csv", f"x\n{i}\n")
+    lines = archives.explode_archives(spark, [path])
+    cores = spark.sparkContext.defaultParallelism
+    assert lines.rdd.getNumPartitions() <= archives.TASKS_PER_CORE * cores < 100
+    assert sorted(r.value for r in lines.collect()) == sorted(["x"] * 100 + [str(i) for i in range(100)])
