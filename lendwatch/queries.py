@@ -47,10 +47,11 @@ def rounded(df: DataFrame, amounts: tuple = (), ratios: tuple = ()) -> DataFrame
 
 
 def dims_of(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    """Each dimension is numbered on its own, so those built with others serve as well."""
-    for (app, folder, label), built in _built.items():
-        here = (app, folder) == (spark.sparkContext.applicationId, sf_dir)
-        if here and label.startswith("dims:") and built.keys() >= set(names):
+    """Each dimension is numbered on its own, so those built with others serve as well, the most first."""
+    here = (spark.sparkContext.applicationId, sf_dir)
+    made = [built for key, built in _built.items() if key[:2] == here and key[2].startswith("dims:")]
+    for built in sorted(made, key=len, reverse=True):
+        if built.keys() >= set(names):
             return {n: built[n] for n in names}
     columns = {c for n in names if n in star.KEYED for c in star.KEYED[n][1]}
     columns |= {"reference_date"} if "date" in names else set()
