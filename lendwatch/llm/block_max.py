@@ -5,18 +5,19 @@ from __future__ import annotations
 import ctypes
 import glob
 import os
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 
 Vector = tuple[np.ndarray, np.ndarray]  # ascending terms and their weights
-_DENSE = 640  # so many of the most frequent terms have a row of weights instead of postings
-_OFTEN = 26  # a frequent term is in one of so many examples at least
+_DENSE = 640  # so many of the most frequent terms of a kind have a column of weights instead of postings
+_OFTEN = 26  # a frequent term is in one of so many examples of the kind at least
 _TOGETHER = 128  # queries that are multiplied with those rows at a time
 _WINDOW = 1024  # queries among which those with the same best blocks are brought together
 _PART = 500_000  # terms of vectors that are put in place at a time
+_FETCHED = 32_768  # postings that are summed at a time
 _SEEN = 128  # of the most frequent terms tell examples' groups
-_KINDS = 16  # groups of examples that are laid side by side
+_KINDS = 4  # groups of examples that are laid side by side
 _RUN = 8  # blocks that are multiplied together with the queries that want one of them
 _ROUNDING = 4e-6  # of sums of single precision, for vectors of length 1
 
@@ -49,114 +50,166 @@ def _kinds(rows: np.ndarray) -> np.ndarray:
     return best
 
 
+def _most_frequent(counts: np.ndarray, size: int) -> np.ndarray:
+    """The terms of ``counts`` that are frequent among ``size`` examples, most frequent first."""
+    often = np.flatnonzero((counts > 0) & (counts * _OFTEN >= size))
+    return often[np.argsort(-counts[often], kind="stable")[:_DENSE]]
+
+
+def _parts(terms: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers and examples of some vectors' terms at a time, so that copies stay small."""
+    for at in range(0, len(terms), _PART):
+        some = np.arange(at, min(at + _PART, len(terms)))
+        yield some, np.searchsorted(ends, some, "right")
+
+
 class BlockMaxIndex:
     """Examples' vectors of length at most 1 by term, and the largest weights in each block of examples.
 
     ``nearest_of_each`` finds the ``k`` largest dot products above 0 exactly, ties to the smaller
-    example. Similar examples share blocks. The postings of rare terms are summed; frequent terms,
-    which rule out no example, are dense rows whose block maxima bound what they add. The blocks of
-    the highest bounds are scored first, and their k-th score, or a higher one from another index,
-    rules out every block whose bound is lower. The other blocks are multiplied in single precision,
-    and what comes near the k-th score is summed again in double precision.
+    example. Similar examples share blocks, and the blocks of a kind have their own frequent terms,
+    so that the words of a language or subject are dense where they are used. The postings of the
+    terms that are rare in a kind are summed; its frequent terms, which rule out no example there, are
+    columns of weights whose block maxima bound what they add. The blocks of the highest bounds are
+    scored first, and their k-th score, or a higher one from another index, rules out every block
+    whose bound is lower. The other blocks are multiplied in single precision, and what comes near
+    the k-th score is summed again in double precision.
     """
 
     def __init__(self, sizes: np.ndarray, terms: np.ndarray, weights: np.ndarray, block: int = 32):
         """From the vectors' sizes and their terms and weights, one vector after the other."""
         self.size, self.block = len(sizes), block
-        self.blocks = -(-self.size // block)
         counts = np.bincount(terms, minlength=1)
-        frequent = np.argsort(-counts, kind="stable")[:_DENSE]
-        frequent = frequent[(counts[frequent] > 0) & (counts[frequent] * _OFTEN >= self.size)]
-        self.row = np.full(len(counts), -1, np.int32)
-        self.row[frequent] = np.arange(len(frequent))
         ends = np.cumsum(sizes)
-
-        def parts():
-            """Numbers, examples and rows of some vectors' terms at a time, so that copies stay small."""
-            for at in range(0, len(terms), _PART):
-                some = np.arange(at, min(at + _PART, len(terms)))
-                yield some, np.searchsorted(ends, some, "right"), self.row[terms[some]]
-
-        telling = np.zeros((self.size, min(len(frequent), _SEEN)), np.float32)
-        for some, ids, row in parts():
-            seen = np.flatnonzero((row >= 0) & (row < _SEEN))
-            telling[ids[seen], row[seen]] = weights[some[seen]]
-        # Blocks of one kind and about one length have tight maxima.
-        self.order = np.lexsort((np.square(telling).sum(axis=1), _kinds(telling))) if telling.size else np.arange(self.size)
-        del telling
+        kind, length = self._alike(_most_frequent(counts, self.size), terms, weights, ends)
+        kinds = int(kind.max(initial=0)) + 1
+        # Blocks of one kind and about one length have tight maxima; each kind begins a block of its own.
+        order = np.lexsort((length, kind))
+        members = np.bincount(kind, minlength=kinds)
+        room = -(-members // block)
+        self.blocks = int(room.sum())
+        self.kind_of = np.repeat(np.arange(kinds), room)
         place = np.empty(self.size, np.int64)
-        place[self.order] = np.arange(self.size)
-        # Weights of the frequent terms by example, and the largest of each term in a block.
-        self.dense = np.zeros((self.blocks * block, len(frequent)), np.float32)
+        place[order] = np.arange(self.size) + np.repeat((np.cumsum(room) - room) * block - (np.cumsum(members) - members), members)
+        self.order = np.full(self.blocks * block, -1)
+        self.order[place] = np.arange(self.size)
+        # The frequent terms of each kind, and the column that each has there.
+        owner = np.repeat(kind.astype(np.int8), sizes)
+        frequent = []
+        for i in range(kinds):
+            own = np.bincount(terms[owner == i], minlength=len(counts))
+            frequent.append(_most_frequent(own, int(members[i])))
+            counts[frequent[-1]] -= own[frequent[-1]]
+        del owner
+        often = np.unique(np.concatenate(frequent))
+        self.row = np.full(len(counts), -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        width = max(map(len, frequent))
+        self.columns = np.full((kinds, width), len(often))  # the last row of a query is nothing
+        column = np.full((kinds, len(often) + 1), -1, np.int32)
+        for i, own in enumerate(frequent):
+            self.columns[i, : len(own)] = self.row[own]
+            column[i, self.row[own]] = np.arange(len(own))
+        # Weights of the frequent terms by example, and the largest of each column in a block.
+        self.dense = np.zeros((self.blocks * block, width), np.float32)
         # A posting is one complex number, place and weight, so that both are fetched at once.
-        counts[frequent] = 0
         self.first = np.concatenate(([0], np.cumsum(counts)))
         self.postings = np.empty(self.first[-1], np.complex64 if self.blocks * block < 1 << 24 else complex)
         free = self.first[:-1].copy()
-        for some, ids, row in parts():
-            often = np.flatnonzero(row >= 0)
-            self.dense[place[ids[often]], row[often]] = weights[some[often]]
-            rare = np.flatnonzero(row < 0)
+        for some, ids in _parts(terms, ends):
+            at = column[kind[ids], self.row[terms[some]]]  # -1: not frequent anywhere, and the last column is -1
+            often = np.flatnonzero(at >= 0)
+            self.dense[place[ids[often]], at[often]] = weights[some[often]]
+            rare = np.flatnonzero(at < 0)
             rare = rare[np.argsort(terms[some[rare]], kind="stable")]
             own, begin, number = np.unique(terms[some[rare]], return_index=True, return_counts=True)
             to = np.repeat(free[own] - begin, number) + np.arange(len(rare))
             free[own] += number
             self.postings.real[to], self.postings.imag[to] = place[ids[rare]], weights[some[rare]]
-        self.most = self.dense.reshape(self.blocks, block, len(frequent)).max(axis=1).T.copy()
+        self.most = self.dense.reshape(self.blocks, block, width).max(axis=1, initial=0)
+
+    def _alike(self, frequent: np.ndarray, terms: np.ndarray, weights: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A kind for each example, and the length of the part that tells it, by a few of the most frequent terms."""
+        row = np.full(int(terms.max(initial=0)) + 1, -1, np.int32)
+        row[frequent[:_SEEN]] = np.arange(len(frequent[:_SEEN]))
+        telling = np.zeros((self.size, len(frequent[:_SEEN])), np.float32)
+        for some, ids in _parts(terms, ends):
+            seen = np.flatnonzero(row[terms[some]] >= 0)
+            telling[ids[seen], row[terms[some[seen]]]] = weights[some[seen]]
+        if not telling.size:
+            return np.zeros(self.size, int), np.zeros(self.size)
+        return _kinds(telling), np.square(telling).sum(axis=1)
 
     def _rare_sums(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        sums = np.zeros(self.blocks * self.block)
         starts = self.first[terms]
         sizes = self.first[terms + 1] - starts
-        at = np.arange(sizes.sum())
-        at += np.repeat(starts - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
-        met = self.postings[at]
-        products = np.repeat(weights.astype(float), sizes)
-        products *= met.imag
-        sums = np.bincount(met.real.astype(np.int64), products, self.blocks * self.block)
-        return sums.astype(float, copy=False)  # without a posting they are whole numbers
-
-    def _exact(self, sums: np.ndarray, places: np.ndarray, rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Scores of examples; equal vectors give equal scores."""
-        return np.round(sums[places] + self.dense[places[:, None], rows[None, :]].astype(float) @ weights, 12)
+        ends = np.cumsum(sizes)
+        shift = starts - ends + sizes
+        begin = 0
+        # So many postings at a time that what is made of them stays in the processor's cache.
+        for end in np.searchsorted(ends, np.arange(_FETCHED, sizes.sum() + _FETCHED, _FETCHED)).tolist():
+            end = min(end + 1, len(terms))
+            if begin < end:
+                number = sizes[begin:end]
+                at = np.arange(ends[begin] - sizes[begin], ends[end - 1])
+                at += np.repeat(shift[begin:end], number)
+                met = self.postings.take(at, mode="clip")
+                products = np.repeat(weights[begin:end], number).astype(float)
+                products *= met.imag
+                sums += np.bincount(met.real.astype(np.int64), products, len(sums))
+                begin = end
+        return sums
+
+    def _exact(self, sums: np.ndarray, places: np.ndarray, asked: list[np.ndarray]) -> np.ndarray:
+        """Scores of examples, ``asked`` by kind; equal vectors give equal scores."""
+        told, kinds = np.empty(len(places)), self.kind_of[places // self.block]
+        for kind in np.unique(kinds).tolist():
+            mine = np.flatnonzero(kinds == kind)
+            columns = np.flatnonzero(asked[kind])
+            dense = self.dense[places[mine, None], columns[None, :]].astype(float)
+            told[mine] = sums[places[mine]] + dense @ asked[kind][columns].astype(float)
+        return np.round(told, 12)
 
     def _batch(
         self, asked: np.ndarray, limits: np.ndarray, rare: list[Vector], k: int, least: list[float], skip: list[int]
     ) -> list[list[tuple[float, int]]]:
-        """Answers to queries given by their dense rows, the bounds those have by block, and their rare terms."""
-        sums = [self._rare_sums(*q) for q in rare]
-        for own, passed in zip(sums, skip, strict=True):
+        """Answers to queries given by their frequent terms, the bounds those have by block, and all their terms."""
+        sums = np.empty((len(rare), self.blocks * self.block))
+        for i, (query, passed) in enumerate(zip(rare, skip, strict=True)):
+            sums[i] = self._rare_sums(*query)
             if passed >= 0:
-                own[passed] = -9.0  # below any bound
-        limits = limits + _ROUNDING
-        some = min(2 * k // self.block + 4, self.blocks)
-        by_block = self.dense.reshape(self.blocks, self.block, -1)
-        wanted, kth = [], []
-        for i, own in enumerate(sums):
-            limits[i] += own.reshape(-1, self.block).max(axis=1)
-            lead = np.argpartition(-limits[i], some - 1)[:some]
-            near = own.reshape(-1, self.block)[lead]
-            near += [by_block[b] @ asked[i] for b in lead.tolist()]
-            near = near.reshape(-1)
-            kth.append(max(np.partition(near, -k)[-k] if len(near) >= k else 0.0, least[i]) - _ROUNDING)
-            wanted.append((limits[i] >= kth[i]) & (limits[i] > _ROUNDING))
-        scores = np.empty((len(sums), self.blocks * self.block), np.float32)
-        every = np.array(wanted)
-        for first in range(0, self.blocks, _RUN):
-            mine = np.flatnonzero(every[:, first : first + _RUN].any(axis=1))
+                sums[i, passed] = -9.0  # below any bound
+        limits = limits + _ROUNDING + sums.reshape(len(rare), self.blocks, self.block).max(axis=2)
+        limits[limits <= _ROUNDING] = -np.inf
+        by_kind = [asked[:, columns] for columns in self.columns]
+        runs = []
+        for kind in range(len(by_kind)):
+            begin, end = np.searchsorted(self.kind_of, (kind, kind + 1)).tolist()
+            runs += [(first, min(first + _RUN, end), kind) for first in range(begin, end, _RUN)]
+        highest = np.stack([limits[:, first:last].max(axis=1) for first, last, _ in runs])
+        best, kth = np.zeros((len(rare), k)), np.array(least) - _ROUNDING
+        met: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # queries, places and scores
+        for run in np.argsort(-np.maximum(highest, 0).sum(axis=1), kind="stable").tolist():
+            mine = np.flatnonzero(highest[run] >= kth)
             if len(mine):
-                part = slice(first * self.block, (first + _RUN) * self.block)
-                scores[mine, part] = asked[mine] @ self.dense[part].T
+                first, last, kind = runs[run]
+                part = slice(first * self.block, last * self.block)
+                scores = sums[mine, part]
+                scores += by_kind[kind][mine] @ self.dense[part].T
+                best[mine] = np.partition(np.concatenate((best[mine], scores), axis=1), -k, axis=1)[:, -k:]
+                kth[mine] = np.maximum(kth[mine], best[mine].min(axis=1) - 2 * _ROUNDING)
+                query, at = np.nonzero(scores >= np.maximum(kth[mine], 1e-300)[:, None])
+                met.append((mine[query], at + part.start, scores[query, at]))
+        query, places, scores = (np.concatenate([m[i] for m in met] or [np.empty(0, int)]) for i in range(3))
+        near = np.flatnonzero(scores >= kth[query])
+        near = near[np.argsort(query[near], kind="stable")]
+        ends = np.searchsorted(query[near], np.arange(len(rare) + 1)).tolist()
         told = []
         for i, own in enumerate(sums):
-            home = np.flatnonzero(wanted[i])
-            full = (scores[i].reshape(-1, self.block)[home] + own.reshape(-1, self.block)[home]).reshape(-1)
-            if len(full) > k:
-                kth[i] = max(kth[i], np.partition(full, -k)[-k] - 2 * _ROUNDING)
-            at = np.flatnonzero(full >= max(kth[i], 1e-300))
-            places = home[at // self.block] * self.block + at % self.block
-            rows = np.flatnonzero(asked[i])
-            exact = self._exact(own, places, rows, asked[i, rows].astype(float))
-            examples = self.order[places[exact > 0]]
+            mine = places[near[ends[i] : ends[i + 1]]]
+            exact = self._exact(own, mine, [q[i] for q in by_kind])
+            examples = self.order[mine[exact > 0]]
             exact = exact[exact > 0]
             order = np.lexsort((examples, -exact))[:k]
             told.append(list(zip(exact[order].tolist(), examples[order].tolist(), strict=True)))
@@ -170,18 +223,22 @@ class BlockMaxIndex:
         if not self.size:
             return [[] for _ in queries]
         least = least or [0.0] * len(queries)
-        places = np.argsort(self.order, kind="stable")
+        taken = np.flatnonzero(self.order >= 0)
+        places = taken[np.argsort(self.order[taken])]
         skipped = [int(places[s]) if s >= 0 else -1 for s in skip] if len(skip) else [-1] * len(queries)
         told: list[list[tuple[float, int]]] = [[] for _ in queries]
         for begin in range(0, len(queries), _WINDOW):
             window = queries[begin : begin + _WINDOW]
-            asked, rare = np.zeros((len(window), len(self.most)), np.float32), []
+            asked, rare = np.zeros((len(window), int(self.row.max()) + 2), np.float32), []
             for i, (terms, weights) in enumerate(window):
-                rows = self.row[terms := terms[: np.searchsorted(terms, len(self.row))]]
-                weights = weights[: len(terms)]
+                terms = terms[: np.searchsorted(terms, len(self.row))]
+                weights, rows = weights[: len(terms)], self.row[terms]
                 asked[i, rows[rows >= 0]] = weights[rows >= 0]
-                rare.append((terms[rows < 0], weights[rows < 0]))
-            limits = asked @ self.most
+                rare.append((terms, weights))
+            limits = np.empty((len(window), self.blocks), np.float32)
+            for kind, columns in enumerate(self.columns):
+                mine = self.kind_of == kind
+                limits[:, mine] = asked[:, columns] @ self.most[mine].T
             together = np.argsort(limits.argmax(axis=1), kind="stable")
             for at in range(0, len(window), _TOGETHER):
                 some = together[at : at + _TOGETHER]

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from lendwatch.llm.bloom import narrowed
 from lendwatch.llm.components import connected_components
+from lendwatch.llm.kept import kept_by, small_batches
 from lendwatch.storage import materialize
 
 SIGNED = "doc_id long, n_shingles long, digest binary, registers binary"
@@ -201,6 +202,7 @@ def links_of(
 
 def _sign(docs: DataFrame, cfg: SketchConfig) -> DataFrame:
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by("near_dup")
         for batch in batches:
             sizes, digests, registers = [], [], []
             for text in batch.column(1):
@@ -219,6 +221,7 @@ def _sign(docs: DataFrame, cfg: SketchConfig) -> DataFrame:
 
 def _bands(signed: DataFrame, cfg: SketchConfig) -> DataFrame:
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by("near_dup")
         for batch in batches:
             keys = [band_keys(np.frombuffer(r.as_py(), np.uint16), cfg) for r in batch.column(1)]
             ids = np.repeat(batch.column(0).to_numpy(), cfg.bands)
@@ -232,6 +235,7 @@ def _verified(texts: DataFrame, cfg: SketchConfig) -> DataFrame:
     """Links within each block of ``texts(block, rep, joined, text)``."""
 
     def verify(rows):
+        kept_by("near_dup")
         sets = [shingle_set(t, cfg.words) for t in rows["text"]]
         some = np.array([len(s) > 0 for s in sets])  # an id may have a wordless text besides
         ids, joined = rows["rep"].to_numpy()[some], rows["joined"].to_numpy()[some]
@@ -252,6 +256,7 @@ def cluster(docs: DataFrame, cfg: SketchConfig = SketchConfig()) -> DataFrame:
     its own component; of each component the smallest id is kept. Shingles are compared by 64-bit
     hashes. Two texts just at the threshold share no band with probability 1e-5.
     """
+    small_batches(docs.sparkSession)
     signed = materialize(_sign(docs, cfg), "signatures")
     usable = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy("digest").agg(F.min("doc_id").alias("rep"))

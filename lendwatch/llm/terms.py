@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 
 _WORD = r"[^\W\d_]+"
-_SLICE = 500_000  # characters hashed together; a longer text is hashed alone
+_SLICE = 100_000  # characters hashed together, so that they stay in the cache; a longer text is hashed alone
 _BASE = 0x9E3779B97F4A7C15
 Terms = tuple[np.ndarray, np.ndarray]  # ascending 64-bit hashes, and how often each occurs
 
@@ -43,6 +43,19 @@ def _mixed(values: np.ndarray, seed: int) -> np.ndarray:
     return (values ^ (values >> np.uint64(32))).view(np.int64)
 
 
+def _counted(found: np.ndarray) -> Terms:
+    """As ``np.unique`` with counts, which is slow on short arrays."""
+    found.sort()
+    first = np.ones(len(found), bool)
+    np.not_equal(found[1:], found[:-1], out=first[1:])
+    at = np.flatnonzero(first)
+    counts = np.empty_like(at)
+    counts[:-1] = at[1:]
+    counts[-1:] = len(found)
+    counts -= at
+    return found[at], counts
+
+
 def _hashed(texts: list[str], prefix: int) -> Iterator[Terms]:
     """A word is the sum of its letters' numbers times powers of the base: differences of running sums."""
     joined = "\n".join(texts) + "\n"
@@ -50,7 +63,10 @@ def _hashed(texts: list[str], prefix: int) -> Iterator[Terms]:
     letters, numbers = _letters()
     inside = letters[codes]
     power, inverse = _powers_upto(len(codes) + 1)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(numbers[codes] * power[: len(codes)], dtype=np.uint64)))
+    own = numbers[codes]
+    own *= power[: len(codes)]
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(own, out=sums[1:])
     edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     if inside[0]:
         edges = np.concatenate(([0], edges))
@@ -64,7 +80,7 @@ def _hashed(texts: list[str], prefix: int) -> Iterator[Terms]:
     part_at = np.searchsorted(begin, limits).tolist()
     a = b = 0
     for c, d in zip(word_at, part_at, strict=True):
-        yield np.unique(np.concatenate((words[a:c], parts[b:d])), return_counts=True)
+        yield _counted(np.concatenate((words[a:c], parts[b:d])))
         a, b = c, d
 
 

@@ -14,6 +14,7 @@ import itertools
 import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendwatch.llm.block_max import BlockMaxIndex, Vector, merged, use_one_thread
+from lendwatch.llm.kept import kept_by, small_batches
 from lendwatch.llm.terms import Terms, terms_of_each
 from lendwatch.storage import materialize
 
 _PARTS = 64  # ranges of terms whose document counts are added up together
 _QUERIES = 1024  # texts that are searched together
+_FIRST_BITS = 20  # of a hash tell where in the vocabulary it stands
 EXAMPLE = "doc_id long, toxic int, n int, packed binary"
 
 
@@ -62,6 +65,10 @@ class Vocabulary:
         self.toxic, self.clean = toxic.astype(np.int32), clean.astype(np.int32)
         self.weights = self._weights(np.arange(len(hashes)), None).astype(np.float32)
 
+    @cached_property
+    def ranges(self) -> np.ndarray:
+        return begins(self.hashes)
+
     def _weights(self, numbers: np.ndarray, own: int | None) -> np.ndarray:
         """IDF times the log odds between the labels, which start from the share of either label."""
         a, b, (n_toxic, n_clean) = self.toxic[numbers], self.clean[numbers], self.sizes
@@ -79,10 +86,29 @@ class Vocabulary:
         return numbers, (weights / norm if norm else weights).astype(np.float32)
 
 
-def known(hashes: np.ndarray, terms: Terms) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending numbers of the terms that are among ``hashes``, and how often they occur."""
-    at = np.searchsorted(hashes, terms[0])
-    inside = hashes[np.minimum(at, len(hashes) - 1)] == terms[0] if len(hashes) else np.zeros(len(at), bool)
+def begins(hashes: np.ndarray) -> np.ndarray:
+    """How many hashes lie below each range of those with equal first bits."""
+    half = 1 << (_FIRST_BITS - 1)
+    return np.searchsorted(hashes, np.arange(-half, half, dtype=np.int64) << (64 - _FIRST_BITS))
+
+
+def known(hashes: np.ndarray, terms: Terms, ranges: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending numbers of the terms that are among ``hashes``, and how often they occur.
+
+    ``ranges``: what ``begins`` tells of the hashes, which spares a search for each term.
+    """
+    if not len(hashes):
+        return np.empty(0, np.int64), terms[1][:0]
+    if ranges is None:
+        at = np.searchsorted(hashes, terms[0])
+    else:
+        at = ranges[(terms[0] >> (64 - _FIRST_BITS)) + (1 << (_FIRST_BITS - 1))]
+        behind = np.flatnonzero(hashes.take(at, mode="clip") < terms[0])
+        while len(behind):
+            at[behind] += 1
+            behind = behind[at[behind] < len(hashes)]
+            behind = behind[hashes[at[behind]] < terms[0][behind]]
+    inside = hashes.take(at, mode="clip") == terms[0]
     return at[inside], terms[1][inside]
 
 
@@ -141,11 +167,11 @@ def _document_counts(docs: DataFrame, hashes: np.ndarray, cfg: ToxicConfig) -> t
     bounds = np.linspace(0, len(hashes), _PARTS + 1).astype(int)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros(len(sent.value), np.int64), 0
+        total, rows, ranges = np.zeros(len(sent.value), np.int64), 0, begins(sent.value)
         for batch in batches:
             rows += batch.num_rows
             for terms in terms_of_each((t.as_py() for t in batch.column(0)), cfg.prefix):
-                total[known(sent.value, terms)[0]] += 1
+                total[known(sent.value, terms, ranges)[0]] += 1
         if rows:
             parts = [total[a:b].tobytes() for a, b in itertools.pairwise(bounds.tolist())]
             yield pa.RecordBatch.from_arrays(
@@ -185,15 +211,13 @@ class Shard:
     index: BlockMaxIndex
 
 
-_opened: dict[str, Shard] = {}
-
-
 def _open(key: str, pieces: list, vocabulary: Vocabulary, block: int) -> Shard:
     """The shard of broadcast pieces, indexed once per worker process; other models' are let go."""
-    if key not in _opened:
+    opened: dict[str, Shard] = kept_by("toxicity")
+    if key not in opened:
         model = key.split(":")[0]
-        for other in [k for k in _opened if k.split(":")[0] != model]:
-            del _opened[other]
+        for other in [k for k in opened if k.split(":")[0] != model]:
+            del opened[other]
         rows = sorted((row for piece in pieces for row in piece.value), key=lambda r: r[0])
         for piece in pieces:
             vars(piece).pop("_value", None)  # the worker would keep it beside the index
@@ -207,17 +231,17 @@ def _open(key: str, pieces: list, vocabulary: Vocabulary, block: int) -> Shard:
         del rows
         use_one_thread()
         index = BlockMaxIndex(sizes, terms, weights, block)
-        _opened[key] = Shard(keys, labels, index)
-    return _opened[key]
+        opened[key] = Shard(keys, labels, index)
+    return opened[key]
 
 
 def _examples(rows: DataFrame, vocabulary, cfg: ToxicConfig) -> DataFrame:
     """``(doc_id, toxic, n, packed)``: the terms of the sampled rows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = vocabulary.value.hashes
+        hashes, ranges = vocabulary.value.hashes, vocabulary.value.ranges
         for batch in batches:
-            told = [known(hashes, t) for t in terms_of_each((t.as_py() for t in batch.column(2)), cfg.prefix)]
+            told = [known(hashes, t, ranges) for t in terms_of_each((t.as_py() for t in batch.column(2)), cfg.prefix)]
             columns = [pa.array([len(t) for t, _ in told], pa.int32()), pa.array([packed(*t) for t in told], pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "toxic", "n", "packed"])
 
@@ -272,7 +296,7 @@ class Model:
         vocabulary = self.judge.vocabulary.value
         while some := list(itertools.islice(texts, _QUERIES)):
             terms = list(terms_of_each(some, self.cfg.prefix))
-            near = self.judge.nearest([vocabulary.vector(*known(vocabulary.hashes, t)) for t in terms])
+            near = self.judge.nearest([vocabulary.vector(*known(vocabulary.hashes, t, vocabulary.ranges)) for t in terms])
             for counted, found in zip(terms, near, strict=True):
                 if not len(counted[0]) or not self.judge.shards:
                     yield float(min(max(self.empty, 0.0), 1.0)), ""
@@ -322,6 +346,7 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicConfig = ToxicConfig()) ->
     pieces of bounded size one at a time, and two numbers for each example.
     """
     spark: SparkSession = docs.sparkSession
+    small_batches(spark)
     context = spark.sparkContext
     rows = materialize(training_rows(docs, labels, cfg), "training")
     vocabulary = context.broadcast(_vocabulary(rows, docs, cfg))
@@ -355,6 +380,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Only the text is read for the score. NULL and wordless texts get the rate among
     such examples. Rows that repeat an id are scored one by one.
     """
+    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in ("score", "evidence")]
     rows = docs.select(*[F.col(f"`{c}`") for c in kept])
     schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("evidence", T.StringType())])

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from lendwatch.llm import bloom
+from lendwatch.llm import kept
 from lendwatch.llm import near_dup as N
 
 CFG = N.SketchConfig()
@@ -169,3 +170,30 @@ def test_likelihood_finds_its_maximum():
         wanted = N.log_likelihood(counts, share, np.array([least]), CFG.base)[0]
         hopeless = grid[int(np.argmax(values))] < least and 2 * (max(values) - wanted) >= CFG.reject
         assert N.may_reach(a, b[None], n_one, np.array([n_two]), CFG).tolist() == [not hopeless]
+
+
+def test_workers_let_go_what_another_operator_kept(monkeypatch):
+    """A worker that scored texts before does not hold the index beside the texts it compares."""
+    class Captured:
+        def __getattr__(self, name):
+            return lambda *a: a[0] if name in ("mapInArrow", "applyInPandas") else self
+
+    rows = N.pd.DataFrame({"rep": [1, 2], "joined": False, "text": ["a b c d e f", "a b c d e f g"], "block": 1})
+    for step, given in ((N._sign, iter([])), (N._bands, iter([])), (N._verified, rows)):
+        monkeypatch.setattr(kept, "_kept", {})
+        kept.kept_by("toxicity")["index"] = object()
+        assert kept.kept_by("toxicity")
+        list(step(Captured(), CFG)(given))
+        assert "toxicity" not in kept._kept
+
+
+def test_texts_go_to_workers_in_small_batches(spark, docs_of):
+    spark.conf.unset(kept._BATCH)
+    docs = docs_of([f"text number {i} of many" for i in range(3000)], 1)
+    N.cluster(docs)
+    sizes = docs.select("doc_id").mapInArrow(lambda batches: (b.slice(0, 1) if b.num_rows <= 1024 else b for b in batches), "doc_id long")
+    assert sizes.count() == 3
+    spark.conf.set(kept._BATCH, 100)
+    N.cluster(docs)
+    assert spark.conf.get(kept._BATCH) == "100"  # a smaller setting stays
+    spark.conf.unset(kept._BATCH)

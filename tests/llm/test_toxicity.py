@@ -71,6 +71,40 @@ def test_rare_terms_of_long_vectors_and_bounds_from_elsewhere():
         assert same(B.merged(one, [(s, i + 300) for s, i in two], 9), nearest(query, vectors, 9))
 
 
+def test_each_kind_has_its_own_frequent_terms(monkeypatch):
+    """The words of two languages are dense where they are used, however many the other has."""
+    monkeypatch.setattr(B, "_DENSE", 20)
+    rng = random.Random(3)
+    draw = lambda i: normal({t + 20 * (i % 2): rng.random() for t in rng.sample(range(20), 15)})
+    vectors = [draw(i) for i in range(400)]
+    index = index_of(vectors, 16)
+    assert index.dense.shape[1] == 20 and len(index.postings) == 0
+    assert (index.order >= 0).sum() == 400 and len(set(index.kind_of.tolist())) > 1
+    queries = [draw(i) for i in range(50)] + [normal({3: 1.0, 25: 1.0, 90: 1.0})]
+    for query, near in zip(queries, index.nearest_of_each([vector(q) for q in queries], 7), strict=True):
+        assert same(near, nearest(query, vectors, 7))
+
+
+def test_blocks_below_the_kth_score_are_not_multiplied(monkeypatch):
+    """The best runs of blocks come first, and their k-th score spares the others."""
+    vectors = [normal({t: 1.0 + 0.001 * i, 50: 0.2}) for t in range(8) for i in range(64)]
+    index, partition, seen = index_of(vectors, 8), np.partition, []
+    monkeypatch.setattr(B, "_RUN", 1)
+    monkeypatch.setattr(B.np, "partition", lambda a, *b, **c: seen.append(a.shape[0]) or partition(a, *b, **c))
+    near = index.nearest_of_each([vector(normal({5: 1.0, 50: 0.1}))], 5)
+    monkeypatch.undo()
+    assert same(near[0], nearest(normal({5: 1.0, 50: 0.1}), vectors, 5)) and sum(seen) <= index.blocks // 4
+
+
+def test_known_terms_by_ranges():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 700, 100_000):
+        hashes = np.unique(np.concatenate((rng.integers(-(1 << 63), (1 << 63) - 1, n), 12345 + np.arange(30))))
+        asked = np.unique(np.concatenate((hashes[::3], hashes[:5] + 1, rng.integers(-(1 << 63), (1 << 63) - 1, 500), [-(1 << 63), (1 << 63) - 1])))
+        plain, ranged = T.known(hashes, (asked, asked)), T.known(hashes, (asked, asked), T.begins(hashes))
+        assert (plain[0] == ranged[0]).all() and (plain[1] == ranged[1]).all() and set(plain[1]) == set(asked) & set(hashes)
+
+
 WORD = re.compile(r"[^\W\d_]+")
 
 
