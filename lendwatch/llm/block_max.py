@@ -10,11 +10,11 @@ from collections.abc import Iterable, Iterator, Sequence
 import numpy as np
 
 Vector = tuple[np.ndarray, np.ndarray]  # ascending terms and their weights
-_DENSE = 640  # so many of the most frequent terms of a kind have a column of weights instead of postings
+_DENSE = 1024  # so many of the most frequent terms of a kind have a column of weights instead of postings
 _OFTEN = 26  # a frequent term is in one of so many examples of the kind at least
 _TOGETHER = 128  # queries that are multiplied with those rows at a time
 _WINDOW = 1024  # queries among which those with the same best blocks are brought together
-_PART = 500_000  # terms of vectors that are put in place at a time
+_PART = 200_000  # terms of vectors that are put in place at a time
 _FETCHED = 32_768  # postings that are summed at a time
 _SEEN = 128  # of the most frequent terms tell examples' groups
 _KINDS = 4  # groups of examples that are laid side by side
@@ -122,7 +122,9 @@ class BlockMaxIndex:
             self.dense[place[ids[often]], at[often]] = weights[some[often]]
             rare = np.flatnonzero(at < 0)
             rare = rare[np.argsort(terms[some[rare]], kind="stable")]
-            own, begin, number = np.unique(terms[some[rare]], return_index=True, return_counts=True)
+            ranked = terms[some[rare]]
+            begin = np.flatnonzero(np.diff(ranked, prepend=-1))
+            own, number = ranked[begin], np.diff(begin, append=len(ranked))
             to = np.repeat(free[own] - begin, number) + np.arange(len(rare))
             free[own] += number
             self.postings.real[to], self.postings.imag[to] = place[ids[rare]], weights[some[rare]]

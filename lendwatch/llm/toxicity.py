@@ -271,10 +271,11 @@ class Judge:
                 at = np.minimum(np.searchsorted(shard.keys, own), len(shard.keys) - 1)
                 skip = np.where(shard.keys[at] == own, at, -1).tolist()
             found = shard.index.nearest_of_each(vectors, k, least, skip)
+            keys = shard.keys.tolist()
+            label_of.update(zip(keys, shard.labels.tolist(), strict=True))
             for i, near in enumerate(found):
-                mine = [(s, int(shard.keys[e])) for s, e in near]
-                label_of.update((int(shard.keys[e]), float(shard.labels[e])) for _, e in near)
-                best[i] = merged(best[i], mine, k)
+                mine = [(s, keys[e]) for s, e in near]
+                best[i] = merged(best[i], mine, k) if best[i] else mine
         return [[(s, key, label_of[key]) for s, key in b] for b in best]
 
     def vote(self, near: list[tuple[float, int, float]]) -> float:
@@ -297,13 +298,13 @@ class Model:
         while some := list(itertools.islice(texts, _QUERIES)):
             terms = list(terms_of_each(some, self.cfg.prefix))
             near = self.judge.nearest([vocabulary.vector(*known(vocabulary.hashes, t, vocabulary.ranges)) for t in terms])
-            for counted, found in zip(terms, near, strict=True):
+            # Between pools the chance is interpolated; a small part of the vote breaks ties.
+            votes = [self.judge.vote(found) for found in near]
+            chances = np.interp(votes, self.at, self.chance).tolist()
+            for counted, found, vote, chance in zip(terms, near, votes, chances, strict=True):
                 if not len(counted[0]) or not self.judge.shards:
                     yield float(min(max(self.empty, 0.0), 1.0)), ""
                     continue
-                # Between pools the chance is interpolated; a small part of the vote breaks ties.
-                vote = self.judge.vote(found)
-                chance = float(np.interp(vote, self.at, self.chance))
                 evidence = ";".join(f"{key}:{int(label)}:{s:.4f}" for s, key, label in found[:5])
                 yield min(max(0.999 * chance + 0.001 * vote, 0.0), 1.0), evidence
 
