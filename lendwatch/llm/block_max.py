@@ -9,11 +9,13 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 
+from lendwatch.llm.kept import give_back
+
 Vector = tuple[np.ndarray, np.ndarray]  # ascending terms and their weights
 _DENSE = 1024  # so many of the most frequent terms of a kind have a column of weights instead of postings
 _OFTEN = 26  # a frequent term is in one of so many examples of the kind at least
 _TOGETHER = 128  # queries that are multiplied with those rows at a time
-_WINDOW = 1024  # queries among which those with the same best blocks are brought together
+_WINDOW = 512  # queries among which those with the same best blocks are brought together
 _PART = 200_000  # terms of vectors that are put in place at a time
 _FETCHED = 32_768  # postings that are summed at a time
 _SEEN = 128  # of the most frequent terms tell examples' groups
@@ -56,11 +58,37 @@ def _most_frequent(counts: np.ndarray, size: int) -> np.ndarray:
     return often[np.argsort(-counts[often], kind="stable")[:_DENSE]]
 
 
-def _parts(terms: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Numbers and examples of some vectors' terms at a time, so that copies stay small."""
-    for at in range(0, len(terms), _PART):
-        some = np.arange(at, min(at + _PART, len(terms)))
-        yield some, np.searchsorted(ends, some, "right")
+def _parts(terms: Sequence[np.ndarray], ends: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The number of each part of the vectors' terms, and the examples of its terms."""
+    at = 0
+    for number, part in enumerate(terms):
+        yield number, np.searchsorted(ends, np.arange(at, at + len(part)), "right")
+        at += len(part)
+
+
+class Joined:
+    """Vectors one after the other, in parts of some ``_PART`` terms."""
+
+    def __init__(self):
+        self.sizes: list[int] = []
+        self.terms: list[np.ndarray] = []
+        self.weights: list[np.ndarray] = []
+        self._some: list[Vector] = []
+        self._length = 0
+
+    def add(self, vector: Vector) -> None:
+        self._some.append(vector)
+        self.sizes.append(len(vector[0]))
+        self._length += len(vector[0])
+        if self._length >= _PART:
+            self.end()
+
+    def end(self) -> None:
+        """Put what was added since the last part in one of its own."""
+        if self._some:
+            self.terms.append(np.concatenate([t for t, _ in self._some]).astype(np.int32))
+            self.weights.append(np.concatenate([w for _, w in self._some]).astype(np.float32))
+            self._some, self._length = [], 0
 
 
 class BlockMaxIndex:
@@ -76,10 +104,18 @@ class BlockMaxIndex:
     the k-th score is summed again in double precision.
     """
 
-    def __init__(self, sizes: np.ndarray, terms: np.ndarray, weights: np.ndarray, block: int = 32):
-        """From the vectors' sizes and their terms and weights, one vector after the other."""
+    def __init__(self, sizes: np.ndarray, terms: np.ndarray | list[np.ndarray], weights: np.ndarray | list[np.ndarray], block: int = 32):
+        """From the vectors' sizes and their terms and weights, one vector after the other.
+
+        Terms and weights are arrays or lists of their parts. Lists are emptied while the index
+        fills, so that vectors and index are never held whole at once.
+        """
         self.size, self.block = len(sizes), block
-        counts = np.bincount(terms, minlength=1)
+        if isinstance(terms, np.ndarray):
+            terms, weights = ([a[at : at + _PART] for at in range(0, len(a), _PART)] for a in (terms, weights))
+        counts = np.zeros(max((int(t.max(initial=0)) for t in terms), default=0) + 1, np.int64)
+        for part in terms:
+            counts += np.bincount(part, minlength=len(counts))
         ends = np.cumsum(sizes)
         kind, length = self._alike(_most_frequent(counts, self.size), terms, weights, ends)
         kinds = int(kind.max(initial=0)) + 1
@@ -94,13 +130,20 @@ class BlockMaxIndex:
         self.order = np.full(self.blocks * block, -1)
         self.order[place] = np.arange(self.size)
         # The frequent terms of each kind, and the column that each has there.
-        owner = np.repeat(kind.astype(np.int8), sizes)
+        # Only what is frequent enough for the smallest kind can be frequent in any.
+        maybe = np.flatnonzero(counts * _OFTEN >= members[members > 0].min(initial=self.size))
+        column = np.full(len(counts), -1, np.int32)
+        column[maybe] = np.arange(len(maybe))
+        by_kind = np.zeros((kinds, len(maybe)), np.int64)
+        for part, ids in _parts(terms, ends):
+            at = column[terms[part]]
+            seen = np.flatnonzero(at >= 0)
+            by_kind += np.bincount(kind[ids[seen]] * len(maybe) + at[seen], minlength=by_kind.size).reshape(by_kind.shape)
         frequent = []
-        for i in range(kinds):
-            own = np.bincount(terms[owner == i], minlength=len(counts))
-            frequent.append(_most_frequent(own, int(members[i])))
-            counts[frequent[-1]] -= own[frequent[-1]]
-        del owner
+        for i, own in enumerate(by_kind):
+            most = _most_frequent(own, int(members[i]))
+            frequent.append(maybe[most])
+            counts[frequent[-1]] -= own[most]
         often = np.unique(np.concatenate(frequent))
         self.row = np.full(len(counts), -1, np.int32)
         self.row[often] = np.arange(len(often))
@@ -110,34 +153,46 @@ class BlockMaxIndex:
         for i, own in enumerate(frequent):
             self.columns[i, : len(own)] = self.row[own]
             column[i, self.row[own]] = np.arange(len(own))
-        # Weights of the frequent terms by example, and the largest of each column in a block.
-        self.dense = np.zeros((self.blocks * block, width), np.float32)
         # A posting is one complex number, place and weight, so that both are fetched at once.
         self.first = np.concatenate(([0], np.cumsum(counts)))
         self.postings = np.empty(self.first[-1], np.complex64 if self.blocks * block < 1 << 24 else complex)
         free = self.first[:-1].copy()
-        for some, ids in _parts(terms, ends):
-            at = column[kind[ids], self.row[terms[some]]]  # -1: not frequent anywhere, and the last column is -1
+        dense: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # places, columns and weights
+        for part, ids in _parts(terms, ends):
+            own_terms, own_weights = terms[part], weights[part]
+            terms[part] = weights[part] = ends[:0]
+            at = column[kind[ids], self.row[own_terms]]  # -1: not frequent anywhere, and the last column is -1
             often = np.flatnonzero(at >= 0)
-            self.dense[place[ids[often]], at[often]] = weights[some[often]]
+            dense.append((place[ids[often]].astype(np.int32), at[often].astype(np.int16), own_weights[often]))
             rare = np.flatnonzero(at < 0)
-            rare = rare[np.argsort(terms[some[rare]], kind="stable")]
-            ranked = terms[some[rare]]
+            rare = rare[np.argsort(own_terms[rare], kind="stable")]
+            ranked = own_terms[rare]
             begin = np.flatnonzero(np.diff(ranked, prepend=-1))
             own, number = ranked[begin], np.diff(begin, append=len(ranked))
             to = np.repeat(free[own] - begin, number) + np.arange(len(rare))
             free[own] += number
-            self.postings.real[to], self.postings.imag[to] = place[ids[rare]], weights[some[rare]]
+            self.postings.real[to], self.postings.imag[to] = place[ids[rare]], own_weights[rare]
+        del free, column
+        give_back()
+        # Weights of the frequent terms by example, and the largest of each column in a block. They
+        # come last: a page of few written weights is held whole.
+        self.dense = np.zeros((self.blocks * block, width), np.float32)
+        while dense:
+            places, columns, own_weights = dense.pop()
+            self.dense[places, columns] = own_weights
         self.most = self.dense.reshape(self.blocks, block, width).max(axis=1, initial=0)
+        give_back()
+        # One array for the sums of all batches: new ones would leave holes where small things stay.
+        self._sums = np.zeros((_TOGETHER, self.blocks * block))
 
-    def _alike(self, frequent: np.ndarray, terms: np.ndarray, weights: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _alike(self, frequent: np.ndarray, terms: list[np.ndarray], weights: list[np.ndarray], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A kind for each example, and the length of the part that tells it, by a few of the most frequent terms."""
-        row = np.full(int(terms.max(initial=0)) + 1, -1, np.int32)
+        row = np.full(max((int(t.max(initial=0)) for t in terms), default=0) + 1, -1, np.int32)
         row[frequent[:_SEEN]] = np.arange(len(frequent[:_SEEN]))
         telling = np.zeros((self.size, len(frequent[:_SEEN])), np.float32)
-        for some, ids in _parts(terms, ends):
-            seen = np.flatnonzero(row[terms[some]] >= 0)
-            telling[ids[seen], row[terms[some[seen]]]] = weights[some[seen]]
+        for part, ids in _parts(terms, ends):
+            seen = np.flatnonzero(row[terms[part]] >= 0)
+            telling[ids[seen], row[terms[part][seen]]] = weights[part][seen]
         if not telling.size:
             return np.zeros(self.size, int), np.zeros(self.size)
         return _kinds(telling), np.square(telling).sum(axis=1)
@@ -177,7 +232,7 @@ class BlockMaxIndex:
         self, asked: np.ndarray, limits: np.ndarray, rare: list[Vector], k: int, least: list[float], skip: list[int]
     ) -> list[list[tuple[float, int]]]:
         """Answers to queries given by their frequent terms, the bounds those have by block, and all their terms."""
-        sums = np.empty((len(rare), self.blocks * self.block))
+        sums = self._sums[: len(rare)]
         for i, (query, passed) in enumerate(zip(rare, skip, strict=True)):
             sums[i] = self._rare_sums(*query)
             if passed >= 0:

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendwatch.llm.kept import kept_by
 from lendwatch.operators.ordering import row_numbers
 from lendwatch.storage import materialize
 
@@ -73,15 +74,13 @@ def _rank_encoder(path: str, pattern: str) -> Callable[[str], list[int]]:
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
-_loaded: dict[tuple, TextIds] = {}
-
-
 def text_ids(cfg: PackConfig) -> TextIds:
-    """One tokenizer per worker process."""
+    """One tokenizer per worker process, as long as it packs."""
+    loaded: dict[tuple, TextIds] = kept_by("packing")
     key = cfg.tokenizer, cfg.ranks
-    if key not in _loaded:
-        _loaded[key] = TextIds(*key)
-    return _loaded[key]
+    if key not in loaded:
+        loaded[key] = TextIds(*key)
+    return loaded[key]
 
 
 def cut(ids: bytes, capacity: int) -> list[tuple[int, int, int]]:

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lendwatch.llm.kept import kept_by
+
 SPACE = "▁"  # stands for a blank in pieces
 _SPACE = SPACE.encode()
 _BPE, _BYTE, _USER = 2, 6, 4  # numbers of the model format
@@ -240,14 +242,12 @@ class Pieces:
         return self.library.decode(ids.tolist())
 
 
-_loaded: dict[str, Pieces] = {}
-
-
 def pieces_of(path: str) -> Pieces:
-    """One model per worker process."""
-    if path not in _loaded:
-        _loaded[path] = Pieces(path)
-    return _loaded[path]
+    """One model per worker process, as long as it encodes."""
+    loaded: dict[str, Pieces] = kept_by("pieces")
+    if path not in loaded:
+        loaded[path] = Pieces(path)
+    return loaded[path]
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:

@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendwatch.llm.block_max import BlockMaxIndex, Vector, merged, use_one_thread
-from lendwatch.llm.kept import kept_by, small_batches
+from lendwatch.llm.block_max import BlockMaxIndex, Joined, Vector, merged, use_one_thread
+from lendwatch.llm.kept import give_back, kept_by, small_batches
 from lendwatch.llm.terms import Terms, terms_of_each
 from lendwatch.storage import materialize
 
 _PARTS = 64  # ranges of terms whose document counts are added up together
-_QUERIES = 1024  # texts that are searched together
+_QUERIES = 512  # texts that are searched together
 _FIRST_BITS = 20  # of a hash tell where in the vocabulary it stands
 EXAMPLE = "doc_id long, toxic int, n int, packed binary"
 
@@ -145,6 +145,7 @@ def _term_counts(rows: DataFrame, cfg: ToxicConfig) -> DataFrame:
     """``(term, toxic, clean)``: examples with the term; a batch is added up before the shuffle."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by("toxicity").clear()  # an index of another model, which this one replaces
         for batch in batches:
             labels = batch.column(0).to_numpy()
             found = [t for t, _ in terms_of_each((t.as_py() for t in batch.column(1)), cfg.prefix)]
@@ -222,16 +223,16 @@ def _open(key: str, pieces: list, vocabulary: Vocabulary, block: int) -> Shard:
         for piece in pieces:
             vars(piece).pop("_value", None)  # the worker would keep it beside the index
         keys, labels = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], float)
-        sizes = np.array([n for _, _, n, _ in rows], np.int64)
-        terms, weights = np.empty(sizes.sum(), np.int32), np.empty(sizes.sum(), np.float32)
-        at = 0
-        for _, _, n, data in rows:
-            terms[at : at + n], weights[at : at + n] = vocabulary.vector(*unpacked(data))
-            at += n
+        joined = Joined()
+        for row in rows:
+            joined.add(vocabulary.vector(*unpacked(row[3])))
+        joined.end()
         del rows
         use_one_thread()
-        index = BlockMaxIndex(sizes, terms, weights, block)
+        give_back()
+        index = BlockMaxIndex(np.array(joined.sizes, np.int64), joined.terms, joined.weights, block)
         opened[key] = Shard(keys, labels, index)
+        del joined
     return opened[key]
 
 
@@ -296,13 +297,16 @@ class Model:
         texts = iter(texts)
         vocabulary = self.judge.vocabulary.value
         while some := list(itertools.islice(texts, _QUERIES)):
-            terms = list(terms_of_each(some, self.cfg.prefix))
-            near = self.judge.nearest([vocabulary.vector(*known(vocabulary.hashes, t, vocabulary.ranges)) for t in terms])
+            wordless, vectors = [], []
+            for terms in terms_of_each(some, self.cfg.prefix):
+                wordless.append(not len(terms[0]))
+                vectors.append(vocabulary.vector(*known(vocabulary.hashes, terms, vocabulary.ranges)))
+            near = self.judge.nearest(vectors)
             # Between pools the chance is interpolated; a small part of the vote breaks ties.
             votes = [self.judge.vote(found) for found in near]
             chances = np.interp(votes, self.at, self.chance).tolist()
-            for counted, found, vote, chance in zip(terms, near, votes, chances, strict=True):
-                if not len(counted[0]) or not self.judge.shards:
+            for empty, found, vote, chance in zip(wordless, near, votes, chances, strict=True):
+                if empty or not self.judge.shards:
                     yield float(min(max(self.empty, 0.0), 1.0)), ""
                     continue
                 evidence = ";".join(f"{key}:{int(label)}:{s:.4f}" for s, key, label in found[:5])
@@ -330,11 +334,10 @@ def _votes(examples: DataFrame, judge: Judge) -> DataFrame:
         vocabulary = judge.vocabulary.value
         for batch in batches:
             for at in range(0, batch.num_rows, _QUERIES):
-                ids, labels, _, data = (c.to_pylist() for c in batch.slice(at, _QUERIES).columns)
-                terms = [unpacked(d) for d in data]
-                near = judge.nearest([vocabulary.vector(*t, own) for t, own in zip(terms, labels, strict=True)], ids)
+                ids, labels, sizes, data = (c.to_pylist() for c in batch.slice(at, _QUERIES).columns)
+                near = judge.nearest([vocabulary.vector(*unpacked(d), own) for d, own in zip(data, labels, strict=True)], ids)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([judge.vote(n) for n in near], pa.float64()), pa.array(labels, pa.int32()), pa.array([len(t[0]) > 0 for t in terms])],
+                    [pa.array([judge.vote(n) for n in near], pa.float64()), pa.array(labels, pa.int32()), pa.array([n > 0 for n in sizes])],
                     ["vote", "toxic", "told"])
 
     return examples.mapInArrow(run, "vote double, toxic int, told boolean")

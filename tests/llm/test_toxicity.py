@@ -1,6 +1,8 @@
+import gc
 import math
 import random
 import re
+import weakref
 import zlib
 from collections import Counter
 
@@ -8,8 +10,10 @@ import numpy as np
 import pytest
 
 from lendwatch.llm import block_max as B
+from lendwatch.llm import kept, packing, pieces
 from lendwatch.llm import terms as H
 from lendwatch.llm import toxicity as T
+from lendwatch.llm.settings import PACKING, PIECE_MODEL
 
 
 def vector(weights):
@@ -55,6 +59,35 @@ def test_index_is_exact(monkeypatch, dense, often, part):
     assert index_of([{}, {}], 8).nearest_of_each([vector({1: 1.0}), vector({})], 3) == [[], []]
 
 
+def test_vectors_go_as_the_index_fills(monkeypatch):
+    monkeypatch.setattr(B, "_PART", 40)
+    rng = random.Random(7)
+    vectors = [normal({t: rng.random() for t in rng.sample(range(30), rng.randint(0, 9))}) for _ in range(300)]
+    joined = B.Joined()
+    for v in vectors:
+        joined.add(vector(v))
+    joined.end()
+    assert len(joined.terms) > 20 and sum(map(len, joined.terms)) == sum(map(len, vectors))
+    index = B.BlockMaxIndex(np.array(joined.sizes), joined.terms, joined.weights, 8)
+    assert not any(len(t) + len(w) for t, w in zip(joined.terms, joined.weights, strict=True))
+    for query in vectors[:50]:
+        assert same(index.nearest_of_each([vector(query)], 5)[0], nearest(query, vectors, 5))
+    nothing = B.Joined()
+    nothing.end()
+    assert B.BlockMaxIndex(np.empty(0, int), nothing.terms, nothing.weights).nearest_of_each([vector({1: 1.0})], 3) == [[]]
+
+
+def test_tokenizers_are_let_go():
+    """A worker that goes on to the classifier holds neither the packing's tokenizer nor the pieces' model."""
+    one, two = packing.text_ids(PACKING), pieces.pieces_of(PIECE_MODEL)
+    gone = weakref.ref(one), weakref.ref(two)
+    del one, two
+    kept.kept_by("toxicity")
+    gc.collect()
+    assert [g() for g in gone] == [None, None]
+    assert packing.text_ids(PACKING) is packing.text_ids(PACKING)
+
+
 def test_rare_terms_of_long_vectors_and_bounds_from_elsewhere():
     rng = random.Random(2)
     draw = lambda: normal({int(rng.paretovariate(0.6)) % 4000: rng.random() for _ in range(60)})
