@@ -6,6 +6,7 @@ meaning.
 
 from __future__ import annotations
 
+import math
 import uuid
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -18,9 +19,13 @@ from pyspark.sql import functions as F
 from lendwatch.config import EwConfig
 from lendwatch.schema import AMOUNT_COLUMNS, RAW_COLUMNS, STAGING_COLUMNS, TEXT_COLUMNS
 from lendwatch.sources.raw_text import split_lines
+from lendwatch.storage import shuffles_dropped, size_of
 
 CONFIG = EwConfig(min_portfolio=50_000)
 
+#: Line items, as stored, whose raw lines are built at once.
+PART_BYTES = 256 * 2**20
+
 FROM_ORDERS = {"institution_segment", "client_size"}
 FROM_CUSTOMER = {"state", "client_type"}
 
@@ -63,15 +68,20 @@ def staging(
     sf_dir: str,
     columns: Sequence[str] = tuple(STAGING_COLUMNS),
     extra: Sequence[str] = (),
+    part: tuple[int, int] | None = None,
 ) -> DataFrame:
     """One staging row per line item.
 
     Only the tables that ``columns`` come from are joined: every foreign key of
     the test data has its row, so the others would change nothing. ``extra``
-    names line-item columns to keep.
+    names line-item columns to keep. ``part`` (k, n) keeps the k-th of n parts of
+    the orders; the n parts together hold every row once.
     """
     wanted = set(columns)
     rows = line_items(spark, sf_dir)
+    if part:
+        # Another hash than that of shuffles; Catalyst hands the filter on to the orders.
+        rows = rows.filter(F.pmod(F.xxhash64("l_orderkey"), F.lit(part[1])) == part[0])
     orders = table(spark, sf_dir, "orders")
     if wanted & FROM_CUSTOMER:
         customers = table(spark, sf_dir, "customer")
@@ -156,9 +166,9 @@ def quoted_line(fields: Sequence[Column]) -> Column:
     return F.concat(F.lit('"'), F.concat_ws('";"', *fields), F.lit('"'))
 
 
-def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_lines(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None) -> DataFrame:
     """Raw file lines ``(value, source_file)``, as a monthly export would hold them."""
-    stg = staging(spark, sf_dir)
+    stg = staging(spark, sf_dir, part=part)
     line = quoted_line(list(raw_fields(stg).values()))
     texts = F.concat_ws("", *[c for c, raw in STAGING_COLUMNS.items() if raw in TEXT_COLUMNS])
     built = stg.select(line.alias("value"), file_name().alias("source_file"), texts.alias("texts"))
@@ -166,6 +176,12 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_lines(built, F.col("texts")).select("value", "source_file")
 
 
+def raw_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """``raw_lines`` in parts, one for each ``PART_BYTES`` of line items, so that what is shuffled at once has a bound."""
+    n = max(1, math.ceil(size_of(spark, f"{sf_dir}/lineitem.parquet") / PART_BYTES))
+    return [raw_lines(spark, sf_dir, (k, n) if n > 1 else None) for k in range(n)]
+
+
 def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_lines`` with one kind of damage or oddity per line-item quantity."""
     stg = staging(spark, sf_dir, extra=["l_quantity"])
@@ -234,15 +250,20 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_lines(printed.select(line.alias("value"), "source_file"))
 
 
-def write_raw_files(lines: DataFrame, root: str) -> None:
+def write_raw_files(lines: DataFrame | Sequence[DataFrame], root: str) -> None:
     """Lines and one header per month, as compressed text below ``year=YYYY/member=NAME``.
 
     A month is spread over as many files as AQE finds worth reading in parallel. The lines are built
-    once: which months need a header is read from the listing of what was written.
+    once: which months need a header is read from the listing of what was written. Lines in parts are
+    written part by part, and a part's shuffle files go when it is written.
     """
-    _write_text(lines.hint("rebalance", F.col("source_file")), root)
+    parts = [lines] if isinstance(lines, DataFrame) else lines
+    spark = parts[0].sparkSession
+    for part in parts:
+        with shuffles_dropped(spark):
+            _write_text(part.hint("rebalance", F.col("source_file")), root)
     header = quoted_line([F.lit(c) for c in RAW_COLUMNS])
-    written = lines.sparkSession.read.format("binaryFile").load(root)  # folders only, no content
+    written = spark.read.format("binaryFile").load(root)  # folders only, no content
     if "member" in written.columns:
         months = written.select(F.col("member").alias("source_file")).distinct()
         _write_text(months.select(header.alias("value"), "source_file").coalesce(1), root)

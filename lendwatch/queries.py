@@ -154,7 +154,7 @@ def raw_root(spark: SparkSession, sf_dir: str) -> str:
 
     def build() -> str:
         root = new_path(spark, "raw")
-        fixture.write_raw_files(fixture.raw_lines(spark, sf_dir), root)
+        fixture.write_raw_files(fixture.raw_parts(spark, sf_dir), root)
         return root
 
     return _once(spark, sf_dir, "raw", build)

@@ -1,7 +1,10 @@
 """Work that must not be done twice as tables grow: counted rows, and plans without broadcasts."""
 
+import datetime as dt
 import re
+import time
 import zipfile
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +12,7 @@ from pyspark.sql import functions as F
 from lendwatch import fixture, queries
 from lendwatch.schema import RAW_COLUMNS
 from lendwatch.sources import archives, raw_text
+from lendwatch.storage import size_of
 
 
 @pytest.fixture
@@ -32,6 +36,71 @@ def _below(plan, text):
             yield "\n".join(lines[i + 1 : end])
 
 
+@pytest.fixture
+def orders(spark, tmp_path):
+    """Order tables of 40 orders with three line items each, two of them twice, and one of no order."""
+    day = dt.datetime(1996, 1, 5)
+    items = [(k, i % 4, i % 3, i, 1.0 + i % 50, 100.0 + 7 * i, 0.01 * (i % 9), 0.02, day + dt.timedelta(days=11 * k)) for i in range(120) for k in (i // 3,)]
+    rows = {
+        "region": ("r_regionkey int, r_name string", [(0, "R")]),
+        "nation": ("n_nationkey int, n_regionkey int, n_name string", [(i, 0, f"NATION_{i}") for i in range(3)]),
+        "customer": ("c_custkey long, c_nationkey int, c_mktsegment string", [(i, i % 3, "FURNITURE") for i in range(5)]),
+        "supplier": ("s_suppkey long, s_nationkey int", [(i, i) for i in range(3)]),
+        "part": ("p_partkey long, p_type string, p_brand string", [(i, f"T{i}", f"B\x0b{i}") for i in range(4)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string", [(k, k % 5, "O", "1-URGENT") for k in range(40)]),
+        "lineitem": (
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_shipdate timestamp",
+            [*items, items[4], items[77], (None, *items[0][1:])],
+        ),
+    }
+    for name, (schema, values) in rows.items():
+        spark.createDataFrame(values, schema).coalesce(1).write.parquet(str(tmp_path / f"orders/{name}.parquet"))
+    return str(tmp_path / "orders")
+
+
+def _shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (found.apply(i).getName() for i in range(found.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_raw_lines_in_parts_are_the_same_lines(spark, orders, monkeypatch):
+    monkeypatch.setattr(fixture, "PART_BYTES", size_of(spark, f"{orders}/lineitem.parquet") / 5)
+    parts = [Counter(map(tuple, part.collect())) for part in fixture.raw_parts(spark, orders)]
+    assert len(parts) == 5 and all(parts)
+    whole = Counter(map(tuple, fixture.raw_lines(spark, orders).collect()))
+    assert sum(parts, Counter()) == whole and sum(whole.values()) == 2 * 122
+
+
+def test_a_part_joins_its_own_orders_only(spark, orders, no_broadcast):
+    plan = _plan(fixture.raw_lines(spark, orders, (1, 3)))
+    assert "pmod(xxhash64(l_orderkey" in plan and "pmod(xxhash64(o_orderkey" in plan
+
+
+def test_shuffle_files_go_with_each_part_of_the_raw_lines(spark, orders, tmp_path, monkeypatch):
+    monkeypatch.setattr(fixture, "PART_BYTES", size_of(spark, f"{orders}/lineitem.parquet") / 3)
+    before, write, made = _shuffle_files(spark), fixture._write_text, []
+
+    def left():
+        end = time.time() + 10
+        while (found := _shuffle_files(spark) - before) and time.time() < end:
+            time.sleep(0.1)
+        return found
+
+    def watched(lines, root):
+        made.append(len(left()))
+        write(lines, root)
+
+    monkeypatch.setattr(fixture, "_write_text", watched)
+    root = str(tmp_path / "raw")
+    fixture.write_raw_files(fixture.raw_parts(spark, orders), root)
+    assert made == [0] * 4  # three parts and the headers
+    monkeypatch.undo()
+    lines = raw_text.read_raw_lines(spark, root)
+    months = lines.select(F.regexp_extract("source_file", "scrdata_[0-9]+", 0)).distinct().count()
+    assert lines.count() == 2 * 122 + months
+
+
 def test_raw_lines_are_built_once_and_stored_compressed(spark, tmp_path):
     seen = spark.sparkContext.accumulator(0)
 
