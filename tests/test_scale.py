@@ -38,7 +38,7 @@ def _below(plan, text):
 
 @pytest.fixture
 def orders(spark, tmp_path):
-    """Order tables of 40 orders with three line items each, two of them twice, and one of no order."""
+    """Order tables of 40 orders with three line items each, two of them twice, and one of no order; 31 make two lines."""
     day = dt.datetime(1996, 1, 5)
     items = [(k, i % 4, i % 3, i, 1.0 + i % 50, 100.0 + 7 * i, 0.01 * (i % 9), 0.02, day + dt.timedelta(days=11 * k)) for i in range(120) for k in (i // 3,)]
     rows = {
@@ -46,7 +46,7 @@ def orders(spark, tmp_path):
         "nation": ("n_nationkey int, n_regionkey int, n_name string", [(i, 0, f"NATION_{i}") for i in range(3)]),
         "customer": ("c_custkey long, c_nationkey int, c_mktsegment string", [(i, i % 3, "FURNITURE") for i in range(5)]),
         "supplier": ("s_suppkey long, s_nationkey int", [(i, i) for i in range(3)]),
-        "part": ("p_partkey long, p_type string, p_brand string", [(i, f"T{i}", f"B\x0b{i}") for i in range(4)]),
+        "part": ("p_partkey long, p_type string, p_brand string", [(i, f"T{i}", f"B{i}" if i else "B\x0b") for i in range(4)]),
         "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string", [(k, k % 5, "O", "1-URGENT") for k in range(40)]),
         "lineitem": (
             "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_shipdate timestamp",
@@ -69,7 +69,7 @@ def test_raw_lines_in_parts_are_the_same_lines(spark, orders, monkeypatch):
     parts = [Counter(map(tuple, part.collect())) for part in fixture.raw_parts(spark, orders)]
     assert len(parts) == 5 and all(parts)
     whole = Counter(map(tuple, fixture.raw_lines(spark, orders).collect()))
-    assert sum(parts, Counter()) == whole and sum(whole.values()) == 2 * 122
+    assert sum(parts, Counter()) == whole and sum(whole.values()) == 122 + 31
 
 
 def test_a_part_joins_its_own_orders_only(spark, orders, no_broadcast):
@@ -98,7 +98,19 @@ def test_shuffle_files_go_with_each_part_of_the_raw_lines(spark, orders, tmp_pat
     monkeypatch.undo()
     lines = raw_text.read_raw_lines(spark, root)
     months = lines.select(F.regexp_extract("source_file", "scrdata_[0-9]+", 0)).distinct().count()
-    assert lines.count() == 2 * 122 + months
+    assert lines.count() == 122 + 31 + months
+
+
+@pytest.mark.parametrize("name", ["append_idempotent", "incremental_stream_load"])
+def test_loads_of_text_built_in_parts_are_whole(spark, orders, monkeypatch, name):
+    monkeypatch.setattr(fixture, "PART_BYTES", size_of(spark, f"{orders}/lineitem.parquet") / 3)
+    write, made = fixture._write_text, []
+    monkeypatch.setattr(fixture, "_write_text", lambda lines, root: made.append(root) or write(lines, root))
+    found = {r.file: r.n_rows for r in queries.REGISTRY[name](spark, orders).collect()}
+    kept = spark.read.parquet(f"{orders}/lineitem.parquet").filter("l_orderkey is not null and l_partkey > 0")
+    file = F.date_format("l_shipdate", "'scrdata_'yyyyMM'.csv'").alias("file")
+    assert found == {r.file: r["count"] for r in kept.groupBy(file).count().collect()} and sum(found.values()) == 122 - 31
+    assert len(made) == 4  # three parts and the headers
 
 
 def test_raw_lines_are_built_once_and_stored_compressed(spark, tmp_path):
